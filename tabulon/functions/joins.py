@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from tabulon.session import materialize
 
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 200_000
 HEAVY_KEYS = 1_000
+SALTS = 9_973
 
 
 def fits_in_memory(df: DataFrame, limit: int) -> bool:
@@ -27,8 +28,10 @@ def attach(
     """Left-join the columns of ``lookup`` (one row per key) to ``rows``.
 
     A lookup of few rows is broadcast. A large one is shuffled; if ``size_col`` says how many
-    rows carry each key, the keys above a 1/1000 share (at most 1000 of them) are still
-    broadcast, so that no shuffle partition receives a hot key. ``size_col`` is not returned.
+    rows carry each key, the keys above a 1/1000 share (at most 1000 of them) are broadcast all
+    the same and their rows spread, so that no shuffle partition receives a hot key. Rows should
+    differ from each other, as they do with a row key or after counting equal rows. ``size_col``
+    is not returned.
     ``stored_rows`` says that the lookup is read from a stored table and how long it is; without
     it the lookup is stored and measured here.
     """
@@ -44,11 +47,15 @@ def attach(
     if size_col is None:
         return rows.join(payload, on, "left")
 
+    # heavy keys take their values from a broadcast and only pass through the shuffle, spread by a
+    # salt that matches nothing there; every other key meets its lookup row under salt 0
+    values = F.struct(*[c for c in payload.columns if c not in on])
     total = lookup.agg(F.sum(size_col)).scalar()
     is_heavy = F.col(size_col) * HEAVY_KEYS > total
-    heavy = lookup.where(is_heavy).drop(size_col).withColumn("_heavy", F.lit(True))
-    light = lookup.where(~is_heavy).drop(size_col)
+    heavy = lookup.where(is_heavy).select(*on, values.alias("_hot"))
+    light = lookup.where(~is_heavy).select(*on, F.lit(0).cast("long").alias("_salt"), values.alias("_cold"))
     tagged = rows.join(F.broadcast(heavy), on, "left")
-    hot = tagged.where("_heavy").drop("_heavy")
-    cold = tagged.where("_heavy is null").select(*rows.columns).join(light, on, "left")
-    return hot.unionByName(cold)
+    spread = 1 + F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS))
+    tagged = tagged.withColumn("_salt", F.when(F.col("_hot").isNotNull(), spread).otherwise(F.lit(0)))
+    joined = tagged.join(light, [*on, "_salt"], "left").withColumn("_value", F.coalesce("_hot", "_cold"))
+    return joined.select(*rows.columns, "_value.*")

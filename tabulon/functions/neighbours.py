@@ -100,6 +100,10 @@ def _nearest(queries: np.ndarray, points: np.ndarray, k: int) -> Iterator[tuple[
             yield start + row, near, distances[row, near]
 
 
+def _objects(lists: list, index: pd.Index) -> pd.Series:
+    return pd.Series(lists, index=index, dtype=object)
+
+
 def nearest_neighbours(points: DataFrame, queries: DataFrame, by: str, features: Sequence[str], k: int) -> DataFrame:
     """(by, features..., neighbours, copies): for each distinct query point the coordinates of its
     k nearest rows of the same class, itself left out once. Queries must be among the points.
@@ -151,7 +155,7 @@ def nearest_neighbours(points: DataFrame, queries: DataFrame, by: str, features:
                 radius[row] = distances[enough[0]]
             lists.append(candidates(at, copies, near, distances))
         found = frame.iloc[asking][[by, *features, "cell"]].copy()
-        return found.assign(radius=radius, candidates=lists)
+        return found.assign(radius=radius, candidates=_objects(lists, found.index))
 
     home = materialize(
         placed.groupBy(by, "cell").applyInPandas(
@@ -198,7 +202,7 @@ def nearest_neighbours(points: DataFrame, queries: DataFrame, by: str, features:
         for row, near, distances in _nearest(asking[features].to_numpy(dtype=float), at, k + 1):
             keep = distances <= reach[row]
             lists.append(candidates(at, copies, near[keep], distances[keep]))
-        return asking.assign(candidates=lists)[columns]
+        return asking.assign(candidates=_objects(lists, asking.index))[columns]
 
     keys = [by, "cell", "chunk"]
     away = (

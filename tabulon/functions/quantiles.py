@@ -9,6 +9,7 @@ a thousand per round. Only a bracket of at most ``FINAL_ROWS`` rows is ever brou
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 from typing import Any
 
@@ -44,15 +45,22 @@ def order_statistics(
     df: DataFrame, ranks: dict[str, list[int]], final_rows: int | None = None
 ) -> dict[str, dict[int, Any]]:
     """Value at each 0-based rank among the sorted non-null values of the given columns."""
+    return _select(df, list(ranks), lambda column, n: ranks[column], final_rows)[0]
+
+
+def _select(
+    df: DataFrame, columns: list[str], wanted: Callable[[str, int], list[int]], final_rows: int | None
+) -> tuple[dict[str, dict[int, Any]], dict[str, int]]:
+    """Values at the ranks that ``wanted`` names per column and row count, and the row counts."""
     final_rows = FINAL_ROWS if final_rows is None else final_rows
-    columns = [c for c in ranks if ranks[c]]
+    found: dict[str, dict[int, Any]] = {c: {} for c in columns}
     if not columns:
-        return {c: {} for c in ranks}
+        return found, {}
     sizes = _row(df, [e for c in columns for e in (F.count(c), F.min(c), F.max(c))])
+    counts = dict(zip(columns, sizes[::3]))
     brackets = []
-    for at, column in enumerate(columns):
-        n, low, high = sizes[3 * at : 3 * at + 3]
-        for rank in sorted(set(ranks[column])):
+    for column, n, low, high in zip(columns, sizes[::3], sizes[1::3], sizes[2::3]):
+        for rank in sorted(set(wanted(column, n))):
             if not 0 <= rank < n:
                 raise ValueError(f"rank {rank} is outside the {n} values of {column}")
             brackets.append(_Bracket(column, rank, low, high, 0, n))
@@ -63,7 +71,6 @@ def order_statistics(
             break
         _narrow(df, wide)
 
-    found: dict[str, dict[int, Any]] = {c: {} for c in ranks}
     small: dict[tuple, list[_Bracket]] = {}
     for b in brackets:
         if b.single:
@@ -81,24 +88,26 @@ def order_statistics(
         for group, values in zip(groups, _row(df, picks)):
             for b, value in zip(group, values):
                 found[b.column][b.rank] = value
-    return found
+    return found, counts
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per column, nulls left out; None where all is null."""
-    counts = _row(df, [F.count(c) for c in columns])
-    wanted, places = {}, {}
-    for column, n in zip(columns, counts):
-        places[column] = [(n - 1) * p for p in probabilities] if n else []
-        wanted[column] = sorted({k for at in places[column] for k in (math.floor(at), math.ceil(at))})
-    values = order_statistics(df, wanted)
+
+    def places(n: int) -> list[float]:
+        return [(n - 1) * p for p in probabilities] if n else []
+
+    def ranks(column: str, n: int) -> list[int]:
+        return [k for at in places(n) for k in (math.floor(at), math.ceil(at))]
+
+    values, counts = _select(df, columns, ranks, None)
     result = {}
     for column in columns:
-        if not places[column]:
+        if not counts[column]:
             result[column] = [None] * len(probabilities)
             continue
         row = []
-        for at in places[column]:
+        for at in places(counts[column]):
             low, high = values[column][math.floor(at)], values[column][math.ceil(at)]
             row.append(low + (high - low) * (at - math.floor(at)))
         result[column] = [float(x) for x in row]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -89,51 +90,60 @@ def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rank correlation with average ties over the rows where both columns are present.
 
-    Ranks are taken once per column where no partner shortens its row set, otherwise once per
-    (column, partner). Distinct values are counted, ranked by distributed running totals and
-    the ranks joined back; no rows are sorted as a whole.
+    Equal rows are counted first. Distinct values are ranked by distributed running totals and
+    the ranks joined back, once per column; no rows are sorted as a whole. A column is ranked
+    again only for partners whose gaps shorten its row set.
     """
     columns = list(columns)
-    present = {c: F.col(c).isNotNull() for c in columns}
     pairs = list(combinations(columns, 2))
-    counts = df.agg(
-        *[F.count(c).alias(c) for c in columns],
-        *[F.count_if(present[a] & present[b]).alias(f"{a}|{b}") for a, b in pairs],
-    ).first()
-
-    partner_of: dict[str, tuple[str, str | None]] = {}
-
-    def context(column: str, partner: str, both: int) -> str:
-        name = f"_rank_{column}" if both == counts[column] else f"_rank_{column}_{partner}"
-        partner_of[name] = (column, None if both == counts[column] else partner)
-        return name
-
-    wanted = []
-    for a, b in pairs:
-        both = counts[f"{a}|{b}"]
-        wanted.append((a, b, context(a, b, both), context(b, a, both)))
-
-    def valid(name: str) -> Column:
-        column, partner = partner_of[name]
-        return present[column] & present[partner] if partner else present[column]
-
+    rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    rows = materialize(rows.groupBy(*columns).agg(F.count("*").alias("_w")))
+    weight = F.col("_w")
+
+    def size(*present: str) -> Column:
+        complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in present])
+        return F.coalesce(F.sum(F.when(complete, weight)), F.lit(0))
+
+    found = rows.agg(*[size(c) for c in columns], *[size(a, b) for a, b in pairs]).first()
+    n = dict(zip([*[(c, c) for c in columns], *pairs], found))
+    n |= {(b, a): k for (a, b), k in n.items()}
+    # columns with gaps in the same rows need not be told apart as partners
+    stand_in: dict[str, str] = {}
+    for c in columns:
+        stand_in[c] = next((d for d in stand_in if n[c, d] == n[c, c] == n[d, d]), c)
+
+    def ranking(column: str, partner: str) -> tuple[str, str]:
+        return (column, column) if n[column, partner] == n[column, column] else (column, stand_in[partner])
+
+    rankings = {r: f"_rank{k}" for k, r in enumerate(sorted({ranking(*p) for a, b in pairs for p in ((a, b), (b, a))}))}
     entries = [
-        F.struct(F.lit(name).alias("ctx"), F.when(valid(name), F.col(column).cast("double")).alias("v"))
-        for name, (column, _) in partner_of.items()
+        F.struct(F.lit(name).alias("ranking"), F.when(F.col(partner).isNotNull(), F.col(column)).alias("v"), weight)
+        for (column, partner), name in rankings.items()
     ]
-    long = df.select(F.inline(F.array(*entries))).where("v is not null")
-    counted = long.groupBy("ctx", "v").agg(F.count("*").alias("n"))
-    ranks = materialize(average_ranks(counted, ["ctx"], "v", "n"))
-    lengths = {r.ctx: r.n for r in ranks.groupBy("ctx").agg(F.count("*").alias("n")).collect()}
-
-    ranked = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    for name, (column, _) in partner_of.items():
-        table = ranks.where(F.col("ctx") == name).select(
-            F.col("v").alias(column), F.col("avg_rank").alias(name), F.col("n").alias("_n")
+    long = rows.select(F.inline(F.array(*entries))).where("v is not null")
+    counted = long.groupBy("ranking", "v").agg(F.sum("_w").alias("n"))
+    ranks = materialize(average_ranks(counted, ["ranking"], "v", "n"))
+
+    ranked = rows
+    for column in columns:
+        names = [name for (c, _), name in rankings.items() if c == column]
+        table = ranks.where(F.col("ranking").isin(names)).groupBy(F.col("v").alias(column))
+        table = table.agg(
+            *[F.max(F.when(F.col("ranking") == name, F.col("avg_rank"))).alias(name) for name in names],
+            F.max("n").alias("_n"),
         )
-        ranked = attach(ranked, table, [column], size_col="_n", stored_rows=lengths.get(name, 0))
-    result = [(a, b, F.when(valid(x), F.col(x)), F.when(valid(y), F.col(y))) for a, b, x, y in wanted]
-    return _pair_correlations(ranked, result)
+        ranked = attach(ranked, table, [column], size_col="_n")
+
+    parts = []
+    for k, (a, b) in enumerate(pairs):
+        both = F.col(a).isNotNull() & F.col(b).isNotNull()
+        mean = (n[a, b] + 1) / 2.0  # of average ranks, whatever the ties
+        x, y = F.col(rankings[ranking(a, b)]) - F.lit(mean), F.col(rankings[ranking(b, a)]) - F.lit(mean)
+        xy, xx, yy = (F.sum(F.when(both, weight * p)) for p in (x * y, x * x, y * y))
+        value = F.when((xx > 0) & (yy > 0), xy / (F.sqrt(xx) * F.sqrt(yy)))
+        parts.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), value.alias("correlation")).alias(f"c{k}"))
+    wide = ranked.agg(*parts)
+    return wide.select(F.inline(F.array(*wide.columns)))
 
 
 def _pair_correlations(df: DataFrame, pairs: list[tuple[str, str, Column, Column]]) -> DataFrame:

@@ -6,16 +6,16 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark.ml import Estimator
 from pyspark.ml.classification import (
     GBTClassificationModel,
     GBTClassifier,
     LinearSVC,
+    LinearSVCModel,
     LogisticRegression,
     LogisticRegressionModel,
     MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
-    OneVsRest,
-    OneVsRestModel,
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
@@ -53,28 +53,37 @@ def _random_forest(df: DataFrame, labels: int, total: float, p: dict) -> list:
     return [forest.fit(df)]
 
 
-def _gradient_boosting(df: DataFrame, labels: int, total: float, p: dict) -> list:
-    """One binary booster per class, so that every class has a score to turn into a probability."""
-
-    def one(k: int) -> GBTClassificationModel:
-        booster = GBTClassifier(
-            featuresCol="_features", labelCol="_is_class", weightCol="_weight",
-            maxIter=p.get("n_estimators", 50),
-            stepSize=p.get("learning_rate", 0.1),
-            maxDepth=min(p.get("max_depth", 5), 30),
-            subsamplingRate=p.get("subsample", 1.0),
-            minInstancesPerNode=p.get("min_child", 1),
-            maxMemoryInMB=512,
-            seed=p["seed"],
-        )
-        booster.setRawPredictionCol(f"_raw{k}").setProbabilityCol(f"_p{k}").setPredictionCol(f"_hit{k}")
+def _one_vs_rest(df: DataFrame, labels: int, estimator: Estimator, probabilities: bool) -> list:
+    """One binary model per class, fitted as concurrent jobs, each with columns of its own.
+
+    Spark's OneVsRest gives no probabilities, and its Python model scores through row UDFs.
+    """
+
+    def one(k: int):
+        binary = estimator.copy().setRawPredictionCol(f"_raw{k}").setPredictionCol(f"_hit{k}")
+        if probabilities:
+            binary = binary.setProbabilityCol(f"_p{k}")
         flag = (F.col("_label") == k).cast("double").alias("_is_class", metadata=_nominal(["0", "1"]))
-        return booster.fit(df.select("_features", "_weight", flag))
+        return binary.fit(df.select("_features", "_weight", flag))
 
     with ThreadPoolExecutor(_ONE_VS_REST_THREADS) as pool:
         return list(pool.map(one, range(labels)))
 
 
+def _gradient_boosting(df: DataFrame, labels: int, total: float, p: dict) -> list:
+    booster = GBTClassifier(
+        featuresCol="_features", labelCol="_is_class", weightCol="_weight",
+        maxIter=p.get("n_estimators", 50),
+        stepSize=p.get("learning_rate", 0.1),
+        maxDepth=min(p.get("max_depth", 5), 30),
+        subsamplingRate=p.get("subsample", 1.0),
+        minInstancesPerNode=p.get("min_child", 1),
+        maxMemoryInMB=512,
+        seed=p["seed"],
+    )
+    return _one_vs_rest(df, labels, booster, True)
+
+
 def _logistic(df: DataFrame, labels: int, total: float, p: dict) -> list:
     strength = p["alpha"] if "alpha" in p else 1.0 / (p.get("C", 1.0) * total)
     mix = {"l1": 1.0, "l2": 0.0}.get(p.get("penalty"), p.get("l1_ratio", 0.0))
@@ -87,16 +96,12 @@ def _logistic(df: DataFrame, labels: int, total: float, p: dict) -> list:
 
 
 def _linear_svc(df: DataFrame, labels: int, total: float, p: dict) -> list:
-    base = LinearSVC(
-        featuresCol="_features", labelCol="_label",
+    machine = LinearSVC(
+        featuresCol="_features", labelCol="_is_class", weightCol="_weight",
         regParam=1.0 / (p.get("C", 1.0) * total), maxIter=p.get("max_iter", 100), tol=p.get("tol", 1e-3),
         standardization=False,
     )
-    model = OneVsRest(
-        classifier=base, featuresCol="_features", labelCol="_label", weightCol="_weight",
-        parallelism=_ONE_VS_REST_THREADS,
-    )
-    return [model.fit(df)]
+    return _one_vs_rest(df, labels, machine, False)
 
 
 def hidden_layers(num_layer: int, num_perceptron: int) -> list[int]:
@@ -121,6 +126,7 @@ class Family:
     params: tuple[str, ...]
     renamed: dict[str, str] = field(default_factory=dict)
     probabilities: bool = True
+    per_class: bool = False
 
 
 _GBT = Family(
@@ -128,9 +134,10 @@ _GBT = Family(
     GBTClassificationModel,
     ("n_estimators", "learning_rate", "max_depth", "subsample", "min_child"),
     {"iterations": "n_estimators", "depth": "max_depth", "min_child_weight": "min_child", "min_child_samples": "min_child"},
+    per_class=True,
 )
 _LOGISTIC = Family(_logistic, LogisticRegressionModel, ("C", "alpha", "penalty", "l1_ratio", "max_iter", "tol"))
-_SVC = Family(_linear_svc, OneVsRestModel, ("C", "max_iter", "tol"), probabilities=False)
+_SVC = Family(_linear_svc, LinearSVCModel, ("C", "max_iter", "tol"), probabilities=False, per_class=True)
 
 FAMILIES: dict[str, Family] = {
     "random_forest": Family(
@@ -181,29 +188,32 @@ class Classifier:
         require_columns(df, self.features)
         scored = df.withColumn("_features", array_to_vector(F.array(*[F.col(c).cast("double") for c in self.features])))
         codes = LabelCodes(self.labels)
-        if self.name in FAMILIES and FAMILIES[self.name] is _GBT:
-            for model in self.models:
-                scored = model.transform(scored)
-            hits = F.array(*[F.get(vector_to_array(f"_p{k}"), F.lit(1)) for k in range(len(self.models))])
-            scored = scored.withColumn("_hits", hits)
-            total = F.aggregate("_hits", F.lit(0.0), lambda a, x: a + x)
-            scored = scored.withColumn("probability", F.transform("_hits", lambda x: x / total))
-            scored = scored.withColumn("_code", argmax(F.col("probability")))
-            spent = ["_hits", *[f"{c}{k}" for c in ("_raw", "_p", "_hit") for k in range(len(self.models))]]
+        if family(self.name).per_class:
+            scored, spent = self._predict_per_class(scored)
         else:
             (model,) = self.models
-            model = model.copy({model.predictionCol: "_code"})
-            if self.has_probabilities:
-                model = model.copy({model.probabilityCol: "_probability"})
-            model = model.copy({model.rawPredictionCol: "_raw"})
-            scored = model.transform(scored)
-            spent = ["_raw"]
-            if self.has_probabilities:
-                scored = scored.withColumn("probability", vector_to_array("_probability"))
-                spent.append("_probability")
+            names = {model.predictionCol: "_code", model.rawPredictionCol: "_raw", model.probabilityCol: "_probability"}
+            scored = model.copy(names).transform(scored)
+            scored = scored.withColumn("probability", vector_to_array("_probability"))
+            spent = ["_raw", "_probability"]
         scored = scored.withColumn("prediction", codes.decoded(F.col("_code")))
         return scored.drop("_features", "_code", *spent)
 
+    def _predict_per_class(self, scored: DataFrame) -> tuple[DataFrame, list[str]]:
+        """The class of the largest score; probabilities are the scores brought to sum 1."""
+        places = range(len(self.models))
+        for model in self.models:
+            scored = model.transform(scored)
+        source = "_p" if self.has_probabilities else "_raw"
+        scores = F.array(*[F.get(vector_to_array(f"{source}{k}"), F.lit(1)) for k in places])
+        scored = scored.withColumn("_scores", scores).withColumn("_code", argmax(F.col("_scores")))
+        spent = ["_scores", *[f"_raw{k}" for k in places], *[f"_hit{k}" for k in places]]
+        if self.has_probabilities:
+            total = F.aggregate("_scores", F.lit(0.0), lambda a, x: a + x)
+            scored = scored.withColumn("probability", F.transform("_scores", lambda x: x / total))
+            spent += [f"_p{k}" for k in places]
+        return scored, spent
+
     def importance(self) -> DataFrame:
         """(feature, importance) of a forest, largest first."""
         (model,) = self.models

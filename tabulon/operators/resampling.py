@@ -12,6 +12,7 @@ from tabulon.functions.hashing import hash_cutoffs, hash_number, not_above, orde
 from tabulon.functions.joins import attach
 from tabulon.functions.neighbours import nearest_neighbours
 from tabulon.operators.cleaning import require_columns
+from tabulon.session import materialize
 
 NEIGHBOURS = 5
 COPIES_PER_TASK_ROW = 100_000
@@ -50,6 +51,7 @@ def smote(df: DataFrame, target: str, key: str, features: Sequence[str], seed: i
     """
     features = list(features)
     require_columns(df, [target, key, *features])
+    df = materialize(df.select(key, target, *features))  # read by every step below
     incomplete = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in features])
     if not df.where(incomplete).isEmpty():
         raise ValueError("rows with missing features cannot be interpolated; impute first")

@@ -17,7 +17,7 @@ from tabulon.plans.scoring import Predictor, expected_inputs, score_table
 from tabulon.plans.search import run_search, trial_table
 from tabulon.plans.training import TrainedModel, train, train_and_evaluate
 from tabulon.plans.validation import cross_validate, permutation_importance
-from tabulon.session import scratch_path
+from tabulon.session import materialize, scratch_path
 from tabulon.sources import contracts, fingerprints, tables
 from tabulon.streaming import scoring as streams
 
@@ -189,7 +189,7 @@ def label_consistency(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def describe(spark: SparkSession, sf: str) -> DataFrame:
-    rows = magnitudes(spark, sf, "mjd")
+    rows = materialize(magnitudes(spark, sf, "mjd"))
     return rounded(profile.describe(rows, [*BANDS, "redshift", "mjd"]))
 
 
@@ -231,7 +231,7 @@ def pearson(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def spearman(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(dependence.spearman(cleaned(spark, sf), FEATURES.columns))
+    return rounded(dependence.spearman(materialize(cleaned(spark, sf).select(*FEATURES.columns)), FEATURES.columns))
 
 
 def split_metadata(spark: SparkSession, sf: str) -> DataFrame:
@@ -315,7 +315,7 @@ def row_split(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _imputed(spark: SparkSession, sf: str) -> DataFrame:
-    rows = cleaned(spark, sf).drop("field_id", "class")
+    rows = materialize(cleaned(spark, sf).drop("field_id", "class"))  # read by each fit
     return transforms.fit_median_imputer(rows, FEATURES.columns).transform(rows)
 
 
@@ -346,7 +346,7 @@ def label_encode(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pca_variance(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(transforms.pca_variance(magnitudes(spark, sf), BANDS))
+    return rounded(transforms.pca_variance(materialize(magnitudes(spark, sf)), BANDS))
 
 
 def undersample(spark: SparkSession, sf: str) -> DataFrame:
@@ -367,7 +367,7 @@ def smote_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def smote_points(spark: SparkSession, sf: str) -> DataFrame:
     """The interpolated observations themselves, on range-scaled features."""
-    rows = cleaned(spark, sf).drop("field_id")
+    rows = materialize(cleaned(spark, sf).drop("field_id"))
     rows = transforms.fit_median_imputer(rows, FEATURES.columns).transform(rows)
     rows = transforms.fit_scaler(rows, FEATURES.scaled, "minmax").transform(rows)
     balanced = resampling.smote(rows, "class", "obj_id", FEATURES.columns, SEED)
@@ -534,7 +534,7 @@ def stream_predict(spark: SparkSession, sf: str) -> DataFrame:
 
 def replay_draws(spark: SparkSession, sf: str) -> DataFrame:
     _, prod = _production(spark, sf, "obj_id", "mjd", "class")
-    return streams.replay(prod, "obj_id", prod.count(), SEED)
+    return streams.replay(prod, "obj_id", prod.count(), SEED)  # as many draws as rows
 
 
 def _records(spark: SparkSession, sf: str) -> DataFrame:
