@@ -5,18 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.session import materialize
+from tabulon.session import materialize_sized
 
 BROADCAST_ROWS = 200_000
 HEAVY_KEYS = 1_000
 SALTS = 9_973
 
 
-def fits_in_memory(df: DataFrame, limit: int) -> bool:
-    """Whether ``df`` has at most ``limit`` rows; stops counting just past the limit."""
-    return df.limit(limit + 1).count() <= limit
-
-
 def attach(
     rows: DataFrame,
     lookup: DataFrame,
@@ -37,12 +32,9 @@ def attach(
     """
     limit = BROADCAST_ROWS if limit is None else limit
     if stored_rows is None:
-        lookup = materialize(lookup)
-        small = fits_in_memory(lookup, limit)
-    else:
-        small = stored_rows <= limit
+        lookup, stored_rows = materialize_sized(lookup)
     payload = lookup.drop(size_col) if size_col else lookup
-    if small:
+    if stored_rows <= limit:
         return rows.join(F.broadcast(payload), on, "left")
     if size_col is None:
         return rows.join(payload, on, "left")

@@ -115,30 +115,43 @@ def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     def ranking(column: str, partner: str) -> tuple[str, str]:
         return (column, column) if n[column, partner] == n[column, column] else (column, stand_in[partner])
 
-    rankings = {r: f"_rank{k}" for k, r in enumerate(sorted({ranking(*p) for a, b in pairs for p in ((a, b), (b, a))}))}
+    rankings: dict[tuple[str, str], str] = {}
+    for a, b in pairs:
+        for column, partner in (ranking(a, b), ranking(b, a)):
+            turn = sum(c == column for c, p in rankings if (c, p) != (column, partner))
+            rankings.setdefault((column, partner), f"_rank{turn}")
     entries = [
-        F.struct(F.lit(name).alias("ranking"), F.when(F.col(partner).isNotNull(), F.col(column)).alias("v"), weight)
+        F.struct(
+            F.lit(column).alias("column"),
+            F.lit(name).alias("ranking"),
+            F.when(F.col(partner).isNotNull(), F.col(column)).alias("v"),
+            weight,
+        )
         for (column, partner), name in rankings.items()
     ]
     long = rows.select(F.inline(F.array(*entries))).where("v is not null")
-    counted = long.groupBy("ranking", "v").agg(F.sum("_w").alias("n"))
-    ranks = materialize(average_ranks(counted, ["ranking"], "v", "n"))
+    counted = long.groupBy("column", "ranking", "v").agg(F.sum("_w").alias("n"))
+    ranks = average_ranks(counted, ["column", "ranking"], "v", "n").groupBy("column", "v")
+    turns = sorted(set(rankings.values()))
+    rank_of = [F.max(F.when(F.col("ranking") == name, F.col("avg_rank"))).alias(name) for name in turns]
+    table = materialize(ranks.agg(*rank_of, F.max("n").alias("_n")))
+    lengths = {r["column"]: r["n"] for r in table.groupBy("column").agg(F.count("*").alias("n")).collect()}
 
     ranked = rows
     for column in columns:
         names = [name for (c, _), name in rankings.items() if c == column]
-        table = ranks.where(F.col("ranking").isin(names)).groupBy(F.col("v").alias(column))
-        table = table.agg(
-            *[F.max(F.when(F.col("ranking") == name, F.col("avg_rank"))).alias(name) for name in names],
-            F.max("n").alias("_n"),
-        )
-        ranked = attach(ranked, table, [column], size_col="_n")
+        lookup = table.where(F.col("column") == column)
+        lookup = lookup.select(F.col("v").alias(column), *[F.col(r).alias(f"{column}{r}") for r in names], "_n")
+        ranked = attach(ranked, lookup, [column], size_col="_n", stored_rows=lengths.get(column, 0))
+
+    def centred(column: str, partner: str) -> Column:
+        mean = (n[column, partner] + 1) / 2.0  # of average ranks, whatever the ties
+        return F.col(f"{column}{rankings[ranking(column, partner)]}") - F.lit(mean)
 
     parts = []
     for k, (a, b) in enumerate(pairs):
         both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        mean = (n[a, b] + 1) / 2.0  # of average ranks, whatever the ties
-        x, y = F.col(rankings[ranking(a, b)]) - F.lit(mean), F.col(rankings[ranking(b, a)]) - F.lit(mean)
+        x, y = centred(a, b), centred(b, a)
         xy, xx, yy = (F.sum(F.when(both, weight * p)) for p in (x * y, x * x, y * y))
         value = F.when((xx > 0) & (yy > 0), xy / (F.sqrt(xx) * F.sqrt(yy)))
         parts.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), value.alias("correlation")).alias(f"c{k}"))

@@ -527,7 +527,7 @@ def stream_predict(spark: SparkSession, sf: str) -> DataFrame:
     source, out = scratch_path(spark, "incoming"), scratch_path(spark, "stream-out")
     tables.write_batches(splits.batch_slices(prod, "mjd", "obj_id", 2_000), source)
     schema = spark.read.parquet(source).schema
-    stream = streams.read_batches(spark, source, schema)
+    stream = streams.read_batches(spark, source, schema, files_per_trigger=8)
     streams.stream_predict(stream, predictor, out, scratch_path(spark, "stream-bad"), F.col("r").isNotNull())
     return streams.read_predictions(spark, out)
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app: str = "tabulon", master: str | None = None, **settings: str) -> SparkSession:
@@ -44,12 +45,26 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path in the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path in the shared folder. All paths of an application lie in one folder of
+    its own, which can be removed as a whole once the application has ended."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_dir(spark).rstrip('/')}/tabulon-{application}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder, so that later steps read it instead of
-    repeating its shuffles, and a lost executor costs no recomputation of the lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder and read it back.
+
+    Later steps start from the stored columns instead of repeating shuffles, a lost executor
+    costs no lineage, unused columns are not read, and Catalyst knows the size of the result.
+    """
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def materialize_sized(df: DataFrame) -> tuple[DataFrame, int]:
+    """Like ``materialize``, with the number of rows seen while writing. A repeated task may be
+    counted twice, so the number is an upper bound: good for deciding whether a table is small."""
+    seen = Observation()
+    stored = materialize(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return stored, seen.get["n"]

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabulon.functions.hashing import hash_number
 from tabulon.functions.ranks import global_position
+from tabulon.operators.profile import literal_rows
 from tabulon.plans.scoring import Predictor
 from tabulon.session import scratch_path
+from tabulon.sources.tables import write_table
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1) -> DataFrame:
@@ -30,64 +33,57 @@ def stream_predict(
     checkpoint: str | None = None,
     max_records: int | None = None,
     batch_columns: Sequence[str] = ("batch",),
-) -> None:
+) -> int:
     """Score each micro-batch with the batch predictor until the present files are used up.
 
     Output goes to ``batch_id=N`` directories that are overwritten when Spark repeats a
     micro-batch after a failure, so that no row is written twice. Rows that fail ``valid`` go
-    to ``quarantine`` and the stream goes on. The latency column is the seconds a micro-batch
-    took per row. With ``max_records`` the stream ends once that many rows have been scored.
+    to ``quarantine`` and the stream goes on. A micro-batch is one job, and a second one only if
+    it holds bad rows. With ``max_records`` the stream ends once that many rows are scored.
+    Returns the number of scored rows.
     """
     spark = stream.sparkSession
-    done = {"rows": 0}
+    verdict = F.lit(True) if valid is None else F.coalesce(valid, F.lit(False))
+    timing: list[tuple[int, int, float]] = []
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         started = time.perf_counter()
-        good, bad = split_valid(batch, valid) if valid is not None else (batch, None)
-        keep = [c for c in batch.columns if c not in batch_columns]
-        carried = {c: good.schema[c].dataType for c in batch_columns}
-        scored = _predict_beside(predictor, good, keep, list(carried))
-        target = f"{out}/batch_id={batch_id}"
-        scored.write.mode("overwrite").parquet(f"{target}/rows")
-        rows = spark.read.parquet(f"{target}/rows").count()
-        seconds = time.perf_counter() - started
-        spark.range(1).select(
-            F.lit(rows).cast("long").alias("n_rows"), F.lit(seconds / max(rows, 1)).alias("latency_seconds")
-        ).write.mode("overwrite").parquet(f"{target}/timing")
-        if bad is not None:
-            bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
-        done["rows"] += rows
-
-    writer = (
+        seen = Observation()
+        counts = [F.count_if(verdict).alias("good"), F.count_if(~verdict).alias("bad")]
+        good = batch.observe(seen, *counts).where(verdict)
+        scored = _predict_beside(predictor, good, batch_columns)
+        scored.write.mode("overwrite").parquet(f"{out}/rows/batch_id={batch_id}")
+        found = seen.get
+        if found["bad"]:
+            batch.where(~verdict).write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
+        timing.append((batch_id, found["good"], (time.perf_counter() - started) / max(found["good"], 1)))
+
+    query = (
         stream.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint or scratch_path(spark, "stream"))
         .trigger(availableNow=True)
+        .start()
     )
-    query = writer.start()
     while not query.awaitTermination(1):
-        if max_records is not None and done["rows"] >= max_records:
+        if max_records is not None and sum(rows for _, rows, _ in timing) >= max_records:
             query.stop()
             break
+    if timing:  # one row per micro-batch of this run
+        names = {"batch_id": "int", "n_rows": "long", "latency_seconds": "double"}
+        write_table(literal_rows(spark, names, timing), f"{out}/timing", mode="append")
+    return sum(rows for _, rows, _ in timing)
 
 
-def _predict_beside(predictor: Predictor, rows: DataFrame, inputs: list[str], carried: list[str]) -> DataFrame:
+def _predict_beside(predictor: Predictor, rows: DataFrame, carried: Sequence[str]) -> DataFrame:
     """The predictor's contract is about the record; stream columns travel beside it."""
-    wrapped = Predictor(
-        predictor.model,
-        tuple(predictor.expected) + tuple(carried),
-        predictor.cleaning,
-        predictor.target,
-        predictor.group,
-    )
-    return wrapped.predict(rows.select(*inputs, *carried))
+    return replace(predictor, expected=(*predictor.expected, *carried)).predict(rows)
 
 
 def read_predictions(spark: SparkSession, out: str) -> DataFrame:
-    """Scored rows with ``batch_id`` and the per-row ``latency_seconds`` of their micro-batch."""
-    rows = spark.read.option("basePath", out).parquet(f"{out}/batch_id=*/rows")
-    timing = spark.read.option("basePath", out).parquet(f"{out}/batch_id=*/timing")
-    # one timing row per micro-batch; Catalyst broadcasts it by its file size
-    return rows.join(timing.select("batch_id", "latency_seconds"), "batch_id")
+    """Scored rows with ``batch_id`` and the mean ``latency_seconds`` of a row of that micro-batch."""
+    rows = spark.read.option("basePath", f"{out}/rows").parquet(f"{out}/rows/batch_id=*")
+    timing = spark.read.parquet(f"{out}/timing").groupBy("batch_id").agg(F.max("latency_seconds").alias("latency_seconds"))
+    return rows.join(timing, "batch_id", "left")  # one row per micro-batch, sized by Catalyst
 
 
 def split_valid(rows: DataFrame, valid: Column) -> tuple[DataFrame, DataFrame]:
