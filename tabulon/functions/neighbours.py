@@ -108,8 +108,17 @@ def nearest_neighbours(points: DataFrame, queries: DataFrame, by: str, features:
     """(by, features..., neighbours, copies): for each distinct query point the coordinates of its
     k nearest rows of the same class, itself left out once. Queries must be among the points.
     """
+    names = {by: "_by"} | {f: f"_x{d}" for d, f in enumerate(features)}
+    found = _nearest_neighbours(_renamed(points, names), _renamed(queries, names), "_by", list(names.values())[1:], k)
+    return found.withColumnsRenamed({new: old for old, new in names.items()})
+
+
+def _renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    return df.select(*[F.col(old).alias(new) for old, new in names.items()])
+
+
+def _nearest_neighbours(points: DataFrame, queries: DataFrame, by: str, features: list[str], k: int) -> DataFrame:
     spark = points.sparkSession
-    features = list(features)
     merged = points.groupBy(by, *features).agg(F.count("*").alias("copies"))
     merged = materialize(merged)
     asked = queries.select(by, *features).distinct().withColumn("asked", F.lit(True))
@@ -164,7 +173,7 @@ def nearest_neighbours(points: DataFrame, queries: DataFrame, by: str, features:
     )
 
     if all(tree.cells == 1 for tree in trees.values()):
-        found = home.select(by, *features, F.array_sort("candidates").alias("c"))
+        found = home.select(by, *features, F.array_sort("candidates").alias("all"))
         return _spread(found, by, features, k).join(merged, [by, *features])
 
     def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -211,11 +220,11 @@ def nearest_neighbours(points: DataFrame, queries: DataFrame, by: str, features:
         .applyInPandas(search_visit, f"{by_type}, {coordinates}, {candidate}")
     )
     found = home.select(by, *features, "candidates").unionByName(away)
-    found = found.groupBy(by, *features).agg(F.array_sort(F.flatten(F.collect_list("candidates"))).alias("c"))
+    found = found.groupBy(by, *features).agg(F.array_sort(F.flatten(F.collect_list("candidates"))).alias("all"))
     return _spread(found, by, features, k).join(merged, [by, *features])
 
 
 def _spread(found: DataFrame, by: str, features: list[str], k: int) -> DataFrame:
     """One entry per copy. The query itself is first, at distance 0; one copy of it is left out."""
-    copies = F.transform("c", lambda c: F.array_repeat(c["at"], F.least(c["copies"], F.lit(k + 1)).cast("int")))
+    copies = F.transform("all", lambda c: F.array_repeat(c["at"], F.least(c["copies"], F.lit(k + 1)).cast("int")))
     return found.select(by, *features, F.slice(F.flatten(copies), 2, k).alias("neighbours"))

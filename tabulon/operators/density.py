@@ -40,37 +40,37 @@ def kde(df: DataFrame, column: str, by: str, common_norm: bool = False, grid: in
     share of its class.
     """
     values = df.where(F.col(column).isNotNull() & F.col(by).isNotNull())
-    values = values.groupBy(by, F.col(column).cast("double").alias("x")).agg(F.count("*").alias("w"))
+    values = values.groupBy(by, F.col(column).cast("double").alias("_v")).agg(F.count("*").alias("_w"))
     per_class = (
         df.where(F.col(column).isNotNull() & F.col(by).isNotNull())
         .groupBy(by)
         .agg(
-            F.count("*").alias("n"),
-            (F.pow(F.count("*"), F.lit(-0.2)) * F.stddev(column)).alias("h"),
-            F.min(column).cast("double").alias("low"),
-            F.max(column).cast("double").alias("high"),
+            F.count("*").alias("_n"),
+            (F.pow(F.count("*"), F.lit(-0.2)) * F.stddev(column)).alias("_h"),
+            F.min(column).cast("double").alias("_low"),
+            F.max(column).cast("double").alias("_high"),
         )
-        .where("h > 0")  # a curve needs two different values
+        .where("_h > 0")  # a curve needs two different values
     )
     total = df.agg(F.count_if(F.col(column).isNotNull() & F.col(by).isNotNull())).scalar()
-    share = F.col("n") / total if common_norm else F.lit(1.0)
+    share = F.col("_n") / total if common_norm else F.lit(1.0)
     per_class = per_class.select(
         by,
-        "h",
-        (F.col("low") - cut * F.col("h")).alias("start"),
-        ((F.col("high") - F.col("low") + 2 * cut * F.col("h")) / (grid - 1)).alias("step"),
-        (share / (F.col("n") * F.col("h") * F.sqrt(2 * F.pi()))).alias("scale"),
+        "_h",
+        (F.col("_low") - cut * F.col("_h")).alias("_start"),
+        ((F.col("_high") - F.col("_low") + 2 * cut * F.col("_h")) / (grid - 1)).alias("_step"),
+        (share / (F.col("_n") * F.col("_h") * F.sqrt(2 * F.pi()))).alias("_scale"),
     )
-    points = attach(values, per_class, [by]).where("h is not null")
-    points = points.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
-    at = F.col("start") + F.col("k") * F.col("step")
-    z = (at - F.col("x")) / F.col("h")
+    points = attach(values, per_class, [by]).where("_h is not null")
+    points = points.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
+    at = F.col("_start") + F.col("_k") * F.col("_step")
+    z = (at - F.col("_v")) / F.col("_h")
     return (
-        points.groupBy(by, F.col("k").alias("grid_point"))
+        points.groupBy(by, F.col("_k").alias("grid_point"))
         .agg(
             F.max(at).alias("x"),
-            F.sum(F.col("w") * F.exp(F.lit(-0.5) * z * z)).alias("mass"),
-            F.max("scale").alias("scale"),
+            F.sum(F.col("_w") * F.exp(F.lit(-0.5) * z * z)).alias("mass"),
+            F.max("_scale").alias("_scale"),
         )
-        .select(by, "grid_point", "x", (F.col("mass") * F.col("scale")).alias("density"))
+        .select(by, "grid_point", "x", (F.col("mass") * F.col("_scale")).alias("density"))
     )

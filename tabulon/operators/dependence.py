@@ -27,17 +27,17 @@ def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
     equals N·(sum of O²/(row total · column total) - 1): only cells that occur are formed.
     """
     pairs = df.where(F.col(a).isNotNull() & F.col(b).isNotNull())
-    cells = materialize(pairs.groupBy(a, b).agg(F.count("*").alias("o")))
+    cells = materialize(pairs.groupBy(a, b).agg(F.count("*").alias("_o")))
     # a hot key has many cells, whatever the number of rows behind each
-    row_totals = cells.groupBy(a).agg(F.sum("o").cast("double").alias("r"), F.count("*").alias("_cells"))
-    col_totals = cells.groupBy(b).agg(F.sum("o").cast("double").alias("c"), F.count("*").alias("_cells"))
-    n = cells.agg(F.sum("o").cast("double")).scalar()
+    row_totals = cells.groupBy(a).agg(F.sum("_o").cast("double").alias("_r"), F.count("*").alias("_cells"))
+    col_totals = cells.groupBy(b).agg(F.sum("_o").cast("double").alias("_c"), F.count("*").alias("_cells"))
+    n = cells.agg(F.sum("_o").cast("double")).scalar()
     joined = attach(attach(cells, row_totals, [a], size_col="_cells"), col_totals, [b], size_col="_cells")
     sums = joined.agg(
-        F.sum(F.col("o") * F.col("o") / (F.col("r") * F.col("c"))).alias("ratio"),
+        F.sum(F.col("_o") * F.col("_o") / (F.col("_r") * F.col("_c"))).alias("ratio"),
         F.count_distinct(a).alias("n_a"),
         F.count_distinct(b).alias("n_b"),
-        F.max(F.abs(F.col("o") - F.col("r") * F.col("c") / n)).alias("deviation"),
+        F.max(F.abs(F.col("_o") - F.col("_r") * F.col("_c") / n)).alias("deviation"),
     ).withColumn("dof", (F.col("n_a") - 1) * (F.col("n_b") - 1))
     plain = n * (F.col("ratio") - 1)
     # the four cells of a 2x2 table deviate by the same |O-E|; the correction lowers it by 1/2

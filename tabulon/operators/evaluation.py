@@ -145,11 +145,11 @@ def auc_binary(df: DataFrame, flag: str, score: str) -> DataFrame:
     counted = (
         df.where(F.col(flag).isNotNull() & F.col(score).isNotNull())
         .groupBy(score)
-        .agg(F.count_if(F.col(flag) == 1).alias("pos"), F.count_if(F.col(flag) == 0).alias("neg"))
+        .agg(F.count_if(F.col(flag) == 1).alias("_pos"), F.count_if(F.col(flag) == 0).alias("_neg"))
     )
-    totals = running_totals(counted, [], score, ["neg"])
-    wins = F.sum(F.col("pos") * (F.col("neg_before") + F.col("neg") / F.lit(2.0)))
-    return totals.agg((wins / (F.sum("pos").cast("double") * F.sum("neg"))).alias("auc"))
+    totals = running_totals(counted, [], score, ["_neg"])
+    wins = F.sum(F.col("_pos") * (F.col("_neg_before") + F.col("_neg") / F.lit(2.0)))
+    return totals.agg((wins / (F.sum("_pos").cast("double") * F.sum("_neg"))).alias("auc"))
 
 
 def evaluate(df: DataFrame, labels: Sequence, true: str, predicted: str, probabilities: str | None) -> dict[str, float]:
