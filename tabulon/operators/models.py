@@ -24,11 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabulon.operators.cleaning import require_columns
-from tabulon.operators.profile import literal_rows
 from tabulon.operators.resampling import class_counts
 from tabulon.operators.transforms import LabelCodes, argmax
 from tabulon.session import materialize
-from tabulon.sources.tables import read_record, write_record
+from tabulon.sources.tables import literal_rows, read_record, write_record
 
 _INPUT = ["_features", "_label", "_weight"]
 _ONE_VS_REST_THREADS = 4
@@ -261,6 +260,9 @@ def fit_classifier(
     if len(counts) < 2:
         raise ValueError("training needs at least 2 classes")
     weights = [total / (len(counts) * counts[c]) if c in counts else 0.0 for c in labels.labels]
+    # multiples of 2^-30 add up exactly in any order, so that equally good splits of a tree are
+    # not told apart by rounding and a seed gives the same forest again
+    weights = [round(w * 2**30) / 2**30 for w in weights]
     code = F.col("_code").cast("double").alias("_label", metadata=_nominal(labels.labels))
     inputs = labels.encode(df, target, "_code").select(
         array_to_vector(F.array(*[F.col(c).cast("double") for c in features])).alias("_features"),

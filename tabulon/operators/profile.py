@@ -11,18 +11,11 @@ from tabulon.functions.hashing import hash_cutoffs, order_hash
 from tabulon.functions.quantiles import exact_quantiles
 from tabulon.functions.ranks import global_position
 from tabulon.operators.cleaning import require_columns
+from tabulon.sources.tables import literal_rows
 
 QUARTILES = [0.25, 0.5, 0.75]
 
 
-def literal_rows(spark, columns: dict[str, str], rows: Sequence[Sequence]) -> DataFrame:
-    """A small result table of fixed size, built from literals inside the plan."""
-    structs = [
-        F.struct(*[F.lit(v).cast(t).alias(c) for v, (c, t) in zip(row, columns.items())]) for row in rows
-    ]
-    return spark.range(1).select(F.inline(F.array(*structs)))
-
-
 def nunique(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """One row per column with its number of distinct non-null values."""
     count = F.approx_count_distinct if approximate else F.count_distinct

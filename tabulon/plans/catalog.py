@@ -420,7 +420,7 @@ def _sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 def _metrics(spark: SparkSession, found: dict[str, float]) -> DataFrame:
-    return profile.literal_rows(spark, {"metric": "string", "value": "double"}, sorted(found.items()))
+    return tables.literal_rows(spark, {"metric": "string", "value": "double"}, sorted(found.items()))
 
 
 def _fit_score(spark: SparkSession, sf: str, model: str, params: dict, features: Features = FEATURES) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -30,14 +30,12 @@ class Predictor:
     def predict(self, df: DataFrame) -> DataFrame:
         """All input columns and ``prediction``; no row is added or lost, nothing is shuffled."""
         inference_input(df, self.expected, self.target, self.group)
-        kept = {f"_in_{c}": F.col(c) for c in df.columns}
         present = set(df.columns) - {self.target, self.group}
         drop = tuple(c for c in self.cleaning.drop if c in present)
-        settings = Cleaning(self.cleaning.sentinels, self.cleaning.pairs, ())
-        cleaned = clean(df.withColumns(kept), settings).drop(*drop)
-        cleaned = cleaned.withColumns({name: F.col(name) for name in kept})
-        scored = self.model.predict(cleaned)
-        return scored.select(*[F.col(f"_in_{c}").alias(c) for c in df.columns], "prediction")
+        # the record travels in a struct, which cleaning leaves alone
+        carried = df.withColumn("_record", F.struct(*[F.col(c) for c in df.columns]))
+        scored = self.model.predict(clean(carried, replace(self.cleaning, drop=drop)))
+        return scored.select("_record.*", "prediction")
 
     def predict_one(self, df: DataFrame) -> dict[str, Any]:
         """A single record with its latency; more or fewer rows are refused."""

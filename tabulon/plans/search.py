@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tabulon.config import Features, GroupSplit, SearchSettings
 from tabulon.operators.dependence import spearman
 from tabulon.operators.evaluation import classification_report, confusion
-from tabulon.operators.profile import literal_rows, value_counts
+from tabulon.operators.profile import value_counts
 from tabulon.operators.splits import TEST, TRAIN, group_shuffle_split
 from tabulon.plans.spaces import SPACES, draw, with_fixed
 from tabulon.plans.training import TrainedModel, train_and_evaluate
@@ -23,7 +23,7 @@ from tabulon.plans.validation import METRICS, fold_table, permutation_importance
 from tabulon.session import materialize
 from tabulon.sources.artifacts import log_run, save_labels
 from tabulon.sources.fingerprints import table_fingerprint
-from tabulon.sources.tables import write_record, write_table
+from tabulon.sources.tables import literal_rows, write_record, write_table
 
 log = logging.getLogger(__name__)
 
@@ -36,7 +36,8 @@ class Trial:
     resampling: str
     params: dict[str, Any]
     metrics: dict[str, float]
-    state: str = "complete"
+    state: str = "planned"
+    error: Exception | None = None
 
 
 def plan_trials(settings: SearchSettings) -> list[Trial]:
@@ -69,22 +70,32 @@ def run_search(
             found = validate_folds(
                 folded, chosen, target, key, settings.folds, trial.model, trial.params, settings.seed, parallel=1
             )
-        except Exception:
+        except Exception as e:
             log.exception("trial %d (%s) failed", trial.number, trial.model)
-            raise
+            return replace(trial, state="failed", error=e)
         names = [m for m in METRICS if all(m in fold for fold in found)]
-        done = replace(trial, metrics={m: sum(fold[m] for fold in found) / len(found) for m in names})
-        if log_path:
-            # named per model, so that one table can hold the parameters of all of them
-            named = {f"{trial.model}_{k}": v for k, v in trial.params.items()}
-            chosen_steps = {"model_name": trial.model, "scaler": trial.scaler, "resampling": trial.resampling}
-            log_run(df.sparkSession, log_path, f"trial-{trial.number}", "params", {**chosen_steps, **named})
-            log_run(df.sparkSession, log_path, f"trial-{trial.number}", "metrics", done.metrics)
-            log_run(df.sparkSession, log_path, f"trial-{trial.number}", "state", {"state": done.state})
-        return done
+        return replace(trial, state="complete", metrics={m: sum(fold[m] for fold in found) / len(found) for m in names})
 
+    done = []
     with ThreadPoolExecutor(settings.parallel) as pool:
-        return list(pool.map(run, plan_trials(settings)))
+        for trial in pool.map(run, plan_trials(settings)):
+            done.append(trial)
+            if log_path:
+                _log_trial(df, log_path, trial)
+    for trial in done:
+        if trial.error is not None:
+            raise trial.error
+    return done
+
+
+def _log_trial(df: DataFrame, path: str, trial: Trial) -> None:
+    # named per model, so that one table can hold the parameters of all of them
+    named = {f"{trial.model}_{k}": v for k, v in trial.params.items()}
+    steps = {"model_name": trial.model, "scaler": trial.scaler, "resampling": trial.resampling}
+    log_run(
+        df.sparkSession, path, f"trial-{trial.number}",
+        params={**steps, **named}, metrics=trial.metrics, state={"state": trial.state},
+    )
 
 
 def best_trial(trials: list[Trial], settings: SearchSettings) -> Trial:
@@ -148,9 +159,8 @@ def run_experiment(
         write_record(spark, {k: v for k, v in {**steps, **best.params}.items() if v is not None}, f"{out}/best_params")
         save_labels(spark, list(labels), f"{out}/labels")
         fingerprint = table_fingerprint(df, [key, split.target]).first().asDict()
-        log_run(spark, f"{out}/runs", run_id, "data", {k: int(v) for k, v in fingerprint.items()})
-        log_run(spark, f"{out}/runs", run_id, "metrics", metrics)
-        log_run(spark, f"{out}/runs", run_id, "params", {**steps, **best.params})
+        data = {k: int(v) for k, v in fingerprint.items()}
+        log_run(spark, f"{out}/runs", run_id, data=data, metrics=metrics, params={**steps, **best.params})
         fitted.save(spark, f"{out}/model", train_rows)
         return fitted, metrics
     except Exception:

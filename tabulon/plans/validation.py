@@ -11,11 +11,11 @@ from tabulon.config import SEED, Features
 from tabulon.functions.hashing import hash_number, order_hash
 from tabulon.functions.ranks import global_position
 from tabulon.operators.cleaning import check_preflight
-from tabulon.operators.profile import literal_rows
 from tabulon.operators.splits import with_folds
 from tabulon.operators.transforms import fit_labels
 from tabulon.plans.training import TrainedModel, score, train
 from tabulon.session import materialize
+from tabulon.sources.tables import literal_rows
 
 METRICS = ("log_loss", "accuracy", "f1", "precision", "recall", "roc_auc")
 

@@ -9,7 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.sources.tables import read_record, require_path, write_record
+from tabulon.sources.tables import literal_rows, read_record, require_path, write_record
 
 
 def save_labels(spark: SparkSession, labels: list[str], path: str) -> None:
@@ -62,20 +62,19 @@ def signature(inputs: DataFrame, outputs: DataFrame, example_rows: int = 3) -> d
     }
 
 
-def log_run(spark: SparkSession, path: str, run_id: str, kind: str, values: dict) -> None:
-    """Append (run_id, kind, key, value, ts) rows; values are kept as JSON text."""
+def log_run(spark: SparkSession, path: str, run_id: str, **kinds: dict) -> None:
+    """Append (run_id, kind, key, value, ts) rows; values are kept as JSON text.
+
+    One write per call. Calls for the same path come from one thread, since concurrent appends
+    to one directory would clear each other's temporary files.
+    """
     now = datetime.now(timezone.utc).isoformat()
-    pairs = [F.struct(F.lit(str(k)).alias("key"), F.lit(json.dumps(v)).alias("value")) for k, v in values.items()]
-    if not pairs:
-        return
-    (
-        spark.range(1)
-        .select(F.lit(run_id).alias("run_id"), F.lit(kind).alias("kind"), F.explode(F.array(*pairs)).alias("kv"))
-        .select("run_id", "kind", "kv.key", "kv.value", F.lit(now).alias("ts"))
-        .coalesce(1)
-        .write.mode("append")
-        .parquet(path)
-    )
+    names = {"run_id": "string", "kind": "string", "key": "string", "value": "string", "ts": "string"}
+    entries = [
+        (run_id, kind, str(key), json.dumps(value), now) for kind, values in kinds.items() for key, value in values.items()
+    ]
+    if entries:
+        literal_rows(spark, names, entries).coalesce(1).write.mode("append").parquet(path)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

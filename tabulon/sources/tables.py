@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,5 +79,13 @@ def read_record(spark: SparkSession, path: str) -> dict:
     return spark.read.json(path).first().asDict(recursive=True)
 
 
+def literal_rows(spark: SparkSession, columns: dict[str, str], rows: Sequence[Sequence]) -> DataFrame:
+    """A small result table of fixed size, built from literals inside the plan."""
+    structs = [
+        F.struct(*[F.lit(v).cast(t).alias(c) for v, (c, t) in zip(row, columns.items())]) for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def _q(name: str) -> str:
     return f"`{name}`"

@@ -12,10 +12,9 @@ from pyspark.sql import types as T
 
 from tabulon.functions.hashing import hash_number
 from tabulon.functions.ranks import global_position
-from tabulon.operators.profile import literal_rows
 from tabulon.plans.scoring import Predictor
 from tabulon.session import scratch_path
-from tabulon.sources.tables import write_table
+from tabulon.sources.tables import literal_rows, write_table
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1) -> DataFrame:

@@ -100,8 +100,8 @@ def test_labels_records_and_run_log(spark, tmp_path):
     tables.write_record(spark, {"n": 3, "name": "x", "share": 0.5}, str(tmp_path / "rec"))
     assert tables.read_record(spark, str(tmp_path / "rec")) == {"n": 3, "name": "x", "share": 0.5}
     log = str(tmp_path / "runs")
-    artifacts.log_run(spark, log, "r1", "params", {"depth": 3, "criterion": "gini"})
-    artifacts.log_run(spark, log, "r1", "metrics", {"f1": 0.5})
+    artifacts.log_run(spark, log, "r1", params={"depth": 3, "criterion": "gini"})
+    artifacts.log_run(spark, log, "r1", metrics={"f1": 0.5}, state={})
     assert rows(artifacts.read_log(spark, log), "run_id", "kind", "key", "value") == [
         ("r1", "metrics", "f1", "0.5"), ("r1", "params", "criterion", '"gini"'), ("r1", "params", "depth", "3"),
     ]
