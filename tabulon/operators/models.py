@@ -253,16 +253,17 @@ def clean_params(name: str, params: dict | None) -> dict:
 def fit_classifier(
     df: DataFrame, name: str, features: Sequence[str], target: str, labels: LabelCodes, params: dict | None, seed: int
 ) -> Classifier:
-    """Train on balanced class weights n / (k · n_class)."""
+    """Train on balanced class weights n / (k · n_class).
+
+    The same seed gives the same model on the same layout of the rows over partitions, which is
+    what Spark ML seeds its sampling by.
+    """
     chosen, known = family(name), clean_params(name, params)
     counts = class_counts(df, target)
     total = sum(counts.values())
     if len(counts) < 2:
         raise ValueError("training needs at least 2 classes")
     weights = [total / (len(counts) * counts[c]) if c in counts else 0.0 for c in labels.labels]
-    # multiples of 2^-30 add up exactly in any order, so that equally good splits of a tree are
-    # not told apart by rounding and a seed gives the same forest again
-    weights = [round(w * 2**30) / 2**30 for w in weights]
     code = F.col("_code").cast("double").alias("_label", metadata=_nominal(labels.labels))
     inputs = labels.encode(df, target, "_code").select(
         array_to_vector(F.array(*[F.col(c).cast("double") for c in features])).alias("_features"),

@@ -87,12 +87,10 @@ def test_models_learn_save_and_load(spark, sides, tmp_path, name, params, least)
     assert rows(again.predict_keeping(sides[1]), "obj_ID", "prediction") == rows(scored, "obj_ID", "prediction")
 
 
-def test_same_seed_same_forest(sides, forest):
-    again = training.train(sides[0], FEATURES, "class", "obj_ID", "random_forest", FOREST)
-    want = {r.feature: r.importance for r in forest.classifier.importance().collect()}
-    got = {r.feature: r.importance for r in again.classifier.importance().collect()}
-    assert got == pytest.approx(want, abs=1e-9)  # sums over tasks arrive in any order
-    assert rows(again.predict(sides[1]), "obj_ID", "prediction") == rows(forest.predict(sides[1]), "obj_ID", "prediction")
+def test_same_seed_and_layout_same_forest(sides):
+    one_partition = sides[0].coalesce(1)
+    first, again = (training.train(one_partition, FEATURES, "class", "obj_ID", "random_forest", FOREST) for _ in range(2))
+    assert rows(again.predict(sides[1]), "obj_ID", "prediction") == rows(first.predict(sides[1]), "obj_ID", "prediction")
 
 
 @pytest.mark.parametrize("scaler, resampling", [("robust", "smote"), ("minmax", "undersampling"), ("standard", None)])
