@@ -5,7 +5,8 @@ The space of each class is cut into cells of a few thousand points by a tree of
 (learnt from a bounded sample; the sample shapes the cells only, never the result). A query
 first searches its own cell, which gives a radius; it is then sent to just those other cells
 that its ball touches, and the candidates are merged. Cells, query loads and candidate lists
-are bounded, and the answer does not depend on how the cells were cut.
+are bounded, and the answer does not depend on how the cells were cut. Meant for the handful of
+numeric features of a table: in many dimensions a ball touches most cells.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from tabulon.functions.joins import attach
 from tabulon.session import materialize
 
 CELL_POINTS = 2_000
-MAX_CELLS = 8_192
+MAX_CELLS = 32_768
 SAMPLE_PER_CELL = 40
 QUERY_CHUNK = 20_000
 _BLOCK = 256

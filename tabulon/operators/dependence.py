@@ -34,11 +34,11 @@ def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
     n = cells.agg(F.sum("_o").cast("double")).scalar()
     joined = attach(attach(cells, row_totals, [a], size_col="_cells"), col_totals, [b], size_col="_cells")
     sums = joined.agg(
-        F.sum(F.col("_o") * F.col("_o") / (F.col("_r") * F.col("_c"))).alias("ratio"),
-        F.count_distinct(a).alias("n_a"),
-        F.count_distinct(b).alias("n_b"),
+        F.sum(F.col("_o").cast("double") / F.col("_r") * F.col("_o") / F.col("_c")).alias("ratio"),
         F.max(F.abs(F.col("_o") - F.col("_r") * F.col("_c") / n)).alias("deviation"),
-    ).withColumn("dof", (F.col("n_a") - 1) * (F.col("n_b") - 1))
+    )
+    n_a, n_b = (cells.agg(F.count_distinct(c)).scalar() for c in (a, b))
+    sums = sums.withColumn("dof", (n_a - 1) * (n_b - 1))
     plain = n * (F.col("ratio") - 1)
     # the four cells of a 2x2 table deviate by the same |O-E|; the correction lowers it by 1/2
     shrink = 1 - F.least(F.lit(0.5), F.col("deviation")) / F.col("deviation")

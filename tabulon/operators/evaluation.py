@@ -92,18 +92,32 @@ def label_metrics(df: DataFrame, true: str, predicted: str) -> DataFrame:
 
 
 def classification_report(df: DataFrame, true: str, predicted: str) -> DataFrame:
-    """Per class precision, recall, F1 and support, then accuracy, macro and weighted averages."""
-    scores = per_class_scores(outcome_counts(df, true, predicted))
+    """Per class precision, recall, F1 and support, then accuracy, macro and weighted averages.
+
+    Every class adds its share to its own row and to the three summary rows, so that one pass
+    over the few class scores gives them all.
+    """
     columns = ("precision", "recall", "f1")
-    rows = scores.select(F.col("label").cast("string").alias("label"), *columns, "support")
-    total = F.sum("support").alias("support")
-    hits = (F.sum("hits") / F.sum("support")).alias("hits")
-    accuracy = scores.agg(hits, total).select(
-        F.lit("accuracy").alias("label"), *[F.col("hits").alias(c) for c in columns], "support"
+
+    def share(label: Column, weight: Column, *values: Column):
+        parts = [(v * weight).alias(f"_{c}") for c, v in zip(columns, values)]
+        return F.struct(label.alias("label"), weight.alias("_weight"), *parts, F.col("support").alias("support"))
+
+    own = [F.col(c) for c in columns]
+    one, support = F.lit(1.0), F.col("support").cast("double")
+    hit_rate = F.when(support > 0, F.col("hits") / support).otherwise(F.lit(0.0))
+    shares = F.array(
+        share(F.col("label").cast("string"), one, *own),
+        share(F.lit("accuracy"), support, hit_rate, hit_rate, hit_rate),
+        share(F.lit("macro avg"), one, *own),
+        share(F.lit("weighted avg"), support, *own),
+    )
+    scores = per_class_scores(outcome_counts(df, true, predicted))
+    return (
+        scores.select(F.inline(shares))
+        .groupBy("label")
+        .agg(*[(F.sum(f"_{c}") / F.sum("_weight")).alias(c) for c in columns], F.sum("support").alias("support"))
     )
-    macro = scores.agg(*[F.avg(c).alias(c) for c in columns], total).withColumn("label", F.lit("macro avg"))
-    weighted = scores.agg(*[_weighted(c).alias(c) for c in columns], total).withColumn("label", F.lit("weighted avg"))
-    return rows.unionByName(accuracy).unionByName(macro).unionByName(weighted)
 
 
 def auc_one_vs_one(df: DataFrame, labels: Sequence, true: str, probabilities: str) -> DataFrame:

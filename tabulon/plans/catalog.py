@@ -545,8 +545,7 @@ def _records(spark: SparkSession, sf: str) -> DataFrame:
 
 def quarantine(spark: SparkSession, sf: str) -> DataFrame:
     parsed = streams.parse_records(_records(spark, sf), BANDS)
-    good, bad = streams.split_valid(parsed, F.col("bad_fields") == 0)
-    return good.withColumn("status", F.lit("ok")).unionByName(bad.withColumn("status", F.lit("quarantined")))
+    return streams.flag_valid(parsed, F.col("bad_fields") == 0)
 
 
 def batch_accuracy(spark: SparkSession, sf: str) -> DataFrame:

@@ -85,8 +85,13 @@ def read_predictions(spark: SparkSession, out: str) -> DataFrame:
     return rows.join(timing, "batch_id", "left")  # one row per micro-batch, sized by Catalyst
 
 
+def flag_valid(rows: DataFrame, valid: Column) -> DataFrame:
+    """Adds ``status``: ok, or quarantined (a null verdict counts as bad). One pass over the rows."""
+    return rows.withColumn("status", F.when(valid, F.lit("ok")).otherwise(F.lit("quarantined")))
+
+
 def split_valid(rows: DataFrame, valid: Column) -> tuple[DataFrame, DataFrame]:
-    """Rows that satisfy the predicate, and the rest (a null verdict counts as bad)."""
+    """Rows that satisfy the predicate, and the rest. For two sinks of one stored table."""
     verdict = F.coalesce(valid, F.lit(False))
     return rows.where(verdict), rows.where(~verdict)
 
