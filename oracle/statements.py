@@ -329,6 +329,10 @@ SELECT b.range AS bin, round(low + b.range * w, 6) AS bin_low, round(low + (b.ra
     "temporal_holdout": _with(OBS, CUT) + "SELECT obj_id, mjd, side FROM sided",
     "daily_batches": _with(OBS, CUT)
     + "SELECT obj_id, mjd, (row_number() OVER (ORDER BY mjd, obj_id) - 1) // 2000 + 1 AS batch FROM sided WHERE side = 'prod'",
+    "time_order": _OBS + "SELECT obj_id, mjd, row_number() OVER (ORDER BY mjd, obj_id) - 1 AS position FROM obs",
+    "append_frames": _with(OBS, CUT)
+    + "SELECT class, side, count(*) AS n, round(count(*)::DOUBLE / sum(count(*)) OVER (PARTITION BY side), 6) AS share "
+    "FROM sided GROUP BY class, side",
     "row_split": _OBS
     + f"SELECT obj_id, CASE WHEN row_number() OVER (ORDER BY {_md5(SEED, 'obj_id')}) "
     "<= count(*) OVER () - floor(0.15 * count(*) OVER ()) THEN 'train' ELSE 'test' END AS side FROM obs",

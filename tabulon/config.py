@@ -96,7 +96,9 @@ class Features:
 class SearchSettings:
     """Random search over models, their parameters, scaler and resampling."""
 
-    models: tuple[str, ...] = ("random_forest", "gradient_boosting", "logreg", "linear_svc", "dense_nn")
+    models: tuple[str, ...] = (
+        "dense_nn", "random_forest", "xgboost", "lightgbm", "catboost", "svc", "sgd", "logreg",
+    )
     trials: int = 1
     folds: int = 3
     metric: str = "f1"

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from tabulon.functions.ranks import running_totals
 
-FINAL_ROWS = 200_000
+FINAL_ROWS = 200_000  # values of one column brought together at the end
+TOTAL_ROWS = 1_000_000  # the same for all columns
 ACCURACY = 10_000
 
 
@@ -52,7 +53,8 @@ def _select(
     df: DataFrame, columns: list[str], wanted: Callable[[str, int], list[int]], final_rows: int | None
 ) -> tuple[dict[str, dict[int, Any]], dict[str, int]]:
     """Values at the ranks that ``wanted`` names per column and row count, and the row counts."""
-    final_rows = FINAL_ROWS if final_rows is None else final_rows
+    if final_rows is None:
+        final_rows = min(FINAL_ROWS, TOTAL_ROWS // max(len(columns), 1))
     found: dict[str, dict[int, Any]] = {c: {} for c in columns}
     if not columns:
         return found, {}

@@ -167,12 +167,18 @@ def auc_binary(df: DataFrame, flag: str, score: str) -> DataFrame:
 
 
 def evaluate(df: DataFrame, labels: Sequence, true: str, predicted: str, probabilities: str | None) -> dict[str, float]:
-    """All metrics, rounded to 4 digits; those that need probabilities are left out without them."""
-    found = label_metrics(df, true, predicted).first().asDict()
+    """All metrics, rounded to 4 digits; those that need probabilities are left out without them.
+
+    The other metrics ride along as scalar subqueries, so that Spark runs them side by side.
+    """
+    found = label_metrics(df, true, predicted)
     if probabilities:
-        found["log_loss"] = log_loss(df, labels, true, probabilities).first()[0]
-        found["roc_auc"] = auc_one_vs_one(df, labels, true, probabilities).first()[0]
-    return {name: round(value, 4) for name, value in found.items() if value is not None}
+        found = found.select(
+            "*",
+            log_loss(df, labels, true, probabilities).scalar().alias("log_loss"),
+            auc_one_vs_one(df, labels, true, probabilities).scalar().alias("roc_auc"),
+        )
+    return {name: round(value, 4) for name, value in found.first().asDict().items() if value is not None}
 
 
 def batch_accuracy(df: DataFrame, batch: str, true: str, predicted: str) -> DataFrame:

@@ -215,6 +215,8 @@ class Classifier:
 
     def importance(self) -> DataFrame:
         """(feature, importance) of a forest, largest first."""
+        if not all(hasattr(m, "featureImportances") for m in self.models) or len(self.models) != 1:
+            raise ValueError(f"{self.name} has no feature importances of its own; use permutation importance")
         (model,) = self.models
         weights = model.featureImportances.toArray()
         rows = sorted(zip(self.features, (float(w) for w in weights)), key=lambda fw: (-fw[1], fw[0]))

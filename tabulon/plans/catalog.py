@@ -307,6 +307,20 @@ def daily_batches(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("batch", F.col("batch").cast("long"))
 
 
+def time_order(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.with_position(observations(spark, sf, "obj_id", "mjd"), ["mjd", "obj_id"])
+
+
+def append_frames(spark: SparkSession, sf: str) -> DataFrame:
+    """Class counts of both sides of the time split in one frame."""
+    sided = splits.temporal_holdout(observations(spark, sf, "obj_id", "mjd", "class"), "mjd", "obj_id", 0.2)
+    sides = [
+        rounded(profile.value_counts(sided.where(F.col("side") == side), "class")).withColumn("side", F.lit(side))
+        for side in (splits.TRAIN, splits.PROD)
+    ]
+    return sides[0].unionByName(sides[1])
+
+
 def row_split(spark: SparkSession, sf: str) -> DataFrame:
     return splits.row_split(observations(spark, sf, "obj_id"), "obj_id", 0.15, SEED)
 
@@ -564,7 +578,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         moments, histogram, kde, kde_common_norm, crosstab, chi_square, chi_square_2x2, pearson, spearman,
         split_metadata, class_weights, table_info,
         duplicated_rows, average_rank, top_groups, latest_row, sample_n, group_leak_check,
-        group_shuffle_split, strat_group_kfold, temporal_holdout, daily_batches, row_split,
+        group_shuffle_split, strat_group_kfold, temporal_holdout, time_order, daily_batches, append_frames, row_split,
         median_impute, standard_scale, robust_scale, minmax_scale, label_encode, pca_variance,
         undersample, smote_counts, smote_points,
         log_loss, prf_metrics, auc_ovo, auc_binary, class_report, confusion, argmax_label,

@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable, Sequence
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,25 +37,21 @@ def stream_predict(
 
     Output goes to ``batch_id=N`` directories that are overwritten when Spark repeats a
     micro-batch after a failure, so that no row is written twice. Rows that fail ``valid`` go
-    to ``quarantine`` and the stream goes on. A micro-batch is one job, and a second one only if
-    it holds bad rows. With ``max_records`` the stream ends once that many rows are scored.
-    Returns the number of scored rows.
+    to ``quarantine`` and the stream goes on. With ``max_records`` the stream ends once that many
+    rows are scored. Returns the number of scored rows.
     """
     spark = stream.sparkSession
-    verdict = F.lit(True) if valid is None else F.coalesce(valid, F.lit(False))
     timing: list[tuple[int, int, float]] = []
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         started = time.perf_counter()
-        seen = Observation()
-        counts = [F.count_if(verdict).alias("good"), F.count_if(~verdict).alias("bad")]
-        good = batch.observe(seen, *counts).where(verdict)
-        scored = _predict_beside(predictor, good, batch_columns)
-        scored.write.mode("overwrite").parquet(f"{out}/rows/batch_id={batch_id}")
-        found = seen.get
-        if found["bad"]:
-            batch.where(~verdict).write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
-        timing.append((batch_id, found["good"], (time.perf_counter() - started) / max(found["good"], 1)))
+        good, bad = (batch, None) if valid is None else split_valid(batch, valid)
+        target = f"{out}/rows/batch_id={batch_id}"
+        _predict_beside(predictor, good, batch_columns).write.mode("overwrite").parquet(target)
+        rows = spark.read.parquet(target).count()  # from the footers of the files just written
+        timing.append((batch_id, rows, (time.perf_counter() - started) / max(rows, 1)))
+        if bad is not None:
+            bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
 
     query = (
         stream.writeStream.foreachBatch(handle)

@@ -126,6 +126,12 @@ def test_importance_finds_the_informative_columns(sides, forest):
     assert max(found, key=found.get) == "redshift" and found["redshift"] > 0.2 and abs(found["i_z"]) < 0.1
 
 
+def test_importance_is_for_forests(sides):
+    model = training.train(sides[0], FEATURES, "class", "obj_ID", "logreg", {"max_iter": 5})
+    with pytest.raises(ValueError, match="permutation"):
+        model.classifier.importance()
+
+
 def test_cross_validation(raw):
     clean = cleaning.clean(raw, CLEAN)
     table = validation.cross_validate(clean, FEATURES, "class", "field_ID", "obj_ID", "random_forest", FOREST)
