@@ -126,7 +126,7 @@ def _kde(column: str, common: bool) -> str:
             "FROM k, range(200) g)",
             f"vals AS (SELECT class, {column}::DOUBLE AS v, count(*) AS w FROM obs GROUP BY ALL)",
         )
-        + f"""SELECT k.class, k.grid_point, round(k.x, 9) AS x,
+        + f"""SELECT k.class, k.grid_point, round(k.x, 6) AS x,
   round(sum(w * exp(-0.5 * pow((k.x - v.v) / k.h, 2))) * ({scale.replace('k.n', 'any_value(k.n)')})
         / (any_value(k.n) * any_value(k.h) * sqrt(2 * pi())), 9) AS density
 FROM grid k JOIN vals v ON v.class = k.class GROUP BY k.class, k.grid_point, k.x"""

@@ -205,12 +205,17 @@ def histogram(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(density.histogram(observations(spark, sf, "r"), "r", 50))
 
 
+def _curve(df: DataFrame) -> DataFrame:
+    """Places are in the thousands, densities below 0.01: each gets the digits that sums can hold."""
+    return df.withColumns({"x": F.round("x", 6), "density": F.round("density", 9)})
+
+
 def kde(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(density.kde(observations(spark, sf, "redshift", "class"), "redshift", "class"), 9)
+    return _curve(density.kde(observations(spark, sf, "redshift", "class"), "redshift", "class"))
 
 
 def kde_common_norm(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(density.kde(observations(spark, sf, "mjd", "class"), "mjd", "class", common_norm=True), 9)
+    return _curve(density.kde(observations(spark, sf, "mjd", "class"), "mjd", "class", common_norm=True))
 
 
 def crosstab(spark: SparkSession, sf: str) -> DataFrame:
