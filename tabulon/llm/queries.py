@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabulon.llm.language import fit_language_model, held_out
 from tabulon.llm.line_windows import drop_repeated_windows
+from tabulon.llm.packing import pack_documents
 from tabulon.llm.sharding import shard_contiguous, text_size
 from tabulon.llm.tables import documents
 from tabulon.llm.url_graph import Rule, filter_urls
@@ -20,6 +22,16 @@ RULES = [
 ]
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(documents(spark, sf_dir).select("doc_id", "text"), tokenizer_path())
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents(spark, sf_dir).select(
         "doc_id",
@@ -37,6 +49,14 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    model = fit_language_model(docs, ~held_out("doc_id"))
+    return model.predict(docs.select("doc_id", held_out("doc_id").alias("held_out"), "text")).select(
+        "doc_id", "held_out", "lang_pred", "score"
+    )
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return filter_urls(pages, RULES).select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
@@ -50,7 +70,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
     "op3_sharding": op3_sharding,
+    "op5_language_id": op5_language_id,
     "op8_url_filter": op8_url_filter,
     "op10_line_dedup": op10_line_dedup,
 }

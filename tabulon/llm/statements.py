@@ -6,7 +6,7 @@ STATEMENTS = {
         WITH sized AS (
           SELECT doc_id, text, octet_length(encode(coalesce(text, ''))) + 16 AS size FROM documents
         ), bytes AS (
-          SELECT list_transform(range(256), x -> list_reduce(list_concat([x], range(8)), (c, k) ->
+          SELECT list_transform(range(256), lambda x: list_reduce(list_concat([x], range(8)), lambda c, k:
                    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS steps
         ), summed AS (
           SELECT *, hex(encode(coalesce(text, ''))) AS digits, sum(size) OVER (ORDER BY doc_id ROWS UNBOUNDED PRECEDING) - size AS start, sum(size) OVER () AS total
@@ -15,8 +15,8 @@ STATEMENTS = {
           SELECT *, least(39, ((2 * start + size) * 40) // (2 * total))::INT AS shard FROM summed
         )
         SELECT doc_id, size::BIGINT AS size, xor(4294967295, list_reduce(
-                 list_concat([4294967295], list_transform(range(len(digits) // 2), k -> ('0x' || substr(digits, 2 * k + 1, 2))::BIGINT)),
-                 (c, b) -> xor(c >> 8, steps[(xor(c, b) & 255) + 1]))) AS text_crc32, 'bytes' AS law, shard,
+                 list_concat([4294967295], list_transform(range(len(digits) // 2), lambda k: ('0x' || substr(digits, 2 * k + 1, 2))::BIGINT)),
+                 lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]))) AS text_crc32, 'bytes' AS law, shard,
                row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, NULL::INT AS grown_shard
         FROM cut, bytes
     """,
