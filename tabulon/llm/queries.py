@@ -9,6 +9,7 @@ from tabulon.llm.language import fit_language_model, held_out
 from tabulon.llm.line_windows import drop_repeated_windows
 from tabulon.llm.packing import pack_documents
 from tabulon.llm.sharding import shard_contiguous, text_size
+from tabulon.llm.shingle_join import similar_groups
 from tabulon.llm.tables import documents
 from tabulon.llm.url_graph import Rule, filter_urls
 
@@ -57,6 +58,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_groups(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     return filter_urls(pages, RULES).select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
@@ -73,6 +78,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op3_sharding": op3_sharding,
     "op5_language_id": op5_language_id,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_url_filter": op8_url_filter,
     "op10_line_dedup": op10_line_dedup,
 }
