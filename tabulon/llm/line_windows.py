@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,10 +16,15 @@ def _lines(text: str | Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once; in a lambda a plain expression would be computed for each element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _windows(text: Column, width: int) -> Column:
     """Per window over the lines that are not blank: its first line's index, its lines, its hashes."""
     numbered = F.transform(_lines(text), lambda x, i: F.struct(x.alias("line"), i.alias("i")))
-    full = F.filter(numbered, lambda x: F.length(F.trim(F.regexp_replace(x["line"], r"\s+", " "))) > 0)
+    filled = F.filter(numbered, lambda x: x["line"].rlike(r"\S"))
 
     def window(full: Column, k: Column) -> Column:
         at = [F.element_at(full, k + j) for j in range(width)]
@@ -29,8 +36,11 @@ def _windows(text: Column, width: int) -> Column:
             F.xxhash64(F.lit(7), *text).alias("h2"),
         )
 
-    places = F.when(F.size(full) >= width, F.sequence(F.lit(1), F.size(full) - width + 1))
-    return F.transform(places, lambda k: window(full, k))
+    def windows(full: Column) -> Column:
+        places = F.when(F.size(full) >= width, F.sequence(F.lit(1), F.size(full) - width + 1))
+        return F.transform(places, lambda k: window(full, k))
+
+    return _let(filled, windows)
 
 
 def drop_repeated_windows(docs: DataFrame, text: str = "text", order: str = "doc_id", width: int = WINDOW) -> DataFrame:
@@ -65,9 +75,12 @@ def drop_repeated_windows(docs: DataFrame, text: str = "text", order: str = "doc
         .agg(F.flatten(F.collect_list("lines")).alias("gone"))  # of one document
         .select("id", F.array_distinct("gone").alias("gone"))
     )
-    numbered = F.transform(_lines(body), lambda x, i: F.struct(x.alias("line"), i.alias("i")))
-    left = F.filter(numbered, lambda x: ~F.array_contains(F.col("gone"), x["i"]))
-    cleaned = F.when(F.col("gone").isNull(), body).otherwise(F.array_join(F.transform(left, lambda x: x["line"]), "\n"))
+
+    def joined(lines: Column) -> Column:
+        left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
+        return F.array_join(F.transform(left, lambda k: F.element_at(lines, k + 1)), "\n")
+
+    cleaned = F.when(F.col("gone").isNull(), body).otherwise(_let(_lines(body), joined))
     columns = [cleaned.alias(text) if c == text else F.col("doc")[c].alias(c) for c in kept]
     return stored.join(later, "id", "left").select(
         *columns,
