@@ -10,6 +10,7 @@ from tabulon.llm.line_windows import drop_repeated_windows
 from tabulon.llm.packing import pack_documents
 from tabulon.llm.sharding import shard_contiguous, text_size
 from tabulon.llm.shingle_join import similar_groups
+from tabulon.llm.substrings import drop_repeated_sequences
 from tabulon.llm.tables import documents
 from tabulon.llm.url_graph import Rule, filter_urls
 
@@ -33,6 +34,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir).select("doc_id", "text"), tokenizer_path())
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_sequences(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = documents(spark, sf_dir).select(
         "doc_id",
@@ -76,6 +81,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_sharding": op3_sharding,
     "op5_language_id": op5_language_id,
     "op7_jaccard_join": op7_jaccard_join,

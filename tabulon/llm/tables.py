@@ -28,7 +28,10 @@ def text_key(text: str | Column = "text") -> list[Column]:
     return [F.xxhash64(text).alias("_t1"), F.xxhash64(F.lit(7), text).alias("_t2")]
 
 
-def if_small(stored: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``stored``, marked for broadcast if its counted rows take at most ``limit`` bytes; otherwise
-    Catalyst and adaptive execution choose, which means a shuffled join with skewed parts split."""
-    return F.broadcast(stored) if stored.count() * row_bytes <= limit else stored
+def if_small(stored: DataFrame, row_bytes: int | Column, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``stored``, marked for broadcast if its rows, at ``row_bytes`` each, are measured to take at most
+    ``limit`` bytes; otherwise Catalyst and adaptive execution choose, which means a shuffled join with
+    skewed parts split."""
+    size = row_bytes if isinstance(row_bytes, Column) else F.lit(row_bytes)
+    measured = stored.agg(F.sum(size)).first()[0] or 0
+    return F.broadcast(stored) if measured <= limit else stored
