@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabulon.llm.decontamination import find_leaks
 from tabulon.llm.language import fit_language_model, held_out
 from tabulon.llm.line_windows import drop_repeated_windows
 from tabulon.llm.packing import pack_documents
@@ -55,6 +56,12 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return find_leaks(docs, items, ["doc_id"]).select("doc_id", F.explode("leaks").alias("leak")).select("doc_id", "leak.*")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
     model = fit_language_model(docs, ~held_out("doc_id"))
@@ -83,6 +90,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_sharding": op3_sharding,
+    "op4_decontamination": op4_decontamination,
     "op5_language_id": op5_language_id,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_url_filter": op8_url_filter,
