@@ -13,10 +13,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.words import LOOSE, Runs, find_words, slices, text_bytes
+from tabulon.llm.words import LOOSE, Runs, Words, find_words, slices, text_bytes
 
 SEED = 3  # words
 LEAST_WORDS = 5
@@ -44,8 +45,12 @@ class Block:
         return self.words[self.first[k] : self.first[k + 1]]
 
 
+def _words(texts: pa.Array) -> Words:
+    return find_words(*text_bytes(pc.utf8_lower(texts)), LOOSE)
+
+
 def _block(ids: list, texts: list[str], seed: int, least: int) -> Block:
-    words = find_words(*text_bytes(pa.array(texts, pa.string())), LOOSE)
+    words = _words(pa.array(texts, pa.string()))
     counts = words.counts
     n = np.where(counts >= least, np.maximum(counts - seed + 1, 0), 0)
     item = np.repeat(np.arange(len(counts)), n)
@@ -135,7 +140,7 @@ def _rare(docs: DataFrame, block: Block, seed: int, rareness: float) -> Block:
         block = shared.value
         total = np.zeros(len(block.seeds), dtype=np.int64)
         for batch in slices(batches, "text"):
-            words = find_words(*text_bytes(batch.column("text")), LOOSE)
+            words = _words(batch.column("text"))
             places, which = _found(block, words.hashes, seed)
             row = np.searchsorted(words.first, places, side="right") - 1
             inside = places + seed <= words.first[row + 1]
@@ -164,7 +169,7 @@ def find_leaks(
 ) -> DataFrame:
     """The columns ``keep`` (all) of ``docs`` and ``leaks``: item_id, score and words [start, end) of each item found.
 
-    Words are runs of letters and digits (ASCII is lower-cased, other characters are taken unchanged). A document leaks an item
+    Words are what spaces and ASCII punctuation part, in lower case. A document leaks an item
     if an alignment scores ``threshold`` or more of a full match (2 for a match, -1 for another or a missing
     word): a third of the words may be changed. Items of fewer than ``least_words`` words tell
     nothing and are never found, nor are null ones; equal items are all found. A null or empty text leaks
@@ -187,7 +192,7 @@ def find_leaks(
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             block = shared.value
             for batch in slices(batches, "_leak_text"):
-                words = find_words(*text_bytes(batch.column("_leak_text")), LOOSE)
+                words = _words(batch.column("_leak_text"))
                 found = batch.column("leaks").to_pylist()
                 places, _ = _found(block, words.hashes, seed)
                 for row in np.unique(np.searchsorted(words.first, places, side="right") - 1).tolist():
