@@ -14,6 +14,7 @@ from tabulon.llm.shingle_join import similar_groups
 from tabulon.llm.substrings import drop_repeated_sequences
 from tabulon.llm.tables import documents
 from tabulon.llm.url_graph import Rule, filter_urls
+from tabulon.llm.vectors import near_vectors
 
 SHARDS = 40
 RULES = [
@@ -79,6 +80,10 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(pages, RULES).select("page_id", "host", "path", "rule", "verdict", "trust", "distrust")
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = drop_repeated_windows(documents(spark, sf_dir).select("doc_id", "text"))
     return cleaned.select(
@@ -94,5 +99,6 @@ QUERIES = {
     "op5_language_id": op5_language_id,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_url_filter": op8_url_filter,
+    "op9_embedding_dedup": op9_embedding_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
