@@ -9,6 +9,7 @@ from tabulon.llm.decontamination import find_leaks
 from tabulon.llm.language import fit_language_model, held_out
 from tabulon.llm.line_windows import drop_repeated_windows
 from tabulon.llm.packing import pack_documents
+from tabulon.llm.personal_data import sanitise, span_list
 from tabulon.llm.sharding import shard_contiguous, text_size
 from tabulon.llm.shingle_join import similar_groups
 from tabulon.llm.substrings import drop_repeated_sequences
@@ -71,6 +72,14 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sanitise(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2(span_list("base"), 256).alias("base_sha256"), span_list("spans").alias("spans"),
+    )
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similar_groups(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
@@ -97,6 +106,7 @@ QUERIES = {
     "op3_sharding": op3_sharding,
     "op4_decontamination": op4_decontamination,
     "op5_language_id": op5_language_id,
+    "op6_pii": op6_pii,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_url_filter": op8_url_filter,
     "op9_embedding_dedup": op9_embedding_dedup,
