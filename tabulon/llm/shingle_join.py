@@ -76,7 +76,7 @@ def _profiles(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) -
     """Per document: number of shingles, 128 bits that name the set, and the tokens of its prefix with
     one more, rarest first, so that the prefix of single tokens is all of them but the last."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
-    schema = "doc_id long, t1 long, t2 long, n long, s1 long, s2 long, tokens array<long>"
+    schema = "id long, doc_id long, t1 long, t2 long, n long, s1 long, s2 long, tokens array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = shared.value
@@ -95,13 +95,13 @@ def _profiles(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) -
             first, second = _sums(mix(value), offsets), _sums(mix(value ^ np.uint64(0x5851F42D4C957F2D)), offsets)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"), batch.column("_t1"), batch.column("_t2"), pa.array(n), pa.array(signed(mix(first))),
+                    batch.column("id"), batch.column("doc_id"), batch.column("_t1"), batch.column("_t2"), pa.array(n), pa.array(signed(mix(first))),
                     pa.array(signed(mix(second))), list_column(pa.array(signed(tokens)), np.where(n > 0, length, 0)),
                 ],
-                names=["doc_id", "t1", "t2", "n", "s1", "s2", "tokens"],
+                names=["id", "doc_id", "t1", "t2", "n", "s1", "s2", "tokens"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *text_key()).mapInArrow(run, schema)
+    return docs.select("id", F.col("doc_id").cast("long").alias("doc_id"), "text", *text_key()).mapInArrow(run, schema)
 
 
 def light_keys(tokens: Column) -> Column:
@@ -171,19 +171,20 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 
 def similar_groups(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
-    """(doc_id, n_shingles, component_id, t1, t2) of each document of ``docs`` (doc_id, text).
+    """(doc_id, n_shingles, component_id, group, id) of each document of ``docs`` (doc_id, text[, id]).
 
     Words are runs of anything but ASCII white space, A-Z lower-cased. Two documents link if their sets of ``width``-word
     shingles have a Jaccard similarity of 0.8 or more; ``component_id`` is the least doc_id that links
     lead to. A text of fewer words has one shingle; null texts and those without words have none and link
     with nothing. Repeated rows are in one group. A null doc_id takes part in the links; if it is alone with its
-    kind the component is null.
+    kind the component is null. ``group`` names a group by a number, null for a text without words; ``id`` is passed on.
 
     Every linked pair of classes meets under some key. Under each key all classes are first judged against one of them,
     which joins groups of near copies in a linear number of pairs; then the pairs under a key that are
     still in different groups are judged. Frequent shingles are ordered last, so prefixes rarely hold them.
     """
-    docs = docs.select("doc_id", "text")
+    row_id = F.col("id").cast("long") if "id" in docs.columns else F.lit(None).cast("long")
+    docs = docs.select(row_id.alias("id"), "doc_id", "text")
     members = store(_profiles(docs, _frequent(docs, width), width, PERCENT))
     grouped = (
         members.where("n > 0")
@@ -230,12 +231,12 @@ def similar_groups(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     groups = components(links.unionByName(more))
     named = names.join(groups, names.c == groups.node, "left").withColumn("g", F.coalesce("component", "c"))
     smallest = named.groupBy("g").agg(F.min("least").alias("component_id"))
-    by_class = store(named.select("c", "g").join(smallest, "g").select("c", "component_id"))
+    by_class = store(named.select("c", "g").join(smallest, "g"))
     out = classes.select("n", "s1", "s2", "c").join(by_class, "c").drop("c")
     return members.join(out, ["n", "s1", "s2"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-        "t1",
-        "t2",
+        F.col("g").alias("group"),
+        "id",
     )
