@@ -22,10 +22,10 @@ from tabulon.llm.tables import if_small, store
 from tabulon.llm.words import slices, text_bytes
 
 CAPACITY = 2048
-CACHED_WORDS = 500_000
+CACHED_WORDS = 1_000_000
 NODES = 400
 WIDTH = 6
-_STOPS = ".,;:!?"
+_STOPS = b".,;:!?"
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -45,72 +45,83 @@ class WordEncoder:
 
     def _forget(self) -> None:
         self._code: dict[bytes, int] = {}
-        self._letters: dict[str, list[int]] = {}
-        self._ids = np.empty(1 << 20, dtype=np.uint32)
-        self._starts = np.zeros(CACHED_WORDS + 2, dtype=np.int64)
+        self._ids = np.empty(1 << 21, dtype=np.uint32)
+        self._starts = np.zeros(1 << 19, dtype=np.int64)
 
-    def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _add(self, words: list[bytes], ids: np.ndarray, lengths: np.ndarray) -> None:
+        n = len(self._code)
+        ends = self._starts[n] + np.cumsum(lengths)
+        while n + len(words) + 1 > len(self._starts):
+            self._starts = np.concatenate((self._starts, np.zeros_like(self._starts)))
+        while ends[-1] > len(self._ids):
+            self._ids = np.concatenate((self._ids, np.empty_like(self._ids)))
+        self._ids[self._starts[n] : ends[-1]] = ids
+        self._starts[n + 1 : n + 1 + len(words)] = ends
+        self._code.update(zip(words, range(n, n + len(words)), strict=True))
 
-    def _encode_letters(self, runs: list[str]) -> list[list[int]]:
+    def _add_each(self, words: list[bytes]) -> None:
+        coded = self._tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        ids = [e.ids for e in coded]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        self._add(words, np.fromiter(itertools.chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths)
+
+    def _add_letters(self, runs: list[bytes]) -> None:
         """Runs of letters, encoded many in one text and parted again where a token ends a word."""
-        out = []
-        for at in range(0, len(runs), 512):
-            part = runs[at : at + 512]
-            ids = np.array(self._encode([" ".join(part)])[0], dtype=np.int64)
+        for at in range(0, len(runs), 1024):
+            part = runs[at : at + 1024]
+            coded = self._tokenizer.encode_batch_fast([b" ".join(part).decode()], add_special_tokens=False)
+            ids = np.array(coded[0].ids, dtype=np.int64)
             ends = np.flatnonzero(self._ends_word[ids]) + 1
-            if len(ends) != len(part) or ends[-1] != len(ids):
-                out += self._encode(part)
+            if len(ends) == len(part) and ends[-1] == len(ids):
+                self._add(part, ids, np.diff(ends, prepend=0))
             else:
-                ids = ids.tolist()
-                out += [ids[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
-        return out
+                self._add_each(part)
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the words one after the other, and their numbers."""
+        starts = self._starts[codes]
+        lengths = self._starts[codes + 1] - starts
+        heads = np.cumsum(lengths) - lengths
+        return self._ids[np.repeat(starts - heads, lengths) + np.arange(int(lengths.sum()))], lengths
+
+    def _learn(self, words: set[bytes]) -> None:
         """Most words are letters that some stops may follow; these two are encoded apart, as the
-        tokenizer parts them too, and letters of Latin-1 in lower case. Other words are encoded as they are."""
-        if len(self._code) + len(words) + 2 > len(self._starts):
-            self._starts = np.concatenate((self._starts, np.zeros(len(words) + CACHED_WORDS, dtype=np.int64)))
-        parts: list[tuple[str, str]] = []
+        tokenizer parts them too, and put together. Other words are encoded as they are."""
+        plain, joined, other = set(), [], []
         for word in words:
-            whole = word.decode()
-            run = whole.rstrip(_STOPS)
-            if run and max(run) <= "\u00ff" and run.isalpha():
-                parts.append((run.lower(), whole[len(run) :]))
+            run = word.rstrip(_STOPS)
+            if not run.isalpha() and not (run and max(letters := run.decode()) <= "\u00ff" and letters.isalpha()):
+                other.append(word)
             else:
-                parts.append(("", whole))
-        new = list({run for run, _ in parts if run}.difference(self._letters))
-        self._letters.update(zip(new, self._encode_letters(new), strict=True))
-        rest = list({tail for _, tail in parts if tail})
-        tails = dict(zip(rest, self._encode(rest), strict=True))
-        tails[""] = self._letters[""] = []
-        coded = [self._letters[run] + tails[tail] for run, tail in parts]
-        n = len(self._code)
-        ends = self._starts[n] + np.cumsum([len(x) for x in coded])
-        self._starts[n + 1 : n + 1 + len(words)] = ends
-        while ends[-1] > len(self._ids):
-            self._ids = np.concatenate((self._ids, np.empty_like(self._ids)))
-        self._ids[self._starts[n] : ends[-1]] = np.fromiter(itertools.chain.from_iterable(coded), np.uint32)
-        self._code.update(zip(words, range(n, n + len(words)), strict=True))
+                plain.add(run)
+                if len(run) != len(word):
+                    joined.append((word, run, word[len(run) :]))
+        other += {tail for _, _, tail in joined}.difference(words)
+        if fresh := [w for w in plain if w not in self._code]:
+            self._add_letters(fresh)
+        if fresh := [w for w in other if w not in self._code]:
+            self._add_each(fresh)
+        if joined:
+            code = self._code.__getitem__
+            pairs = np.array([(code(run), code(tail)) for _, run, tail in joined], dtype=np.int64)
+            ids, lengths = self._gather(pairs.ravel())
+            self._add([w for w, _, _ in joined], ids, lengths.reshape(-1, 2).sum(axis=1))
 
     def __call__(self, texts: list[bytes], end: int) -> list[np.ndarray]:
         """The ids of each text, with ``end`` behind them."""
         words: list[bytes] = []
         counts = []
         for text in texts:
-            own = text.split()
+            # a special token is only known in its own spelling
+            own = (text if b"<|" in text else text.lower()).split()
             words += own
             counts.append(len(own))
         if len(self._code) > CACHED_WORDS:
             self._forget()
         missing = set(words).difference(self._code)
         if missing:
-            self._learn(list(missing))
-        codes = np.fromiter(map(self._code.__getitem__, words), np.int64, len(words))
-        starts = self._starts[codes]
-        lengths = self._starts[codes + 1] - starts
-        heads = np.cumsum(lengths) - lengths
-        flat = self._ids[np.repeat(starts - heads, lengths) + np.arange(int(lengths.sum()))]
+            self._learn(missing)
+        flat, lengths = self._gather(np.fromiter(map(self._code.__getitem__, words), np.int64, len(words)))
         ends = np.concatenate(([0], np.cumsum(lengths)))[np.cumsum(counts)]
         out, at = [], 0
         for to in ends:
