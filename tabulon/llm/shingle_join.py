@@ -19,7 +19,7 @@ from tabulon.llm.words import LOWER, Runs, find_words, list_column, mix, signed,
 
 SHINGLE = 5
 PERCENT = 80
-ORDER_SHARE = 32  # one document in so many is counted to put frequent shingles last
+COUNTED_AT_ONCE = 4_000_000  # shingles
 FREQUENT_BYTES = 8_000_000
 LARGEST_BOUNDARY = 64
 
@@ -50,19 +50,23 @@ def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _frequent(docs: DataFrame, width: int) -> np.ndarray:
-    """Shingles that several documents of a fixed share of all have, sorted. They only order the
-    tokens, so which ones are found changes the work and not the result."""
+    """Shingles that several documents read by one task have, the most frequent ones, sorted. They only
+    order the tokens: which ones are found changes the work and not the result."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending, size = [np.empty(0, np.uint64)], 0
         for batch in slices(batches, "text"):
-            found, n = np.unique(_shingle_sets(batch, width)[0], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(signed(found)), pa.array(n)], names=["shingle", "n"])
-
-    some = docs.where(F.pmod(F.xxhash64("text"), F.lit(ORDER_SHARE)) == 0)
-    counts = some.mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where("n >= 3")
+            pending.append(_shingle_sets(batch, width)[0])
+            size += len(pending[-1])
+            if size > COUNTED_AT_ONCE:
+                yield _repeated(pending)
+                pending, size = [np.empty(0, np.uint64)], 0
+        yield _repeated(pending)
+
+    counts = docs.select("text").mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
     counts = store(counts)
     most = FREQUENT_BYTES // 8
-    least, kept = 3, 0
+    least, kept = 2, 0
     for n, shingles in counts.groupBy("n").agg(F.count("*")).orderBy(F.desc("n")).toLocalIterator():
         kept += shingles
         if kept > most:
@@ -72,11 +76,18 @@ def _frequent(docs: DataFrame, width: int) -> np.ndarray:
     return np.sort(rows.to_numpy(np.int64).view(np.uint64))
 
 
+def _repeated(shingles: list[np.ndarray]) -> pa.RecordBatch:
+    values, n = np.unique(np.concatenate(shingles), return_counts=True)
+    some = n > 1
+    return pa.RecordBatch.from_arrays([pa.array(signed(values[some])), pa.array(n[some])], names=["shingle", "n"])
+
+
 def _profiles(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) -> DataFrame:
     """Per document: number of shingles, 128 bits that name the set, and the tokens of its prefix with
-    one more, rarest first, so that the prefix of single tokens is all of them but the last."""
+    one more, rarest first, so that the prefix of single tokens is all of them but the last; ``late`` and ``last``
+    tell where in the common order of tokens that prefix ends."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
-    schema = "id long, doc_id long, t1 long, t2 long, n long, s1 long, s2 long, tokens array<long>"
+    schema = "id long, doc_id long, t1 long, t2 long, n long, s1 long, s2 long, tokens array<long>, late boolean, last long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = shared.value
@@ -92,13 +103,18 @@ def _profiles(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) -
             length = np.minimum(n, n - (percent * n + 99) // 100 + 2)
             place = np.arange(len(value)) - offsets[:-1][row]
             tokens = value[order][place < length[row]]
+            some = np.flatnonzero(n > 0)
+            ends = (offsets[:-1] + length - np.where(n > 1, 2, 1))[some]
+            ends_late, ends_at = np.zeros(len(n), dtype=bool), np.zeros(len(n), dtype=np.uint64)
+            ends_late[some], ends_at[some] = late[order][ends], value[order][ends]
             first, second = _sums(mix(value), offsets), _sums(mix(value ^ np.uint64(0x5851F42D4C957F2D)), offsets)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id"), batch.column("doc_id"), batch.column("_t1"), batch.column("_t2"), pa.array(n), pa.array(signed(mix(first))),
                     pa.array(signed(mix(second))), list_column(pa.array(signed(tokens)), np.where(n > 0, length, 0)),
+                    pa.array(ends_late), pa.array(signed(ends_at ^ np.uint64(1 << 63))),
                 ],
-                names=["id", "doc_id", "t1", "t2", "n", "s1", "s2", "tokens"],
+                names=["id", "doc_id", "t1", "t2", "n", "s1", "s2", "tokens", "late", "last"],
             )
 
     return docs.select("id", F.col("doc_id").cast("long").alias("doc_id"), "text", *text_key()).mapInArrow(run, schema)
@@ -132,28 +148,55 @@ def boundary(classes: DataFrame) -> int:
     return best
 
 
+_SINGLE = "if(n >= 2, slice(tokens, 1, size(tokens) - 1), tokens)"
+
+
 def _keys(classes: DataFrame, border: int) -> DataFrame:
     """(key, c, n): light sizes under pairs, heavy ones under tokens, and those just above the border,
     which may link to either, under both. Pairs and tokens never share a key but by chance."""
     n = F.col("n")
-    light = classes.where(n * PERCENT <= border * 100).where(n >= 2).select(F.explode(light_keys(F.col("tokens"))).alias("key"), "c", "n")
-    single = F.expr("if(n >= 2, slice(tokens, 1, size(tokens) - 1), tokens)")
-    heavy = classes.where(n > border).select(F.explode(single).alias("key"), "c", "n")
-    return heavy.unionByName(light)
+    light = classes.where((n * PERCENT <= border * 100) & (n >= 2))
+    heavy = classes.where(n > border)
+    return heavy.select(F.explode(F.expr(_SINGLE)).alias("key"), "c", "n").unionByName(
+        light.select(F.explode(light_keys(F.col("tokens"))).alias("key"), "c", "n")
+    )
 
 
 def _sizes_fit(a: str, b: str) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
 
-def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that the prefixes do not rule out.
+
+    Of the class whose prefix ends first, every token of the prefix that the other has lies in the other's
+    prefix. So no more is common than the shared tokens of the prefixes and the rest of that class. Tokens are compared
+    by 16 bits, which can only count too many, if those that coincide within a class are added.
+    """
+    sketch = F.transform(F.expr(_SINGLE), lambda x: F.shiftright(x, 48).cast("short"))
+    short = classes.select("c", "n", "late", "last", sketch.alias("k"))
+
+    def side(name: str) -> DataFrame:
+        return short.select(F.col("c").alias(name), F.struct("n", "k", F.struct("late", "last").alias("end")).alias(f"_{name}"))
+
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    x = F.when(F.col("_a.end") <= F.col("_b.end"), F.col("_a")).otherwise(F.col("_b"))
+    shared = F.size(F.array_intersect("_a.k", "_b.k")) + F.size(x["k"]) - F.size(F.array_distinct(x["k"]))
+    most = shared + x["n"] - F.size(x["k"])
+    return both.where(100 * most >= PERCENT * (F.col("_a.n") + F.col("_b.n") - most)).select("a", "b")
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity, judged on the whole sets."""
+    pairs = store(_possible(pairs, classes))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
+    sets = _sets_of(docs, store(wanted.join(classes, "c").select("c", "t.t1", "t.t2")), width)
     left = sets.select(F.col("c").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("c").alias("b"), F.col("shingles").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
     judged = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb", common.alias("common"))
     whole = F.size("sa") + F.size("sb") - F.col("common")
-    return judged.where(100 * F.col("common") >= PERCENT * whole).select("a", "b")
+    return store(judged.where(100 * F.col("common") >= PERCENT * whole).select("a", "b"))
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -189,7 +232,7 @@ def similar_groups(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
     grouped = (
         members.where("n > 0")
         .groupBy("n", "s1", "s2")
-        .agg(F.min("doc_id").alias("least"), F.min(F.struct("t1", "t2")).alias("t"), F.first("tokens").alias("tokens"))
+        .agg(F.min("doc_id").alias("least"), F.min(F.struct("t1", "t2")).alias("t"), F.first("tokens").alias("tokens"), F.first("late").alias("late"), F.first("last").alias("last"))
     )
     classes = store(grouped.withColumn("c", F.monotonically_increasing_id()))
     border = boundary(classes)
@@ -209,10 +252,7 @@ def similar_groups(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
         .select(F.col("p.c").alias("a"), F.col("c").alias("b"))
         .distinct()
     )
-    names = classes.select("c", "n", F.col("t.t1").alias("t1"), F.col("t.t2").alias("t2"), "least")
-    involved = store(met.select("c").distinct().join(names, "c").select("c", "t1", "t2"))
-    sets = _sets_of(docs, involved, width)
-    links = store(_linked(pairs, sets))
+    links = _linked(pairs, docs, classes, width)
     first = components(links)
     tagged = met.join(first, met.c == first.node, "left").select(
         "key", "c", "n", F.coalesce("component", "c").alias("g")
@@ -227,8 +267,9 @@ def similar_groups(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
         a.join(b, "key").where("a < b and ga != gb").where(_sizes_fit("na", "nb")).select("a", "b").distinct()
         .join(pairs, ["a", "b"], "left_anti")
     )
-    more = store(_linked(across, sets))
+    more = _linked(across, docs, classes, width)
     groups = components(links.unionByName(more))
+    names = classes.select("c", "least")
     named = names.join(groups, names.c == groups.node, "left").withColumn("g", F.coalesce("component", "c"))
     smallest = named.groupBy("g").agg(F.min("least").alias("component_id"))
     by_class = store(named.select("c", "g").join(smallest, "g"))
