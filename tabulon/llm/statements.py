@@ -39,4 +39,62 @@ STATEMENTS = {
         FROM documents d JOIN lines l USING (doc_id) LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i
         GROUP BY d.doc_id, d.text
     """,
+    "op2_substring_dedup": r"""
+        WITH listed AS (
+          SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), windows AS (
+          SELECT doc_id, i, sha256(array_to_string(w[i:i + 34], ' ')) AS body
+          FROM (SELECT doc_id, w, unnest(range(1, len(w) - 33)) AS i FROM listed WHERE len(w) >= 35)
+        ), repeated AS (
+          SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY body) > 1
+        ), gone AS (
+          SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM repeated
+        ), words AS (
+          SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM listed
+        )
+        SELECT l.doc_id, any_value(len(l.w))::BIGINT AS n_words, count(g.i) AS n_removed,
+               sha256(coalesce(string_agg(x.word, ' ' ORDER BY x.i) FILTER (WHERE g.i IS NULL), '')) AS kept_sha256
+        FROM listed l LEFT JOIN words x USING (doc_id) LEFT JOIN gone g ON g.doc_id = x.doc_id AND g.i = x.i
+        GROUP BY l.doc_id
+    """,
+    "op7_jaccard_join": r"""
+        WITH RECURSIVE listed AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+          FROM documents
+        ), sets AS (
+          SELECT doc_id, CASE WHEN len(w) >= 5
+                   THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+                   WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+          FROM listed
+        ), shingles AS (
+          SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+        ), common AS (
+          SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c
+          FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+        ), links AS (
+          SELECT a, b FROM common WHERE 100 * c >= 80 * (na + nb - c)
+        ), reach(doc_id, other) AS (
+          SELECT doc_id, doc_id FROM documents UNION SELECT l.b, r.other FROM reach r JOIN links l ON l.a = r.doc_id
+        )
+        SELECT doc_id, len(s)::BIGINT AS n_shingles, (SELECT min(other) FROM reach r WHERE r.doc_id = sets.doc_id) AS component_id
+        FROM sets
+    """,
+    "op9_embedding_dedup": """
+        WITH RECURSIVE usable AS (
+          SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+            AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), links AS (
+          SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+            ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.93
+        ), reach(vec_id, other) AS (
+          SELECT vec_id, vec_id FROM embeddings UNION SELECT l.b, r.other FROM reach r JOIN links l ON l.a = r.vec_id
+        ), least AS (
+          SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id
+        )
+        SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links, component_id, e.vec_id = component_id AS kept
+        FROM embeddings e JOIN least USING (vec_id)
+    """,
 }
