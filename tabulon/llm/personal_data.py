@@ -191,11 +191,15 @@ def sanitise(docs: DataFrame, d: Disclosure = Disclosure()) -> DataFrame:
     )
     of_text = store(of_text)
     none = F.array().cast(of_text.schema["base"].dataType)
-    joined = stored.join(of_text, "id", "left").select(
-        "row", F.coalesce("base", none).alias("base"), F.coalesce("spans", none).alias("spans")
+    # columns of their own, so that those nobody asks for are not read
+    names = {c: f"_row_{i}" for i, c in enumerate(c for c in docs.columns if c not in added)}
+    flat = stored.select("id", *[F.col("row")[c].alias(name) for c, name in names.items()])
+    joined = flat.join(if_small(of_text, 48 + 64 * F.size("spans")), "id", "left").select(
+        *names.values(), F.coalesce("base", none).alias("base"), F.coalesce("spans", none).alias("spans")
     )
     counts = [_number_of(k, "base").alias(f"n_{k}") for k in KINDS[:4]]
-    return joined.select("row.*", *counts, "base", "spans", _rebuilt(F.col("row.text"), F.col("spans")).alias("clean_text"))
+    cleaned = _rebuilt(F.col(names["text"]), F.col("spans")).alias("clean_text")
+    return joined.select(*[F.col(name).alias(c) for c, name in names.items()], *counts, "base", "spans", cleaned)
 
 
 def _number_of(kind: str, spans: str) -> Column:

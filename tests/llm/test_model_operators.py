@@ -220,7 +220,7 @@ def test_url_rules_and_graph(spark):
         1: ("good.com", "/x", "com/", "allow"), 2: ("www.example.com", "/en/1", "www.example.com/en/", "allow"),
         3: ("www.example.com", "/fr", "com/", "allow"), 4: ("m.example.com", "/en/1", "example.com/en/", "block"),
         5: ("example.com", "", None, "allow"), 6: ("a.net", "/es/1", "net/es/", "block"), 7: ("a.net", "/en/1", None, "block"),
-        8: ("farm.org", "/1", None, "block"), 9: ("friend.org", "/", None, "allow"), 10: ("", "", None, "allow"),
+        8: ("farm.org", "/1", None, "allow"), 9: ("friend.org", "/", None, "allow"), 10: ("", "", None, "allow"),
         11: ("", "", None, "allow"), 12: ("q", "/en/", None, "allow"), 13: ("badexample.com", "/en/", "com/", "allow"),
         14: ("", "", None, "allow"), 15: ("both.org", "", None, "allow"),
     }
