@@ -141,7 +141,9 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
     shared = (
         blocks.groupBy("h").agg(F.count("*").alias("n"), F.min("u").alias("lo"), F.max("u").alias("hi")).where("n > 1")
     )
-    met = store(blocks.join(shared.select("h", (F.col("lo") == F.col("hi")).alias("whole")), "h"))
+    # stored before each join: adaptive execution splits a hot key only between plain exchanges
+    shared = store(shared.select("h", (F.col("lo") == F.col("hi")).alias("whole")))
+    met = store(blocks.join(shared, "h"))
     kinds = store(
         met.where("not whole").groupBy("h", "u").agg(F.count("*").alias("n"), F.min(F.struct("id", "s0", "s1")).alias("one"))
     )
@@ -162,7 +164,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
         .dropDuplicates(["id"])
     )
     windows = store(_windows(texts, window))
-    often = windows.groupBy("w1", "w2").agg(F.sum("weight").alias("n")).where("n > 1").select("w1", "w2")
+    often = store(windows.groupBy("w1", "w2").agg(F.sum("weight").alias("n")).where("n > 1").select("w1", "w2"))
     single = windows.where("weight = 1").join(often, ["w1", "w2"]).select("id", F.col("s").alias("s0"), F.col("s").alias("s1"))
     in_kinds = met.where("not whole").join(kinds.where("n > 1").select("h", "u"), ["h", "u"])
     spans = met.where("whole").select("id", "s0", "s1").unionByName(in_kinds.select("id", "s0", "s1")).unionByName(single)
