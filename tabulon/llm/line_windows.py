@@ -68,6 +68,7 @@ def drop_repeated_windows(docs: DataFrame, text: str = "text", order: str = "doc
     )
     place = F.struct("order", "id", "at")
     firsts = found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
+    firsts = store(firsts)  # adaptive execution splits a hot window only between plain exchanges
     later = (
         found.join(firsts, ["h1", "h2"])
         .where((F.col("id") != F.col("first.id")) | (F.col("at") != F.col("first.at")))
