@@ -19,6 +19,16 @@ def _number(seed: object, *keys: str) -> str:
     return f"(('0x' || substr(md5(concat_ws(',', '{seed}', {', '.join(keys)})), 1, 8))::BIGINT)"
 
 
+def _exact(column: str) -> str:
+    return f"coalesce('v' || {column}, 'n')"
+
+
+def _exact_float(column: str) -> str:
+    scaled = f"({column}::DOUBLE * 1e6::DOUBLE)"
+    rest = f"floor(({scaled} - floor({scaled})) * 1e9::DOUBLE)::BIGINT"
+    return f"coalesce('v' || floor({scaled})::BIGINT || ':' || {rest}, 'n')"
+
+
 OBS = """obs AS (
   SELECT o.o_orderkey AS obj_id, o.o_custkey AS field_id, c.c_nationkey AS run_id,
          date_diff('day', DATE '1858-11-17', CAST(o.o_orderdate AS DATE))::BIGINT AS mjd,
@@ -235,8 +245,9 @@ STATEMENTS: dict[str, str] = {
     "min_rows_check": "SELECT 1000::BIGINT AS min_rows, least(count(*), 1000)::BIGINT AS found, "
     "count(*) >= 1000 AS ok FROM orders",
     "dataset_fingerprint": _OBS
-    + "SELECT count(*) AS dataset_row_count, sum(('0x' || substr(md5(concat_ws(',', obj_id, field_id, run_id, mjd, class)), "
-    "1, 8))::BIGINT)::DECIMAL(38, 0) AS dataset_checksum FROM obs",
+    + "SELECT count(*) AS dataset_row_count, sum(('0x' || substr(md5(concat_ws(',', "
+    + ", ".join([*map(_exact, ("obj_id", "field_id", "run_id", "mjd", "class")), *map(_exact_float, (*BANDS, "redshift"))])
+    + ")), 1, 8))::BIGINT)::DECIMAL(38, 0) AS dataset_checksum FROM obs",
     "sentinel_to_null": _NULLED + "SELECT u, g, r, i, z, redshift, obj_id, class FROM nulled",
     "color_indices": _OBS + "SELECT obj_id, " + ", ".join(f"round({a} - {b}, 6) AS {a}_{b}" for a, b in PAIRS) + " FROM obs",
     "clean_features": _CLEAN + f"SELECT obj_id, field_id, class, {_round(FEATURES)} FROM cleaned",

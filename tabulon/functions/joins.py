@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.session import materialize_sized
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64_000_000
 HEAVY_KEYS = 1_000
 SALTS = 9_973
 
@@ -22,7 +25,7 @@ def attach(
 ) -> DataFrame:
     """Left-join the columns of ``lookup`` (one row per key) to ``rows``.
 
-    A lookup of few rows is broadcast. A large one is shuffled; if ``size_col`` says how many
+    A lookup of few rows and bytes is broadcast. A large one is shuffled; if ``size_col`` says how many
     rows carry each key, the keys above a 1/1000 share (at most 1000 of them) are broadcast all
     the same and their rows spread, so that no shuffle partition receives a hot key. Rows should
     differ from each other, as they do with a row key or after counting equal rows. ``size_col``
@@ -34,7 +37,7 @@ def attach(
     if stored_rows is None:
         lookup, stored_rows = materialize_sized(lookup)
     payload = lookup.drop(size_col) if size_col else lookup
-    if stored_rows <= limit:
+    if stored_rows <= limit and _text_bytes(payload) <= BROADCAST_BYTES:
         return rows.join(F.broadcast(payload), on, "left")
     if size_col is None:
         return rows.join(payload, on, "left")
@@ -48,6 +51,13 @@ def attach(
     light = lookup.where(~is_heavy).select(*on, F.lit(0).cast("long").alias("_salt"), values.alias("_cold"))
     tagged = rows.join(F.broadcast(heavy), on, "left")
     spread = 1 + F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS))
-    tagged = tagged.withColumn("_salt", F.when(F.col("_hot").isNotNull(), spread).otherwise(F.lit(0)))
+    # a null key matches nothing either
+    apart = reduce(lambda a, b: a | b, [F.col("_hot").isNotNull(), *[F.col(c).isNull() for c in on]])
+    tagged = tagged.withColumn("_salt", F.when(apart, spread).otherwise(F.lit(0)))
     joined = tagged.join(light, [*on, "_salt"], "left").withColumn("_value", F.coalesce("_hot", "_cold"))
     return joined.select(*rows.columns, "_value.*")
+
+
+def _text_bytes(stored: DataFrame) -> int:
+    """Size of a stored table of few rows, as text."""
+    return stored.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0

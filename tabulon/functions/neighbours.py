@@ -44,6 +44,8 @@ class CellTree:
             spread = np.ptp(points, axis=0)
             dim = int(np.argmax(spread))
             threshold = float(np.median(points[:, dim]))
+            if threshold == points[:, dim].max() and spread[dim] > 0:  # half of the points or more have the largest value
+                threshold = float(points[points[:, dim] < threshold, dim].max())
             low = points[:, dim] <= threshold
             if spread[dim] > 0 and low.any() and not low.all():
                 left = self._build(points[low], cells // 2)

@@ -81,7 +81,8 @@ def replace_value(df: DataFrame, old: float, new: float) -> DataFrame:
 
 
 def binary_flag(df: DataFrame, column: str, value: str, name: str) -> DataFrame:
-    return df.withColumn(name, (F.col(column) == value).cast("int"))
+    """1 where the column has the value, else 0, null included."""
+    return df.withColumn(name, F.coalesce((F.col(column) == value).cast("int"), F.lit(0)))
 
 
 def inference_input(df: DataFrame, expected: Iterable[str], target: str, group: str) -> DataFrame:
@@ -104,6 +105,8 @@ def table_preflight(df: DataFrame, target: str, group: str, folds: int) -> DataF
 def check_preflight(df: DataFrame, target: str, group: str, folds: int) -> None:
     if folds < 2:
         raise ValueError(f"at least 2 folds are needed, not {folds}")
+    if not df.where(F.col(group).isNull()).isEmpty():
+        raise ValueError(f"rows without a value in {group!r} belong to no fold")
     found = table_preflight(df, target, group, folds).first()
     if found.n_rows == 0:
         raise ValueError("the table has no rows")

@@ -15,8 +15,21 @@ from tabulon.functions.ranks import average_ranks
 from tabulon.session import materialize
 
 
-def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence) -> DataFrame:
-    """Counts of ``rows`` against the given values of ``columns``; absent pairs are 0."""
+MOST_COLUMNS = 10_000
+
+
+def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence | None = None) -> DataFrame:
+    """Counts of ``rows`` against ``columns``; absent pairs are 0, rows with a null on either side are left out.
+
+    The values of ``columns`` are found if they are not given (at most 10,000); one beside those given is an error.
+    """
+    df = df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull())
+    if values is None:
+        values = sorted(r[0] for r in df.select(columns).distinct().limit(MOST_COLUMNS + 1).collect())
+        if len(values) > MOST_COLUMNS:
+            raise ValueError(f"{columns!r} has more than {MOST_COLUMNS} values")
+    elif not df.where(~F.col(columns).isin(*values)).isEmpty():
+        raise ValueError(f"{columns!r} has values beside {list(values)}")
     return df.groupBy(rows).agg(*[F.count_if(F.col(columns) == v).alias(f"{columns}_{v}") for v in values])
 
 

@@ -18,9 +18,14 @@ def probability_of(labels: Sequence, label: Column, probabilities: Column) -> Co
     return F.get(probabilities, (F.array_position(F.array(*[F.lit(v) for v in labels]), label) - 1).cast("int"))
 
 
+def _unknown(true: str) -> Column:
+    return F.raise_error(F.concat(F.lit(f"no probability for the value of {true!r}: "), F.coalesce(F.col(true).cast("string"), F.lit("null"))))
+
+
 def log_loss(df: DataFrame, labels: Sequence, true: str, probabilities: str) -> DataFrame:
-    """Mean of -ln p(true label), p kept away from 0 and 1."""
+    """Mean of -ln p(true label), p kept away from 0 and 1. A true label that is unknown or null is an error."""
     p = probability_of(labels, F.col(true), F.col(probabilities))
+    p = F.when(p.isNull(), _unknown(true).cast("double")).otherwise(p)
     kept = F.least(F.greatest(p, F.lit(EPSILON)), F.lit(1 - EPSILON))
     return df.agg((-F.avg(F.ln(kept))).alias("log_loss"))
 
@@ -126,10 +131,12 @@ def auc_one_vs_one(df: DataFrame, labels: Sequence, true: str, probabilities: st
     For a pair (a, b) the area is the mean of ranking a over b by p_a and b over a by p_b. Each
     score column is aggregated by distinct score with one counter per true class; with
     the counts of smaller scores (distributed running totals) every pair's area follows from
-    one sum, so a row is shuffled once per class, not once per pair, and ties count half.
+    one sum, so a row is shuffled once per class, not once per pair, and ties count half. A true
+    label that is unknown or null is an error.
     """
     k = len(labels)
-    code = F.array_position(F.array(*[F.lit(v) for v in labels]), F.col(true)) - 1
+    place = F.coalesce(F.array_position(F.array(*[F.lit(v) for v in labels]), F.col(true)), F.lit(0))
+    code = F.when(place > 0, place - 1).otherwise(_unknown(true).cast("long"))
     scores = df.select(code.alias("y"), F.posexplode(probabilities).alias("a", "score"))
     counters = [f"n{b}" for b in range(k)]
     counted = scores.groupBy("a", "score").agg(*[F.count_if(F.col("y") == b).alias(f"n{b}") for b in range(k)])

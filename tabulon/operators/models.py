@@ -31,9 +31,18 @@ from tabulon.sources.tables import literal_rows, read_record, write_record
 
 _INPUT = ["_features", "_label", "_weight"]
 _ONE_VS_REST_THREADS = 4
-# parameters of other engines that have no counterpart and do not change what is computed
-_IGNORED = {"class_weight", "class_weights", "auto_class_weights", "n_jobs", "verbose", "thread_count", "objective",
-            "loss_function", "solver", "act_func", "probability", "verbose_cb", "random_state"}
+_DEEPEST = 30  # Spark's trees
+# parameters of other engines that do not change what is computed; the SVC never has probabilities
+_IGNORED = {"n_jobs", "verbose", "thread_count", "verbose_cb", "probability"}
+# weights are always balanced, so only that can be asked for
+_BALANCED = {"class_weight", "auto_class_weights"}
+
+
+def _depth(p: dict, default: int) -> int:
+    depth = p.get("max_depth", default)
+    if depth > _DEEPEST:
+        raise ValueError(f"trees are at most {_DEEPEST} deep, not {depth}")
+    return depth
 
 
 def _random_forest(df: DataFrame, labels: int, total: float, p: dict) -> list:
@@ -41,7 +50,7 @@ def _random_forest(df: DataFrame, labels: int, total: float, p: dict) -> list:
     forest = RandomForestClassifier(
         featuresCol="_features", labelCol="_label", weightCol="_weight",
         numTrees=p.get("n_estimators", 100),
-        maxDepth=min(p.get("max_depth", 10), 30),
+        maxDepth=_depth(p, 10),
         minInstancesPerNode=p.get("min_samples_leaf", 1),
         featureSubsetStrategy=subsets[p.get("max_features", "sqrt")],
         impurity=p.get("criterion", "gini"),
@@ -74,7 +83,7 @@ def _gradient_boosting(df: DataFrame, labels: int, total: float, p: dict) -> lis
         featuresCol="_features", labelCol="_is_class", weightCol="_weight",
         maxIter=p.get("n_estimators", 50),
         stepSize=p.get("learning_rate", 0.1),
-        maxDepth=min(p.get("max_depth", 5), 30),
+        maxDepth=_depth(p, 5),
         subsamplingRate=p.get("subsample", 1.0),
         minInstancesPerNode=p.get("min_child", 1),
         maxMemoryInMB=512,
@@ -109,11 +118,20 @@ def hidden_layers(num_layer: int, num_perceptron: int) -> list[int]:
 
 
 def _dense_network(df: DataFrame, labels: int, total: float, p: dict) -> list:
-    inputs = len(df.select("_features").first()[0])
+    """The network takes no weights, so rows are repeated in proportion to theirs, by expectation.
+
+    Spark's default solver has no step size; asking for a learning rate chooses gradient descent.
+    """
+    share = F.col("_weight") / p["least_weight"]
+    chance = F.pmod(F.xxhash64("_features", F.lit(p["seed"])), F.lit(1 << 30)) / float(1 << 30)
+    times = (F.floor(share) + (chance < share - F.floor(share)).cast("int")).cast("int")
+    df = materialize(df.select("_features", "_label", F.explode(F.sequence(F.lit(1), times))).select("_features", "_label"))
+    df = df.withColumn("_label", F.col("_label").alias("_label", metadata=p["nominal"]))
+    solver = {"solver": "gd", "stepSize": p["learning_rate"]} if "learning_rate" in p else {}
     model = MultilayerPerceptronClassifier(
         featuresCol="_features", labelCol="_label",
-        layers=[inputs, *hidden_layers(p.get("num_layer", 2), p.get("num_perceptron", 128)), labels],
-        maxIter=p.get("max_iter", 100), stepSize=p.get("learning_rate", 0.03), seed=p["seed"],
+        layers=[p["inputs"], *hidden_layers(p.get("num_layer", 2), p.get("num_perceptron", 128)), labels],
+        maxIter=p.get("max_iter", 100), seed=p["seed"], **solver,
     )
     return [model.fit(df)]
 
@@ -247,6 +265,11 @@ def clean_params(name: str, params: dict | None) -> dict:
         key = chosen.renamed.get(key, key)
         if key in chosen.params:
             result[key] = value
+        elif key == "random_state":
+            result["seed"] = value
+        elif key in _BALANCED:
+            if str(value).lower() != "balanced":
+                raise ValueError(f"classes are weighted evenly; {key}={value!r} is not supported")
         elif key not in _IGNORED:
             raise ValueError(f"{name} has no parameter {key!r}; known are {sorted(chosen.params)}")
     return result
@@ -274,5 +297,7 @@ def fit_classifier(
     )
     inputs = materialize(inputs)  # read once per iteration by the solvers
     inputs = inputs.withColumn("_label", F.col("_label").alias("_label", metadata=_nominal(labels.labels)))
-    models = chosen.train(inputs, len(labels.labels), float(total), {**known, "seed": seed})
+    given = {"seed": seed, **known, "inputs": len(features), "nominal": _nominal(labels.labels)}
+    given["least_weight"] = min(w for w in weights if w > 0)
+    models = chosen.train(inputs, len(labels.labels), float(total), given)
     return Classifier(name, tuple(labels.labels), tuple(features), tuple(models))

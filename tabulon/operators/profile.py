@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabulon.functions.joins import attach
 from tabulon.functions.hashing import hash_cutoffs, order_hash
 from tabulon.functions.quantiles import exact_quantiles
 from tabulon.functions.ranks import global_position
@@ -120,11 +121,12 @@ def table_info(df: DataFrame) -> DataFrame:
 def duplicated_rows(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Rows whose key occurs more than once.
 
-    Keys are counted with a map-side combine and joined back, so a hot key is never gathered
-    as a window would; adaptive skew handling may split its side of the join.
+    Keys are counted with a map-side combine and joined back by their measured size; the rows
+    of hot keys are spread over tasks.
     """
-    repeated = df.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key)
-    return df.select(*columns).join(repeated, key, "left_semi")
+    repeated = df.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1").select(key, "_n", F.lit(True).alias("_repeated"))
+    rows = df.select(*dict.fromkeys([*columns, key]))
+    return attach(rows, repeated, [key], size_col="_n").where("_repeated").select(*columns)
 
 
 def ordered(df: DataFrame, *order: str | Column) -> DataFrame:

@@ -15,7 +15,7 @@ from tabulon.operators.cleaning import require_columns
 from tabulon.session import materialize
 
 NEIGHBOURS = 5
-COPIES_PER_TASK_ROW = 100_000
+COPIES_PER_TASK_ROW = 1_000
 
 
 def class_counts(df: DataFrame, target: str) -> dict:
@@ -82,8 +82,7 @@ def smote(df: DataFrame, target: str, key: str, features: Sequence[str], seed: i
     # a row that must serve very often is first split over tasks, then expanded
     chunks = F.floor((F.col("_copies") - 1) / COPIES_PER_TASK_ROW)
     based = based.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), chunks)))
-    if max(n // counts[c] for c, n in missing.items()) >= COPIES_PER_TASK_ROW:
-        based = based.repartition("_key", "_chunk")
+    based = based.repartition("_key", "_chunk")
     first = F.col("_chunk") * COPIES_PER_TASK_ROW
     last = F.least(first + COPIES_PER_TASK_ROW, F.col("_copies")) - 1
     drawn = based.withColumn("_copy", F.explode(F.sequence(first, last)))

@@ -194,6 +194,8 @@ def unseen_labels(train: DataFrame, test: DataFrame, label: str) -> DataFrame:
 
 
 def check_labels_seen(train: DataFrame, test: DataFrame, label: str) -> None:
-    unseen = [r[0] for r in unseen_labels(train, test, label).limit(20).collect()]
-    if unseen:
-        raise ValueError(f"labels of the test side that training never saw: {unseen}")
+    unseen = unseen_labels(train, test, label)
+    n = unseen.count()
+    if n:
+        some = [r[0] for r in unseen.limit(20).collect()]
+        raise ValueError(f"{n} labels of the test side that training never saw, among them {some}")

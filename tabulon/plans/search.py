@@ -158,7 +158,7 @@ def run_experiment(
         steps = {"model_name": best.model, "scaler_strategy": best.scaler, "resampling_strategy": best.resampling}
         write_record(spark, {k: v for k, v in {**steps, **best.params}.items() if v is not None}, f"{out}/best_params")
         save_labels(spark, list(labels), f"{out}/labels")
-        fingerprint = table_fingerprint(df, [key, split.target]).first().asDict()
+        fingerprint = table_fingerprint(df, df.columns).first().asDict()
         data = {k: int(v) for k, v in fingerprint.items()}
         log_run(spark, f"{out}/runs", run_id, data=data, metrics=metrics, params={**steps, **best.params})
         fitted.save(spark, f"{out}/model", train_rows)

@@ -2,57 +2,47 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+import re
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-IN_MEMORY_BYTES = 256 * 1024 * 1024
-CHUNK_BYTES = 1024 * 1024
+from pyspark.sql import types as T
 
 
 def file_fingerprint(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """(file, size, md5) per file below ``path``; equals ``md5sum``.
+    """(file, size, md5) per file below ``path``, by its path from there; equals ``md5sum``.
 
-    Files are spread over the tasks. Those above 256 MB are hashed piecewise from a stream, so
-    that no file is held whole.
+    Files are spread over the tasks and read through Spark's file systems; a task holds one file,
+    and Spark refuses files above 2 GB.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         files = files.option("pathGlobFilter", pattern)
-    files = files.load(path)
-    small = files.where(F.col("length") <= IN_MEMORY_BYTES).select(
-        "path", F.col("length").alias("size"), F.md5("content").alias("md5")
-    )
-    large = files.where(F.col("length") > IN_MEMORY_BYTES).select("path", F.col("length").alias("size"))
-    large = large.mapInPandas(_hash_streams, "path string, size long, md5 string")
-    name = F.element_at(F.split("path", "/"), -1)
-    return small.unionByName(large).select(name.alias("file"), "size", "md5")
+    root = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path).rstrip("/") + "/"
+    below = F.when(F.contains("path", F.lit(root)), F.substring_index("path", root, -1))
+    name = F.coalesce(below, F.element_at(F.split("path", "/"), -1))
+    return files.load(path).select(name.alias("file"), F.col("length").alias("size"), F.md5("content").alias("md5"))
 
 
-def _hash_streams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyarrow import fs
+def _exact_text(column: str, kind: T.DataType) -> Column:
+    """Text of a value that is the same on other engines; null differs from every value.
 
-    for frame in frames:
-        sums = []
-        for path in frame["path"]:
-            system, inner = fs.FileSystem.from_uri(path)
-            digest = hashlib.md5()
-            with system.open_input_stream(inner) as stream:
-                while piece := stream.read(CHUNK_BYTES):
-                    digest.update(piece)
-            sums.append(digest.hexdigest())
-        yield frame.assign(md5=sums)
+    A float is written as whole millionths and the next nine digits, both exact in double
+    arithmetic; one too large for that in Spark's own form.
+    """
+    value = F.col(column)
+    text = value.cast("string")
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        scaled = value.cast("double") * 1e6
+        rest = (scaled - F.floor(scaled)) * 1e9
+        parts = F.concat(F.floor(scaled).cast("string"), F.lit(":"), F.floor(rest).cast("string"))
+        text = F.when(F.abs(value) < 1e11, parts).otherwise(text)
+    return F.coalesce(F.concat(F.lit("v"), text), F.lit("n"))
 
 
 def table_fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
-    """(dataset_row_count, dataset_checksum): does not depend on row order or on files.
-
-    Meant for integer and string columns, whose text form is the same everywhere.
-    """
-    digest = F.md5(F.concat_ws(",", *columns))
+    """(dataset_row_count, dataset_checksum) over whole rows: does not depend on row order or on files."""
+    digest = F.md5(F.concat_ws(",", *[_exact_text(c, df.schema[c].dataType) for c in columns]))
     number = F.conv(F.substring(digest, 1, 8), 16, 10).cast("decimal(38,0)")
     return df.agg(
         F.count("*").alias("dataset_row_count"),

@@ -6,6 +6,7 @@ import time
 from collections.abc import Callable, Sequence
 from dataclasses import replace
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +15,7 @@ from tabulon.functions.hashing import hash_number
 from tabulon.functions.ranks import global_position
 from tabulon.plans.scoring import Predictor
 from tabulon.session import scratch_path
-from tabulon.sources.tables import literal_rows, write_table
+from tabulon.sources.tables import literal_rows
 
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1) -> DataFrame:
@@ -23,6 +24,10 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType, files_per
     return stream.parquet(path)
 
 
+class _Enough(Exception):
+    """Ends a stream before its next micro-batch is committed."""
+
+
 def stream_predict(
     stream: DataFrame,
     predictor: Predictor,
@@ -37,19 +42,27 @@ def stream_predict(
 
     Output goes to ``batch_id=N`` directories that are overwritten when Spark repeats a
     micro-batch after a failure, so that no row is written twice. Rows that fail ``valid`` go
-    to ``quarantine`` and the stream goes on. With ``max_records`` the stream ends once that many
-    rows are scored. Returns the number of scored rows.
+    to ``quarantine`` and the stream goes on. With ``max_records`` exactly that many rows are scored, if
+    there are so many: the last micro-batch is cut and the next one is not begun. Returns the number of scored rows.
     """
     spark = stream.sparkSession
-    timing: list[tuple[int, int, float]] = []
+    scored = 0
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        nonlocal scored
+        if max_records is not None and scored >= max_records:
+            raise _Enough
         started = time.perf_counter()
         good, bad = (batch, None) if valid is None else split_valid(batch, valid)
+        if max_records is not None:
+            good = good.limit(max_records - scored)
         target = f"{out}/rows/batch_id={batch_id}"
         _predict_beside(predictor, good, batch_columns).write.mode("overwrite").parquet(target)
         rows = spark.read.parquet(target).count()  # from the footers of the files just written
-        timing.append((batch_id, rows, (time.perf_counter() - started) / max(rows, 1)))
+        scored += rows
+        latency = (time.perf_counter() - started) / max(rows, 1)
+        timing = literal_rows(spark, {"n_rows": "long", "latency_seconds": "double"}, [(rows, latency)])
+        timing.coalesce(1).write.mode("overwrite").parquet(f"{out}/timing/batch_id={batch_id}")
         if bad is not None:
             bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
 
@@ -59,14 +72,12 @@ def stream_predict(
         .trigger(availableNow=True)
         .start()
     )
-    while not query.awaitTermination(1):
-        if max_records is not None and sum(rows for _, rows, _ in timing) >= max_records:
-            query.stop()
-            break
-    if timing:  # one row per micro-batch of this run
-        names = {"batch_id": "int", "n_rows": "long", "latency_seconds": "double"}
-        write_table(literal_rows(spark, names, timing), f"{out}/timing", mode="append")
-    return sum(rows for _, rows, _ in timing)
+    try:
+        query.awaitTermination()
+    except StreamingQueryException:
+        if max_records is None or scored < max_records:
+            raise
+    return scored
 
 
 def _predict_beside(predictor: Predictor, rows: DataFrame, carried: Sequence[str]) -> DataFrame:

@@ -131,3 +131,19 @@ def test_nearest_neighbours_equal_brute_force(spark, monkeypatch, cell_points, q
         others.remove(q)
         ordered = sorted(others, key=lambda p: (np.sqrt(sum((a - b) ** 2 for a, b in zip(q, p))), p))[:5]
         assert [tuple(v) for v in r.neighbours] == ordered
+
+
+def test_cells_divide_where_most_points_have_the_largest_value():
+    draw = np.random.default_rng(0)
+    points = np.column_stack([draw.random(40_000), (draw.random(40_000) < 0.6) * 9.0])
+    tree = neighbours.CellTree(points, 1000)
+    sizes = np.bincount(tree.home(points), minlength=tree.cells)
+    assert tree.cells > 900 and sizes.max() < 400
+
+
+def test_null_keys_are_spread(spark):
+    df = spark.range(2000).select("id", F.when(F.col("id") < 100, F.col("id") % 7).alias("k"))
+    lookup = df.where("k is not null").groupBy("k").agg(F.count("*").alias("n"), F.max("id").alias("m"))
+    got = rows(joins.attach(df, lookup, ["k"], size_col="n", limit=0))
+    want = {r.k: r.m for r in lookup.collect()}
+    assert got == sorted(((i, None, None) if k is None else (i, k, want[k]) for i, k in df.collect()), key=lambda r: r[0])

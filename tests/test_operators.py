@@ -9,7 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tabulon.config import Cleaning
-from tabulon.operators import cleaning, density, dependence, evaluation, profile, resampling, splits, transforms
+from tabulon.operators import cleaning, density, dependence, evaluation, models, profile, resampling, splits, transforms
 
 
 # --- cleaning
@@ -372,3 +372,41 @@ def test_label_metrics_agree_with_the_library(spark):
 def test_mixed_label_kinds(spark):
     with pytest.raises(ValueError):
         evaluation.outcome_counts(spark.createDataFrame([("A", 1)], "y string, p long"), "y", "p")
+
+
+def test_unknown_labels_are_refused(spark):
+    scored = spark.createDataFrame([("A", [0.5, 0.5]), ("C", [0.5, 0.5])], "y string, p array<double>")
+    for row in (scored, scored.withColumn("y", F.lit(None).cast("string"))):
+        with pytest.raises(Exception, match="no probability for the value"):
+            evaluation.log_loss(row, ["A", "B"], "y", "p").collect()
+        with pytest.raises(Exception, match="no probability for the value"):
+            evaluation.auc_one_vs_one(row, ["A", "B"], "y", "p").collect()
+
+
+def test_crosstab_finds_values_and_leaves_nulls_out(spark):
+    df = spark.createDataFrame([(1, "x"), (1, "y"), (2, None), (None, "x"), (2, "y")], "a long, b string")
+    assert rows(dependence.crosstab(df, "a", "b")) == [(1, 1, 1), (2, 0, 1)]
+    with pytest.raises(ValueError, match="beside"):
+        dependence.crosstab(df, "a", "b", ["x"])
+
+
+def test_flag_of_null_is_zero(spark):
+    df = spark.createDataFrame([("O",), ("P",), (None,)], "c string")
+    assert [r.f for r in cleaning.binary_flag(df, "c", "O", "f").collect()] == [1, 0, 0]
+
+
+def test_null_groups_are_refused(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), ("a", None)], "y string, g long")
+    with pytest.raises(ValueError, match="belong to no fold"):
+        cleaning.check_preflight(df, "y", "g", 2)
+
+
+def test_parameters_are_honoured_or_refused():
+    assert models.clean_params("catboost", {"random_state": 7, "depth": 3}) == {"seed": 7, "max_depth": 3}
+    assert models.clean_params("logreg", {"class_weight": "balanced", "n_jobs": 4}) == {}
+    for name, params in (("logreg", {"class_weight": None}), ("logreg", {"solver": "saga"}), ("dense_nn", {"act_func": "relu"}),
+                         ("xgboost", {"objective": "multi"}), ("catboost", {"loss_function": "RMSE"})):
+        with pytest.raises(ValueError):
+            models.clean_params(name, params)
+    with pytest.raises(ValueError, match="deep"):
+        models._depth({"max_depth": 31}, 5)

@@ -71,13 +71,15 @@ def test_usable_file(spark, tmp_path):
     assert not contracts.is_usable(spark, str(tmp_path / "zero.csv"))
 
 
-@pytest.mark.parametrize("limit", [1 << 28, 4])
-def test_file_fingerprint(spark, tmp_path, monkeypatch, limit):
-    monkeypatch.setattr(fingerprints, "IN_MEMORY_BYTES", limit)
+def test_file_fingerprint(spark, tmp_path):
     (tmp_path / "hello.txt").write_text("hello world")
     (tmp_path / "b.bin").write_bytes(b"ab")
+    for batch in ("batch=1", "batch=2"):
+        (tmp_path / "deep" / batch).mkdir(parents=True)
+        (tmp_path / "deep" / batch / "part-0").write_text(batch)
     got = rows(fingerprints.file_fingerprint(spark, str(tmp_path)))
-    assert got == [("b.bin", 2, hashlib.md5(b"ab").hexdigest()), ("hello.txt", 11, "5eb63bbbe01eeed093cb22bb8f5acdc3")]
+    assert [r[0] for r in got] == ["b.bin", "deep/batch=1/part-0", "deep/batch=2/part-0", "hello.txt"]
+    assert [got[0], got[3]] == [("b.bin", 2, hashlib.md5(b"ab").hexdigest()), ("hello.txt", 11, "5eb63bbbe01eeed093cb22bb8f5acdc3")]
 
 
 def test_table_fingerprint_ignores_order_and_files(spark, abc):
@@ -86,6 +88,13 @@ def test_table_fingerprint_ignores_order_and_files(spark, abc):
     assert one != fingerprints.table_fingerprint(abc.withColumn("c", F.col("c") + 1), ["a", "b", "c"]).first()
 
 
+def test_table_fingerprint_sees_every_value(spark):
+    def of(*row):
+        return fingerprints.table_fingerprint(spark.createDataFrame([row], "a string, b string, x double"), ["a", "b", "x"]).first()
+
+    assert len({of(*r) for r in (("p", None, 1.5), (None, "p", 1.5), ("p", None, 1.5000001), ("p", "n", 1.5), ("p", None, None), ("p", None, 1e300))}) == 6
+
+
 def test_batches_are_one_file_each(spark, tmp_path):
     path = str(tmp_path / "batches")
     tables.write_batches(spark.range(10).withColumn("batch", F.floor(F.col("id") / 4) + 1), path)
