@@ -27,8 +27,8 @@ def build_session(app: str = "tabulon", master: str | None = None, **settings: s
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster a machine-local
-    folder would be lost together with its executor.
+    Only a session in one process may fall back to a temporary folder: on a cluster, a local one of
+    several processes too, a machine-local folder would be lost together with its executor.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -37,7 +37,7 @@ def shared_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(configured)
         return configured
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tabulon-"))
     return context.getCheckpointDir()
