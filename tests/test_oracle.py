@@ -9,6 +9,7 @@ import pytest
 from conftest import SF
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tabulon.plans.catalog import QUERIES
 from tools.check_oracle import rows_of
 
 SLOW = {
@@ -33,9 +34,9 @@ def test_entry(spark):
     assert entry(spark).count() == 1500
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
 def test_query_equals_sql(spark, duck, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     got = rows_of(df.columns, [tuple(r) for r in df.collect()])
     if name not in oracle_sql():
         assert got[1]
