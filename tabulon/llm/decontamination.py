@@ -1,7 +1,7 @@
 """Training documents that hold a benchmark item, word for word, edited or paraphrased in part.
 
-Rare word n-grams of the items are seeds; where a document has one, the passage around it is aligned with the
-item after Smith and Waterman. The items are the stated queries: they are read in blocks of bounded size, each
+Word n-grams of the items are seeds; where a document has a rare one, or several common ones close together, the
+passage around it is aligned with the item after Smith and Waterman. The items are the stated queries: they are read in blocks of bounded size, each
 of which is broadcast and meets all documents where they lie, so no document is shuffled.
 """
 
@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,7 @@ LEAST_WORDS = 5
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 RARENESS = 2.0
+COMMON_SEEDS = 3
 BLOCK_WORDS = 2_000_000
 _BITS = 20
 
@@ -39,6 +40,7 @@ class Block:
     use_first: np.ndarray  # of a seed's uses
     use_item: np.ndarray
     use_place: np.ndarray
+    use_rare: np.ndarray
     sieve: np.ndarray
 
     def item(self, k: int) -> np.ndarray:
@@ -56,15 +58,13 @@ def _block(ids: list, texts: list[str], seed: int, least: int) -> Block:
     item = np.repeat(np.arange(len(counts)), n)
     place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
     start = words.first[:-1][item] + place
-    return _with_seeds(ids, words.hashes, words.first, Runs(words.hashes)(start, start + seed), item, place)
-
-
-def _with_seeds(ids: list, words: np.ndarray, first: np.ndarray, values: np.ndarray, item: np.ndarray, place: np.ndarray) -> Block:
+    values = Runs(words.hashes)(start, start + seed)
     order = np.argsort(values, kind="stable")
     seeds, use_first = np.unique(values[order], return_index=True)
     sieve = np.zeros(1 << _BITS, dtype=bool)
     sieve[seeds >> np.uint64(64 - _BITS)] = True
-    return Block(ids, words, first, seeds, np.append(use_first, len(values)), item[order], place[order], sieve)
+    rare = np.ones(len(values), dtype=bool)
+    return Block(ids, words.hashes, words.first, seeds, np.append(use_first, len(values)), item[order], place[order], rare, sieve)
 
 
 def _found(block: Block, hashes: np.ndarray, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -116,13 +116,17 @@ def _passages(block: Block, words: np.ndarray, seed: int, threshold: float) -> l
     for k in np.unique(item).tolist():
         own = block.item(k)
         slack = len(own) // 2 + 2
-        lows = np.sort(begin[item == k]) - slack
+        mine = np.flatnonzero(item == k)
+        mine = mine[np.argsort(begin[mine], kind="stable")]
+        lows, rare, place = begin[mine] - slack, block.use_rare[use[mine]], block.use_place[use[mine]]
         opens = np.append(True, lows[1:] > lows[:-1] + len(own) + 2 * slack)
         heads = np.flatnonzero(opens)
         lasts = np.append(heads[1:], len(lows)) - 1
         best = (0.0, 0, 0)
-        for low, high in zip(lows[heads].tolist(), (lows[lasts] + len(own) + 2 * slack).tolist(), strict=True):
-            low = max(0, low)
+        for head, last in zip(heads.tolist(), lasts.tolist(), strict=True):
+            if not rare[head : last + 1].any() and len(set(place[head : last + 1].tolist())) < COMMON_SEEDS:
+                continue
+            low, high = max(0, int(lows[head])), int(lows[last]) + len(own) + 2 * slack
             score, a, b = align(own, words[low:high])
             if score > best[0]:
                 best = (score, low + a, low + b)
@@ -132,8 +136,8 @@ def _passages(block: Block, words: np.ndarray, seed: int, threshold: float) -> l
 
 
 def _rare(docs: DataFrame, block: Block, seed: int, rareness: float) -> Block:
-    """The block with those seeds only that are rare in the corpus, measured against the median seed of
-    their item, so an item keeps half of its seeds at least, however often it was copied."""
+    """The block with its rare seeds marked: those no more frequent in the corpus than ``rareness`` times the
+    median of their item's seeds that occur at all, so an item has rare seeds however often it was copied."""
     shared = docs.sparkSession.sparkContext.broadcast(block)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -155,12 +159,13 @@ def _rare(docs: DataFrame, block: Block, seed: int, rareness: float) -> Block:
         frequency[k] = n
     of_use = np.repeat(np.arange(len(block.seeds)), np.diff(block.use_first))
     per_use = frequency[of_use]
-    kept = np.zeros(len(per_use), dtype=bool)
-    for k in np.unique(block.use_item).tolist():
-        own = block.use_item == k
-        kept |= own & (per_use <= rareness * np.median(per_use[own]))
-    values = block.seeds[of_use[kept]]
-    return _with_seeds(block.ids, block.words, block.first, values, block.use_item[kept], block.use_place[kept])
+    rare = np.zeros(len(per_use), dtype=bool)
+    order = np.argsort(block.use_item, kind="stable")
+    for own in np.split(order, np.flatnonzero(np.diff(block.use_item[order])) + 1):
+        met = per_use[own][per_use[own] > 0]
+        if len(met):
+            rare[own] = per_use[own] <= rareness * np.median(met)
+    return replace(block, use_rare=rare)
 
 
 def find_leaks(
