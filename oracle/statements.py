@@ -226,6 +226,11 @@ def _pair_auc(a: int, b: int) -> str:
     return f"SELECT ({one(a, b)} + {one(b, a)}) / 2 AS auc, (SELECT count(*) FROM scored WHERE truth IN ({a}, {b})) AS w"
 
 
+_FINGERPRINT = (
+    "SELECT count(*) AS dataset_row_count, sum(('0x' || substr(md5(concat_ws(',', "
+    + ", ".join([*map(_exact, ("obj_id", "field_id", "run_id", "mjd", "class")), *map(_exact_float, (*BANDS, "redshift"))])
+    + ")), 1, 8))::BIGINT)::DECIMAL(38, 0) AS dataset_checksum FROM "
+)
 _OBS, _NULLED, _CLEAN = _with(OBS), _with(OBS, NULLED), _with(OBS, NULLED, CLEAN)
 _IMPUTED, _PRED = _with(OBS, NULLED, CLEAN, IMPUTED), _with(OBS, PRED)
 _ALL = "obj_id, field_id, run_id, mjd, class, u, g, r, i, z, redshift"
@@ -244,10 +249,14 @@ STATEMENTS: dict[str, str] = {
     "row_count_contract": "SELECT 15000::BIGINT AS expected, count(*) AS actual, count(*) = 15000 AS ok FROM orders",
     "min_rows_check": "SELECT 1000::BIGINT AS min_rows, least(count(*), 1000)::BIGINT AS found, "
     "count(*) >= 1000 AS ok FROM orders",
-    "dataset_fingerprint": _OBS
-    + "SELECT count(*) AS dataset_row_count, sum(('0x' || substr(md5(concat_ws(',', "
-    + ", ".join([*map(_exact, ("obj_id", "field_id", "run_id", "mjd", "class")), *map(_exact_float, (*BANDS, "redshift"))])
-    + ")), 1, 8))::BIGINT)::DECIMAL(38, 0) AS dataset_checksum FROM obs",
+    "dataset_fingerprint": _OBS + _FINGERPRINT + "obs",
+    "batch_predict_intact": _with(OBS, CUT) + _FINGERPRINT + "sided WHERE side = 'prod'",
+    "stream_predict_intact": _with(OBS, CUT) + _FINGERPRINT + "sided WHERE side = 'prod' AND u <> -9999",
+    "pca_moments": _NULLED
+    + "SELECT 1.0::DOUBLE AS total, round(("
+    + " + ".join(["5", *(f"2 * corr({a}, {b}) ^ 2" for a, b in combinations(BANDS, 2))])
+    + ") / 25, 6) AS squares FROM nulled WHERE "
+    + " AND ".join(f"{b} IS NOT NULL" for b in BANDS),
     "sentinel_to_null": _NULLED + "SELECT u, g, r, i, z, redshift, obj_id, class FROM nulled",
     "color_indices": _OBS + "SELECT obj_id, " + ", ".join(f"round({a} - {b}, 6) AS {a}_{b}" for a, b in PAIRS) + " FROM obs",
     "clean_features": _CLEAN + f"SELECT obj_id, field_id, class, {_round(FEATURES)} FROM cleaned",

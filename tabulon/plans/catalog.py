@@ -16,7 +16,7 @@ from tabulon.plans.observations import COLUMNS, MISSING, load, observations
 from tabulon.plans.scoring import Predictor, expected_inputs, score_table
 from tabulon.plans.search import run_search, trial_table
 from tabulon.plans.training import TrainedModel, train, train_and_evaluate
-from tabulon.plans.validation import cross_validate, permutation_importance
+from tabulon.plans.validation import cross_validate, mean_over_folds, permutation_importance
 from tabulon.session import materialize, scratch_path
 from tabulon.sources import contracts, fingerprints, tables
 from tabulon.streaming import scoring as streams
@@ -368,6 +368,13 @@ def pca_variance(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(transforms.pca_variance(materialize(magnitudes(spark, sf)), BANDS))
 
 
+def pca_moments(spark: SparkSession, sf: str) -> DataFrame:
+    """Sum of the shares and of their squares, which the correlations alone determine."""
+    shares = transforms.pca_variance(materialize(magnitudes(spark, sf)), BANDS)
+    share = F.col("variance_share")
+    return rounded(shares.agg(F.sum(share).alias("total"), F.sum(share * share).alias("squares")))
+
+
 def undersample(spark: SparkSession, sf: str) -> DataFrame:
     return resampling.undersample(load(spark, sf, "labels"), "toxic", "doc_id", SEED)
 
@@ -457,7 +464,7 @@ def gbt_fit_score(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def linear_svc_fit_score(spark: SparkSession, sf: str) -> DataFrame:
-    return _fit_score(spark, sf, "linear_svc", {"C": 1.0, "max_iter": 20})
+    return _fit_score(spark, sf, "linear_svc", {"C": 1.0})
 
 
 def _vectors(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, Features]:
@@ -473,14 +480,14 @@ def _vectors(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, Featur
 
 def logreg_fit_score(spark: SparkSession, sf: str) -> DataFrame:
     train_rows, test_rows, features = _vectors(spark, sf)
-    params = {"C": 1.0, "l1_ratio": 0.0, "max_iter": 30}
+    params = {"C": 1.0, "l1_ratio": 0.0}
     _, found = train_and_evaluate(train_rows, test_rows, features, "label", "vec_id", "logreg", params)
     return _metrics(spark, found)
 
 
 def mlp_fit_score(spark: SparkSession, sf: str) -> DataFrame:
     train_rows, test_rows, features = _vectors(spark, sf)
-    params = {"num_layer": 2, "num_perceptron": 32, "max_iter": 40}
+    params = {"num_layer": 2, "num_perceptron": 32}
     _, found = train_and_evaluate(train_rows, test_rows, features, "label", "vec_id", "dense_nn", params)
     return _metrics(spark, found)
 
@@ -547,10 +554,25 @@ def stream_predict(spark: SparkSession, sf: str) -> DataFrame:
     tables.write_batches(splits.batch_slices(prod, "mjd", "obj_id", 2_000), source)
     schema = spark.read.parquet(source).schema
     stream = streams.read_batches(spark, source, schema, files_per_trigger=8)
-    streams.stream_predict(stream, predictor, out, scratch_path(spark, "stream-bad"), F.col("r").isNotNull())
+    streams.stream_predict(stream, predictor, out, scratch_path(spark, "stream-bad"), F.col("u") != MISSING)
     return streams.read_predictions(spark, out)
 
 
+def batch_report(spark: SparkSession, sf: str) -> DataFrame:
+    predictor, prod = _predictor(spark, sf)
+    return rounded(score_table(predictor, prod, scratch_path(spark, "scored"))[1])
+
+
+def batch_predict_intact(spark: SparkSession, sf: str) -> DataFrame:
+    """Scored rows carry every input value, none is lost or repeated."""
+    return fingerprints.table_fingerprint(batch_predict(spark, sf), list(COLUMNS))
+
+
+def stream_predict_intact(spark: SparkSession, sf: str) -> DataFrame:
+    """The valid rows come out of the stream once each, with every input value."""
+    return fingerprints.table_fingerprint(stream_predict(spark, sf), list(COLUMNS))
+
+
 def replay_draws(spark: SparkSession, sf: str) -> DataFrame:
     _, prod = _production(spark, sf, "obj_id", "mjd", "class")
     return streams.replay(prod, "obj_id", prod.count(), SEED)  # as many draws as rows
@@ -588,8 +610,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         undersample, smote_counts, smote_points,
         log_loss, prf_metrics, auc_ovo, auc_binary, class_report, confusion, argmax_label,
         rf_fit_score, gbt_fit_score, logreg_fit_score, linear_svc_fit_score, mlp_fit_score, forest_importance,
-        search, batch_predict, stream_predict, replay_draws, quarantine, batch_accuracy,
+        search, batch_predict, batch_report, batch_predict_intact, stream_predict, stream_predict_intact, pca_moments, replay_draws, quarantine, batch_accuracy,
     )
 }
 QUERIES["permutation_importance"] = column_importance
 QUERIES["cross_validate"] = cross_validation
+QUERIES["cross_validate_mean"] = lambda spark, sf: mean_over_folds(cross_validation(spark, sf))
