@@ -22,6 +22,7 @@ PERCENT = 80
 COUNTED_AT_ONCE = 4_000_000  # shingles
 FREQUENT_BYTES = 8_000_000
 LARGEST_BOUNDARY = 64
+CROWD = 256  # classes under a key beyond which whole sets are sketched and blocks formed
 
 
 def _shingle_sets(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -173,7 +174,7 @@ def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     prefix. So no more is common than the shared tokens of the prefixes and the rest of that class. Tokens are compared
     by 16 bits, which can only count too many, if those that coincide within a class are added.
     """
-    sketch = F.transform(F.expr(_SINGLE), lambda x: F.shiftright(x, 48).cast("short"))
+    sketch = _sketch(F.expr(_SINGLE))
     short = classes.select("c", "n", "late", "last", sketch.alias("k"))
 
     def side(name: str) -> DataFrame:
@@ -213,7 +214,117 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return store(found.select("c", "text").dropDuplicates(["c"]).mapInArrow(run, "c long, shingles array<long>"))
 
 
-def similar_groups(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
+def _apart(tagged: DataFrame, docs: DataFrame, classes: DataFrame, width: int, crowd: int) -> DataFrame:
+    """(a, b): classes that share a key, are in different groups and may link.
+
+    The classes under a key meet in one task, a crowd in blocks of bounded size, and only the pairs that their
+    sketches do not rule out leave it: 16 bits of each token of the prefix or, in a crowd, of the whole set. A pair of a
+    crowd leaves it under its least common token alone.
+    """
+    keys = tagged.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count("*").alias("size"))
+    keys = store(keys.where("lo != hi").select("key", "size"))
+    still = store(tagged.join(keys, "key"))
+    crowded = store(still.where(F.col("size") > crowd).select("c").distinct().join(classes, "c").select("c", "t.t1", "t.t2"))
+    whole = _sets_of(docs, crowded, width).select("c", _sketch(F.col("shingles")).alias("k"))
+    prefix = F.expr(_SINGLE)
+    ends = ["late", "last", F.size(prefix).alias("p")]
+    small = still.where(F.col("size") <= crowd).join(
+        classes.select("c", *ends, _sketch(prefix).alias("k"), F.array().cast("array<long>").alias("tokens")), "c"
+    )
+    large = still.where(F.col("size") > crowd).join(
+        classes.select("c", *ends, F.array_sort(prefix).alias("tokens")).join(whole, "c"), "c"
+    )
+    columns = ["key", "c", "n", "g", "size", "late", "last", "p", "k", "tokens"]
+    blocks = F.ceil(F.col("size") / float(2 * crowd)).cast("int")
+    own = F.when(blocks > 1, F.pmod(F.xxhash64("c"), blocks)).otherwise(0).cast("int")
+    rows = small.select(columns).unionByName(large.select(columns)).select(
+        *columns, own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other")
+    )
+    rows = rows.withColumn("block", F.concat_ws(",", F.least("own", "other"), F.greatest("own", "other")))
+    dealt = rows.repartition("key", "block").sortWithinPartitions("key", "block")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            rest = table if rest is None else pa.concat_tables([rest, table])
+            border = _borders(rest)[-2]
+            yield from _survivors(rest.slice(0, border), crowd)
+            rest = rest.slice(border)
+        if rest is not None:
+            yield from _survivors(rest, crowd)
+
+    return dealt.mapInArrow(compare, "a long, b long").distinct()
+
+
+def _sketch(tokens: Column) -> Column:
+    return F.transform(tokens, lambda x: F.shiftright(x, 48).cast("short"))
+
+
+def _borders(table: pa.Table) -> np.ndarray:
+    """Where the rows of a new (key, block) begin, and the end."""
+    key = table.column("key").to_numpy()
+    block = table.column("block").combine_chunks().dictionary_encode()
+    code = (block.combine_chunks() if isinstance(block, pa.ChunkedArray) else block).indices.to_numpy()
+    fresh = np.ones(len(key), dtype=bool)
+    fresh[1:] = (key[1:] != key[:-1]) | (code[1:] != code[:-1])
+    return np.append(np.flatnonzero(fresh), len(key))
+
+
+def _lists(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
+    column = table.column(name).combine_chunks()
+    column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
+    offsets = column.offsets.to_numpy()
+    return column.flatten().to_numpy(), offsets - offsets[0]
+
+
+def _survivors(table: pa.Table, crowd: int) -> Iterator[pa.RecordBatch]:
+    if not table.num_rows:
+        return
+    borders = _borders(table)
+    c, n, g, size, late, last, p, own, other, key = (
+        table.column(x).to_numpy() for x in ("c", "n", "g", "size", "late", "last", "p", "own", "other", "key")
+    )
+    sketch, at = _lists(table, "k")
+    tokens, token_at = _lists(table, "tokens")
+    left, right = [], []
+    for s, e in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):
+        if e - s < 2:
+            continue
+        values, columns = np.unique(sketch[at[s] : at[e]], return_inverse=True)
+        counts = np.diff(at[s : e + 1])
+        cells = np.unique(np.repeat(np.arange(e - s), counts) * len(values) + columns)
+        row, column = cells // len(values), cells % len(values)
+        same = counts - np.bincount(row, minlength=e - s)  # tokens that fall together
+        shared = np.bincount(column) > 1
+        place = np.cumsum(shared) - 1
+        has = np.zeros((e - s, int(shared.sum())), dtype=np.float32)
+        has[row[shared[column]], place[column[shared[column]]]] = 1
+        common = np.rint(has @ has.T).astype(np.int64)
+        size_of, group = n[s:e], g[s:e]
+        if size[s] > crowd:
+            most = common + np.minimum(same[:, None], same[None, :])
+        else:
+            rank = np.empty(e - s, dtype=np.int64)
+            rank[np.lexsort((last[s:e], late[s:e]))] = np.arange(e - s)
+            rest = same + size_of - p[s:e]
+            most = common + np.where(rank[:, None] < rank[None, :], rest[:, None], rest[None, :])
+        good = 100 * most >= PERCENT * (size_of[:, None] + size_of[None, :] - most)
+        good &= group[:, None] != group[None, :]
+        if own[s:e].min() != own[s:e].max() or (own[s:e] != other[s:e]).any():  # two blocks: one from either
+            good &= own[s:e][:, None] != own[s:e][None, :]
+        for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(good, 1))), strict=True):
+            if size[s] > crowd:
+                a, b = s + i, s + j
+                both = np.intersect1d(tokens[token_at[a] : token_at[a + 1]], tokens[token_at[b] : token_at[b + 1]], assume_unique=True)
+                if len(both) and both[0] != key[s] and key[s] in both:
+                    continue
+            left.append(min(c[s + i], c[s + j]))
+            right.append(max(c[s + i], c[s + j]))
+    yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+
+def similar_groups(docs: DataFrame, width: int = SHINGLE, crowd: int = CROWD) -> DataFrame:
     """(doc_id, n_shingles, component_id, group, id) of each document of ``docs`` (doc_id, text[, id]).
 
     Words are runs of anything but ASCII white space, A-Z lower-cased. Two documents link if their sets of ``width``-word
@@ -224,7 +335,7 @@ def similar_groups(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
 
     Every linked pair of classes meets under some key. Under each key all classes are first judged against one of them,
     which joins groups of near copies in a linear number of pairs; then the pairs under a key that are
-    still in different groups are judged. Frequent shingles are ordered last, so prefixes rarely hold them.
+    still in different groups and that their sketches allow are judged. Frequent shingles are ordered last, so prefixes rarely hold them.
     """
     row_id = F.col("id").cast("long") if "id" in docs.columns else F.lit(None).cast("long")
     docs = docs.select(row_id.alias("id"), "doc_id", "text")
@@ -258,15 +369,7 @@ def similar_groups(docs: DataFrame, width: int = SHINGLE) -> DataFrame:
         "key", "c", "n", F.coalesce("component", "c").alias("g")
     )
     tagged = store(tagged)
-    open_keys = tagged.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo != hi").select("key")
-    still = tagged.join(open_keys, "key")
-    a, b = still.select("key", F.col("c").alias("a"), F.col("n").alias("na"), F.col("g").alias("ga")), still.select(
-        "key", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb")
-    )
-    across = (
-        a.join(b, "key").where("a < b and ga != gb").where(_sizes_fit("na", "nb")).select("a", "b").distinct()
-        .join(pairs, ["a", "b"], "left_anti")
-    )
+    across = _apart(tagged, docs, classes, width, crowd)
     more = _linked(across, docs, classes, width)
     groups = components(links.unionByName(more))
     names = classes.select("c", "least")

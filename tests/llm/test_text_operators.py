@@ -113,8 +113,8 @@ def brute_groups(rows, width=5):
     return {rows[i][0]: (len(s), rows[top(i)][0]) for i, s in enumerate(sets)}
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_similar_groups(spark, seed):
+@pytest.mark.parametrize(("seed", "crowd"), [(1, 256), (2, 256), (1, 2), (2, 2), (3, 5)])
+def test_similar_groups(spark, seed, crowd):
     rows = corpus(seed, 100)
     draw, names = random.Random(seed), vocabulary()
     base = draw.choices(names, k=30)
@@ -125,7 +125,7 @@ def test_similar_groups(spark, seed):
         rows.append((500 + k, " ".join(words)))
     for k in range(25):  # short texts, which enumerate pairs of tokens
         rows.append((600 + k, " ".join(base[: draw.randint(4, 12)])))
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in similar_groups(frame(spark, rows)).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in similar_groups(frame(spark, rows), crowd=crowd).collect()}
     assert got == brute_groups(rows)
 
 
