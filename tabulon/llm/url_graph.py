@@ -83,9 +83,7 @@ def spread(seeds: DataFrame, links: DataFrame, damping: float, rounds: int, tole
     own = seeds.select("kind", "host", ((1 - damping) * F.col("mass")).alias("score"))
     mass = seeds.agg(F.sum("mass")).first()[0] or 0.0
     scores = store(own)
-    for _ in range(rounds):
-        if links.isEmpty():
-            break
+    for _ in range(0 if links.isEmpty() else rounds):
         passed = links.join(scores.withColumnRenamed("host", "from"), ["kind", "from"]).select(
             "kind", F.col("to").alias("host"), (damping * F.col("score") * F.col("share")).alias("score")
         )
