@@ -324,21 +324,22 @@ def _survivors(table: pa.Table, crowd: int) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
 
-def similar_groups(docs: DataFrame, width: int = SHINGLE, crowd: int = CROWD) -> DataFrame:
-    """(doc_id, n_shingles, component_id, group, id) of each document of ``docs`` (doc_id, text[, id]).
+def similar_groups(
+    docs: DataFrame, width: int = SHINGLE, crowd: int = CROWD, row_id: str | None = None
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id, group, id) of each document of ``docs`` (doc_id, text).
 
     Words are runs of anything but ASCII white space, A-Z lower-cased. Two documents link if their sets of ``width``-word
     shingles have a Jaccard similarity of 0.8 or more; ``component_id`` is the least doc_id that links
     lead to. A text of fewer words has one shingle; null texts and those without words have none and link
     with nothing. Repeated rows are in one group. A null doc_id takes part in the links; if it is alone with its
-    kind the component is null. ``group`` names a group by a number, null for a text without words; ``id`` is passed on.
+    kind the component is null. ``group`` names a group by a number, null for a text without words; ``id`` is the column ``row_id``, if given.
 
     Every linked pair of classes meets under some key. Under each key all classes are first judged against one of them,
     which joins groups of near copies in a linear number of pairs; then the pairs under a key that are
     still in different groups and that their sketches allow are judged. Frequent shingles are ordered last, so prefixes rarely hold them.
     """
-    row_id = F.col("id").cast("long") if "id" in docs.columns else F.lit(None).cast("long")
-    docs = docs.select(row_id.alias("id"), "doc_id", "text")
+    docs = docs.select((F.col(row_id) if row_id else F.lit(None)).cast("long").alias("id"), "doc_id", "text")
     members = store(_profiles(docs, _frequent(docs, width), width, PERCENT))
     grouped = (
         members.where("n > 0")

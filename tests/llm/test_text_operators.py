@@ -133,7 +133,7 @@ def test_similar_groups_odd_tables(spark):
     assert similar_groups(frame(spark, [])).collect() == []
     text = " ".join(vocabulary(20))
     rows = [(4, text), (4, text), (None, text), (None, "q r"), (9, None), (9, "")]
-    wide = frame(spark, rows).withColumn("n", F.lit(1)).withColumn("component", F.lit(1)).withColumn("c", F.lit(2))
+    wide = frame(spark, rows).withColumn("n", F.lit(1)).withColumn("component", F.lit(1)).withColumn("id", F.lit("x"))
     got = sorted(((r.doc_id or -1), r.n_shingles, r.component_id or -1) for r in similar_groups(wide).collect())
     assert got == [(-1, 1, -1), (-1, 16, 4), (4, 16, 4), (4, 16, 4), (9, 0, 9), (9, 0, 9)]
 
