@@ -58,7 +58,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of linked documents the one of least doc_id; texts without words all stay."""
     numbered = store(docs.select(_rest(docs), "doc_id", "text", F.monotonically_increasing_id().alias("id")))
-    groups = store(similar_groups(numbered.select("id", "doc_id", "text")).select("id", "doc_id", "group"))
+    groups = store(similar_groups(numbered, row_id="id").select("id", "doc_id", "group"))
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "id")
     first = groups.where(F.col("group").isNotNull()).groupBy("group").agg(F.min(order).alias("first"))
     kept = store(first.select("first.id").unionByName(groups.where(F.col("group").isNull()).select("id")))
