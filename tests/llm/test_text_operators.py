@@ -70,7 +70,7 @@ def brute_substrings(texts, window):
     return out
 
 
-@pytest.mark.parametrize(("window", "anchor"), [(35, 8), (12, 4), (9, 9)])
+@pytest.mark.parametrize(("window", "anchor"), [(35, 8), (9, 9)])
 def test_substrings(spark, window, anchor):
     rows = corpus()
     got = {r[0]: tuple(r[1:]) for r in drop_repeated_sequences(frame(spark, rows), window, anchor).collect()}
@@ -113,7 +113,7 @@ def brute_groups(rows, width=5):
     return {rows[i][0]: (len(s), rows[top(i)][0]) for i, s in enumerate(sets)}
 
 
-@pytest.mark.parametrize(("seed", "crowd"), [(1, 256), (2, 256), (1, 2), (2, 2), (3, 5)])
+@pytest.mark.parametrize(("seed", "crowd"), [(1, 256), (2, 2), (3, 5)])
 def test_similar_groups(spark, seed, crowd):
     rows = corpus(seed, 100)
     draw, names = random.Random(seed), vocabulary()
