@@ -22,6 +22,7 @@ PERCENT = 80
 COUNTED_AT_ONCE = 4_000_000  # shingles
 FREQUENT_BYTES = 8_000_000
 LARGEST_BOUNDARY = 64
+FEW = 8  # classes under a key up to which all pairs are formed
 CROWD = 256  # classes under a key beyond which whole sets are sketched and blocks formed
 
 
@@ -217,13 +218,19 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 def _apart(tagged: DataFrame, docs: DataFrame, classes: DataFrame, width: int, crowd: int) -> DataFrame:
     """(a, b): classes that share a key, are in different groups and may link.
 
-    The classes under a key meet in one task, a crowd in blocks of bounded size, and only the pairs that their
-    sketches do not rule out leave it: 16 bits of each token of the prefix or, in a crowd, of the whole set. A pair of a
+    A few classes under a key are paired as they are. More meet in one task, a crowd in blocks of bounded size, and
+    only the pairs that their sketches do not rule out leave it: 16 bits of each token of the prefix or, in a crowd, of the whole set. A pair of a
     crowd leaves it under its least common token alone.
     """
     keys = tagged.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count("*").alias("size"))
     keys = store(keys.where("lo != hi").select("key", "size"))
     still = store(tagged.join(keys, "key"))
+    few, still = still.where(F.col("size") <= FEW), still.where(F.col("size") > FEW)
+
+    def side(name: str) -> DataFrame:
+        return few.select("key", F.col("c").alias(name), F.struct("n", "g").alias(f"_{name}"))
+
+    paired = side("a").join(side("b"), "key").where("a < b and _a.g != _b.g").where(_sizes_fit("_a.n", "_b.n"))
     crowded = store(still.where(F.col("size") > crowd).select("c").distinct().join(classes, "c").select("c", "t.t1", "t.t2"))
     whole = _sets_of(docs, crowded, width).select("c", _sketch(F.col("shingles")).alias("k"))
     prefix = F.expr(_SINGLE)
@@ -254,7 +261,7 @@ def _apart(tagged: DataFrame, docs: DataFrame, classes: DataFrame, width: int, c
         if rest is not None:
             yield from _survivors(rest, crowd)
 
-    return dealt.mapInArrow(compare, "a long, b long").distinct()
+    return paired.select("a", "b").unionByName(dealt.mapInArrow(compare, "a long, b long")).distinct()
 
 
 def _sketch(tokens: Column) -> Column:
