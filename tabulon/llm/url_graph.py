@@ -10,10 +10,9 @@ from pyspark.sql import functions as F
 from tabulon.llm.tables import if_small, store
 
 DAMPING = 0.85
-ROUNDS = 30
 TOLERANCE = 1e-6
 THRESHOLD = 0.5
-HOST_ROW_BYTES = 120
+HOST_ROW_BYTES = 128
 _LINK = r"""(?i)\bhref\s*=\s*["']?\s*([a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>\\]+)"""
 
 
@@ -71,45 +70,58 @@ def _escaped(pattern: str) -> str:
     return pattern.replace("\\", "\\\\").replace("'", "\\'")
 
 
-def spread(seeds: DataFrame, links: DataFrame, damping: float, rounds: int, tolerance: float) -> DataFrame:
+def spread(
+    seeds: DataFrame, links: DataFrame, damping: float, tolerance: float, averaged: tuple[str, ...] = ()
+) -> DataFrame:
     """(kind, host, score): personalised PageRank for several kinds of seeds at once.
 
     ``seeds`` (kind, host, mass), ``links`` (kind, from, to, share): shares of one (kind, from) sum to
-    1. A score is (1 - damping) times the mass that reaches a host, so seeds need not sum to 1.
-    Stops once a round moves less than ``tolerance`` of the seeds' mass, or after ``rounds``.
+    1, or those of one (kind, to) to 1 at most if the kind is ``averaged``. A score is (1 - damping) times
+    the mass that reaches a host, so seeds need not sum to 1. Stops once a round moves, of each kind, less
+    than ``tolerance`` of the seeds' mass in all, or of an averaged kind less than ``tolerance`` of one seed
+    at any host. Both shrink by ``damping`` a round, so that point is always reached.
     """
+    if not 0 <= damping < 1 or tolerance <= 0:
+        raise ValueError("damping must be in [0, 1) and tolerance above 0")
     seeds = store(seeds)
     links = store(links)
     own = seeds.select("kind", "host", ((1 - damping) * F.col("mass")).alias("score"))
-    mass = seeds.agg(F.sum("mass")).first()[0] or 0.0
+    mass = {r["kind"]: r["mass"] or 0.0 for r in seeds.groupBy("kind").agg(F.sum("mass").alias("mass")).collect()}
     scores = store(own)
-    for _ in range(0 if links.isEmpty() else rounds):
+    settled = links.isEmpty()
+    while not settled:
         passed = links.join(scores.withColumnRenamed("host", "from"), ["kind", "from"]).select(
             "kind", F.col("to").alias("host"), (damping * F.col("score") * F.col("share")).alias("score")
         )
         added = own.unionByName(passed).groupBy("kind", "host").agg(F.sum("score").alias("score"))
         following = store(added)
-        change = (
+        change = F.abs(F.coalesce("now", F.lit(0.0)) - F.coalesce("score", F.lit(0.0)))
+        moved = (
             following.withColumnRenamed("score", "now")
             .join(scores, ["kind", "host"], "full")
-            .agg(F.sum(F.abs(F.coalesce("now", F.lit(0.0)) - F.coalesce("score", F.lit(0.0)))))
-            .first()[0]
+            .groupBy("kind")
+            .agg(F.sum(change).alias("all"), F.max(change).alias("most"))
+            .collect()
         )
         scores = following
-        if (change or 0.0) <= tolerance * mass:
-            break
+        settled = all(
+            r["most"] <= tolerance * (1 - damping) if r["kind"] in averaged else r["all"] <= tolerance * mass.get(r["kind"], 0.0)
+            for r in moved
+        )
     return scores
 
 
-def judge_hosts(
-    pages: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS, tolerance: float = TOLERANCE
-) -> DataFrame:
-    """(host, trust, distrust) from judged pages (host, html, ruled: allow, block or null).
+def judge_hosts(pages: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+    """(host, trust, distrust, exposure) from judged pages (host, html, ruled: allow, block or null).
 
     A host is a seed of trust by the share of its pages that rules allow and of distrust by the share
     that rules block. Trust follows links, distrust goes against them, from a blocked
     host to those that link to it; both are shared out by numbers of links. Both are given in units of a
     seed's own part, so a host all of whose pages are allowed has trust 1 at least.
+
+    Distrust is divided among all linkers of a blocked host and so gets thinner with each. Exposure does
+    not: it is the chance, 1 at most, that who starts on a page of the host, and from pages not blocked
+    follows its links to other hosts with probability ``damping``, comes to a blocked page.
     """
     of_host = pages.where("host != ''").groupBy("host").agg(
         F.avg(F.when(F.col("ruled") == "allow", 1.0).otherwise(0.0)).alias("allowed"),
@@ -120,33 +132,41 @@ def judge_hosts(
     out = links.groupBy("source").agg(F.sum("n").alias("all"))
     back = links.groupBy("target").agg(F.sum("n").alias("all"))
     share = (F.col("n") / F.col("all")).alias("share")
-    both = links.join(out, "source").select(
+    onward = out.join(of_host.select(F.col("host").alias("source"), "blocked"), "source")
+    all_links = links.join(out, "source").select(
         F.lit("trust").alias("kind"), F.col("source").alias("from"), F.col("target").alias("to"), share
     ).unionByName(
         links.join(back, "target").select(
             F.lit("distrust").alias("kind"), F.col("target").alias("from"), F.col("source").alias("to"), share
         )
+    ).unionByName(
+        links.join(onward, "source").select(
+            F.lit("exposure").alias("kind"),
+            F.col("target").alias("from"),
+            F.col("source").alias("to"),
+            ((1 - F.col("blocked")) * F.col("n") / F.col("all")).alias("share"),
+        )
     )
-    seeds = of_host.select(F.lit("trust").alias("kind"), "host", F.col("allowed").alias("mass")).unionByName(
-        of_host.select(F.lit("distrust").alias("kind"), "host", F.col("blocked").alias("mass"))
-    )
-    scores = spread(seeds, both, damping, rounds, tolerance)
+    masses = {"trust": "allowed", "distrust": "blocked", "exposure": "blocked"}
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(m).alias("mass")) for k, m in masses.items()])
+    seeds = of_host.select("host", F.explode(kinds).alias("s")).select("s.kind", "host", "s.mass")
+    scores = spread(seeds, all_links, damping, tolerance, averaged=("exposure",))
 
     def of(kind: str) -> Column:
         value = F.sum(F.when(F.col("kind") == kind, F.col("score")))
         return (F.coalesce(value, F.lit(0.0)) / (1 - damping)).alias(kind)
 
-    return scores.groupBy("host").agg(of("trust"), of("distrust"))
+    return scores.groupBy("host").agg(*map(of, masses))
 
 
 def filter_urls(pages: DataFrame, rules: list[Rule], threshold: float = THRESHOLD) -> DataFrame:
-    """The pages with ``host``, ``path``, ``rule``, ``verdict``, ``trust`` and ``distrust``.
+    """The pages with ``host``, ``path``, ``rule``, ``verdict``, ``trust``, ``distrust`` and ``exposure``.
 
-    The longest fitting rule decides. A page that no rule fits is blocked if its host's distrust is
-    ``threshold`` or more and above its trust, and allowed otherwise, as is a page without a host. A null url
-    has empty host and path. Input columns named like the added ones are replaced.
+    The longest fitting rule decides. A page that no rule fits is blocked if its host's distrust or exposure
+    is ``threshold`` or more and above its trust, and allowed otherwise, as is a page without a host. A null
+    url has empty host and path. Input columns named like the added ones are replaced.
     """
-    added = ("host", "path", "rule", "verdict", "trust", "distrust")
+    added = ("host", "path", "rule", "verdict", "trust", "distrust", "exposure")
     row = F.struct(*[F.col(f"`{c}`") for c in pages.columns if c not in added]).alias("row")
     ruled = best_rule(rules, F.col("host"), F.col("path"))
     parts = pages.select(
@@ -155,8 +175,9 @@ def filter_urls(pages: DataFrame, rules: list[Rule], threshold: float = THRESHOL
     hosts = store(judge_hosts(parts.select("host", "html", F.col("best.verdict").alias("ruled"))))
     hosts = hosts.where("trust != 0 or distrust != 0")
     judged = parts.join(if_small(hosts, HOST_ROW_BYTES), "host", "left")
-    trust, distrust = (F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust"))
-    by_graph = F.when((distrust >= threshold) & (distrust > trust), "block").otherwise("allow")
+    trust, distrust, exposure = (F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust", "exposure"))
+    against = F.greatest(distrust, exposure)
+    by_graph = F.when((against >= threshold) & (against > trust), "block").otherwise("allow")
     return judged.select(
         "row.*",
         "host",
@@ -165,4 +186,5 @@ def filter_urls(pages: DataFrame, rules: list[Rule], threshold: float = THRESHOL
         F.coalesce("best.verdict", by_graph).alias("verdict"),
         trust.alias("trust"),
         distrust.alias("distrust"),
+        exposure.alias("exposure"),
     )

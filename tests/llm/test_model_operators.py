@@ -244,6 +244,25 @@ def test_url_rules_and_graph(spark):
                 assert getattr(r, kind) == pytest.approx(exact[at[r.host]], abs=1e-4)
 
 
+@pytest.mark.parametrize("linkers", [1, 2, 40])
+def test_link_farm_is_blocked_whatever_its_size(spark, linkers):
+    link = "<a href='http://{}/'>"
+    pages = [(0, "http://bad.net/es/1", ""), (1, "http://fair.org/", link.format("bad.net") + link.format("other.org") * 3)]
+    pages += [(2, "http://relay.org/", link.format("farm0.org")), (3, "http://good.com/", link.format("fair.org"))]
+    pages += [(10 + i, f"http://farm{i}.org/", link.format("bad.net")) for i in range(linkers)]
+    got = {r.host: r for r in filter_urls(spark.createDataFrame(pages, "page_id long, url string, html string"), RULES).collect()}
+    assert {h for h, r in got.items() if r.verdict == "block"} == {"bad.net", "relay.org", *(f"farm{i}.org" for i in range(linkers))}
+    want = {"bad.net": 1, "farm0.org": 0.85, "relay.org": 0.85**2, "fair.org": 0.85 / 4, "good.com": 0.85**2 / 4}
+    assert {h: got[h].exposure for h in want} == pytest.approx(want, abs=1e-5)
+
+
+def test_url_scores_meet_their_tolerance(spark):
+    # two hosts that link to each other keep a score going round: 30 rounds leave 0.8 % of it out
+    pages = [(1, "http://a.com/", "<a href='http://b.org/'>"), (2, "http://b.org/", "<a href='http://a.com/'>"), (3, "http://c.net/es/", "")]
+    got = {r.host: r for r in filter_urls(spark.createDataFrame(pages, "page_id long, url string, html string"), RULES).collect()}
+    assert [got[h].trust for h in ("a.com", "b.org")] == pytest.approx([1 / (1 - 0.85**2), 0.85 / (1 - 0.85**2)], abs=1e-4)
+
+
 # --- vectors ---
 
 
