@@ -1,4 +1,4 @@
-"""Personal data: protected values by pattern, and terms around them that would give them away.
+"""Personal data: protected values by pattern, and terms in their texts that would give them away.
 
 How much a term tells about a protected value is estimated from the whole corpus: their pointwise mutual
 information as a share of the value's own information. Terms above a threshold are generalised, those that
@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabulon.llm.tables import if_small, store
+from tabulon.llm.tables import if_small, store, text_key
 
 KINDS = ("email", "ip", "card", "phone", "term")
 _LOCAL = "[A-Za-z0-9._%+-]"
@@ -25,13 +25,14 @@ PATTERNS = {
 }
 # a text without this has no valid match
 _HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]+\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){13}", "phone": r"\+[0-9]"}
-_WORD = r"\p{L}{3,}"
+_GAP = r"[^\p{L}]+"
+_KEY = ["_t1", "_t2"]
+_PART = 16  # terms are first counted in one of so many texts
 
 
 @dataclass(frozen=True)
 class Disclosure:
-    reach: int = 80  # characters of context before and behind a value
-    contexts: int = 2  # different contexts of a value that a term must share with it
+    contexts: int = 2  # different texts with a value that a term must share with it
     generalise: float = 0.8
     remove: float = 0.95
 
@@ -64,11 +65,10 @@ def _value(kind: Column, match: Column) -> Column:
     return F.concat_ws(":", kind, F.when(kind == "email", F.lower(match)).when(kind == "ip", match).otherwise(_digits(match)))
 
 
-def protected_spans(rows: DataFrame, reach: int) -> DataFrame:
-    """(id, kind, start, end, value, before, behind) of each valid match in ``rows`` (id, text).
+def protected_spans(rows: DataFrame) -> DataFrame:
+    """(id, _t1, _t2, kind, start, end, value) of each valid match in ``rows`` (id, text); _t1 and _t2 name the text.
 
     A text is taken apart by each pattern; the running sum of the parts' lengths gives the places, in code points.
-    ``before`` and ``behind`` hold up to ``reach`` characters around the match.
     """
     found = []
     for kind, pattern in PATTERNS.items():
@@ -76,84 +76,96 @@ def protected_spans(rows: DataFrame, reach: int) -> DataFrame:
         hint = F.instr(body, "@") > 0 if kind == "email" else body.rlike(_HINTS[kind])
         parts = F.arrays_zip(F.split(body, pattern, -1).alias("gap"), F.regexp_extract_all(body, F.lit(pattern), F.lit(0)).alias("match"))
         found.append(F.struct(F.lit(kind).alias("kind"), F.when(hint, parts).alias("parts")))
-    of_kind = rows.select("id", F.explode(F.array(*found)).alias("f")).where("f.parts is not null")
-    parts = of_kind.select("id", "f.kind", F.posexplode("f.parts").alias("k", "p")).select(
+    of_kind = rows.select("id", *text_key(), F.explode(F.array(*found)).alias("f")).where("f.parts is not null")
+    parts = of_kind.select("id", *_KEY, "f.kind", F.posexplode("f.parts").alias("k", "p")).select(
         "id",
+        *_KEY,
         "kind",
         "k",
         F.length("p.gap").alias("gap"),
         F.col("p.match").alias("match"),
-        F.substring("p.gap", 1, reach).alias("head"),
-        F.expr(f"right(p.gap, {reach})").alias("before"),
     )
     of_text = Window.partitionBy("id", "kind").orderBy("k")
     length = F.coalesce(F.length("match"), F.lit(0))
     end = F.sum(F.col("gap") + length).over(of_text.rowsBetween(Window.unboundedPreceding, 0))
     return (
-        parts.select("id", "kind", "match", "before", end.cast("int").alias("end"), F.lead("head").over(of_text).alias("behind"))
+        parts.select("id", *_KEY, "kind", "match", end.cast("int").alias("end"))
         .where(F.col("match").isNotNull() & _valid(F.col("kind"), F.col("match")))
         .select(
-            "id", "kind", (F.col("end") - F.length("match")).cast("int").alias("start"), "end",
-            _value(F.col("kind"), F.col("match")).alias("value"), "before", "behind",
+            "id", *_KEY, "kind", (F.col("end") - F.length("match")).cast("int").alias("start"), "end",
+            _value(F.col("kind"), F.col("match")).alias("value"),
         )
     )
 
 
-def _words(text: Column, offset: Column) -> Column:
-    """The words of a short text with their places, from ``offset`` on."""
-    gaps = F.transform(F.split(text, _WORD, -1), F.length)
-    words = F.regexp_extract_all(text, F.lit(_WORD), F.lit(0))
+def _terms(text: str) -> Column:
+    """The different words of letters of a text, lower-cased."""
+    return F.array_distinct(F.transform(F.split(text, _GAP), F.lower))
 
-    def placed(x: Column, i: Column) -> Column:
-        ahead = F.aggregate(F.slice(gaps, F.lit(1), i + 1), F.lit(0), lambda a, y: a + y) + F.aggregate(
-            F.slice(words, F.lit(1), i), F.lit(0), lambda a, y: a + F.length(y)
-        )
-        start = (offset + ahead).cast("int")
-        return F.struct(F.lower(x).alias("term"), start.alias("start"), (start + F.length(x)).cast("int").alias("end"))
-
-    return F.transform(words, placed)
-
-
-def _context_terms(spans: DataFrame, reach: int) -> DataFrame:
-    """(id, value, context, term, start, end): words of the same line near a value. A word cut by the reach is left out."""
-    before = F.regexp_replace(F.regexp_extract("before", r"[^\n]*$", 0), r"^\p{L}+" , "")
-    whole_before = F.when(F.length("before") < reach, F.regexp_extract("before", r"[^\n]*$", 0)).otherwise(before)
-    behind = F.regexp_extract("behind", r"^[^\n]*", 0)
-    whole_behind = F.when(F.length("behind") < reach, behind).otherwise(F.regexp_replace(behind, r"\p{L}+$", ""))
-    sides = spans.select("id", "value", "start", "end", whole_before.alias("l"), F.coalesce(whole_behind, F.lit("")).alias("r"))
-    terms = F.concat(_words(F.col("l"), F.col("start") - F.length("l")), _words(F.col("r"), F.col("end")))
-    return sides.select("id", "value", F.xxhash64("l", "r").alias("context"), F.explode(terms).alias("t")).select(
-        "id", "value", "context", "t.*"
-    )
+
+def _some(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    return texts.join(if_small(ids, 16), "id", "left_semi")
 
 
-def disclosing_terms(terms: DataFrame, spans: DataFrame, texts: DataFrame, d: Disclosure) -> DataFrame:
+def _texts_with(terms: DataFrame, texts: DataFrame) -> DataFrame:
+    """(term, n_t): different texts with each of the stored ``terms``."""
+    words = texts.select(*text_key(), F.explode(_terms("text")).alias("term"))
+    words = words.join(if_small(terms.select("term"), 40), "term", "left_semi")
+    return words.groupBy("term").agg(F.count_distinct(*_KEY).alias("n_t"))
+
+
+def disclosing_terms(own: DataFrame, texts: DataFrame, d: Disclosure) -> DataFrame:
     """(value, term, share): what each term tells of a value, as a share of the value's information.
 
-    With n documents, a value in n(v) of them and a term in n(t), a term that shares n(t, v) different contexts
-    with the value tells log(n * n(t, v) / (n(t) * n(v))) of log(n / n(v)). Copies of one context count once.
+    All counts are of different texts: with n texts, a value in n(v) of them, a term in n(t) and both in n(t, v), a
+    term tells log(n * n(t, v) / (n(t) * n(v))) of log(n / n(v)). ``own`` (id, value) has the values of one row of
+    each text. As n(t, v) is n(v) at most, terms in too many texts are ruled out before they meet values; most
+    of them by their number in a part of the texts, which is never above n(t).
     """
-    n = texts.count()
-    values = spans.groupBy("value").agg(F.count_distinct("id").alias("n_v"))
+    texts = texts.where("text is not null")
+    n = texts.select(*text_key()).distinct().count()
+    values = own.groupBy("value").agg(F.count("*").alias("n_v")).where(F.col("n_v") >= d.contexts)
+    held = store(own.join(if_small(store(values), 80), "value"))
+    of_text = store(held.groupBy("id").agg(F.max("n_v").alias("most")))
+    words = texts.join(if_small(of_text, 24), "id").select("id", "most", F.explode(_terms("text")).alias("term"))
+    words = store(words.where("term != ''"))
+    met = words.groupBy("term").agg(F.count("*").alias("n"), F.max("most").alias("most"))
+    most = F.lit(n) * F.pow(F.col("most") / (n + 1), F.lit(d.generalise)) * (1 + 1e-9)
+    wanted = store(met.where(F.col("n") >= d.contexts).select("term", most.alias("n_max")))
+    part = _texts_with(wanted, texts.where(F.pmod(text_key()[0], F.lit(_PART)) == 0))
+    wanted = store(wanted.join(part, "term", "left").where("n_t is null or n_t <= n_max").select("term", "n_max"))
+    rare = store(wanted.join(_texts_with(wanted, texts), "term").where("n_t <= n_max").select("term", "n_t"))
     joint = (
-        terms.select("value", "term", "context").distinct().groupBy("value", "term").agg(F.count("*").alias("n_tv"))
-    )
-    joint = store(joint.where(F.col("n_tv") >= d.contexts).join(values, "value"))
-    wanted = store(joint.select("term").distinct())
-    words = texts.where("text is not null").select(
-        F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("term")
+        words.join(if_small(rare, 48), "term")
+        .join(held, "id")
+        .groupBy("value", "n_v", "term", "n_t")
+        .agg(F.count("*").alias("n_tv"))
+        .where(F.col("n_tv") >= d.contexts)
     )
-    n_t = words.join(if_small(wanted, 40), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_t"))
     told = F.log(F.lit(n) * F.col("n_tv") / (F.col("n_t") * F.col("n_v"))) / F.log(F.lit(n + 1) / F.col("n_v"))
-    return joint.join(n_t, "term").select("value", "term", told.alias("share")).where(F.col("share") >= d.generalise)
+    return joint.select("value", "term", told.alias("share")).where(F.col("share") >= d.generalise)
+
+
+def _places(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(id, start, end, tag) of each word of ``texts`` (id, text) that is a term in ``wanted`` (id, term, tag)."""
+    word = F.posexplode(F.arrays_zip(F.split("text", r"\p{L}+", -1).alias("gap"), F.regexp_extract_all("text", F.lit(r"\p{L}+"), F.lit(0)).alias("word")))
+    words = texts.select("id", word.alias("k", "p")).select(
+        "id", "k", F.length("p.gap").alias("gap"), F.col("p.word").alias("word")
+    )
+    size = F.coalesce(F.length("word"), F.lit(0))
+    ahead = Window.partitionBy("id").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    placed = words.select("id", "word", F.sum(F.col("gap") + size).over(ahead).cast("int").alias("end")).where("word is not null")
+    return placed.select("id", F.lower("word").alias("term"), (F.col("end") - F.length("word")).cast("int").alias("start"), "end").join(
+        if_small(wanted, 80), ["id", "term"]
+    )
 
 
 def sanitise(docs: DataFrame, d: Disclosure = Disclosure()) -> DataFrame:
     """The documents with counts ``n_email``, ``n_ip``, ``n_card``, ``n_phone``, the lists ``base`` and ``spans``, and ``clean_text``.
 
     Base spans are the leftmost matches of each pattern, from left to right, that are valid; kinds may overlap. Terms
-    are words of letters in the same line near a value which tells as much about it as ``d`` allows, in two different
-    contexts at least; those that overlap a base span are left out. Spans are structs of start, end (code
+    are words of letters, wherever they stand in a text with a value, that tell more about it than ``d`` allows and share
+    ``d.contexts`` different texts with it at least; those that overlap a base span are left out. Spans are structs of start, end (code
     points, end exclusive), kind and tag, by start and kind. ``clean_text`` has the tag in place of each span, of
     overlapping ones the first. A null text is null again and has no spans; equal rows have equal results. Columns named like the
     added ones are replaced. Only ``doc_id`` and ``text`` are looked at.
@@ -162,9 +174,11 @@ def sanitise(docs: DataFrame, d: Disclosure = Disclosure()) -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in added]).alias("row")
     stored = store(docs.select(row, F.monotonically_increasing_id().alias("id")))
     texts = stored.select("id", F.col("row.text").alias("text"))
-    spans = store(protected_spans(texts, d.reach))
-    terms = store(_context_terms(spans, d.reach))
-    telling = store(disclosing_terms(terms, spans, texts, d))
+    spans = store(protected_spans(texts))
+    copies = store(spans.select("id", *_KEY).distinct())
+    firsts = store(copies.groupBy(*_KEY).agg(F.min("id").alias("first")))
+    own = store(_some(spans.select("id", "value"), firsts.select(F.col("first").alias("id"))).distinct())
+    telling = store(disclosing_terms(own, texts, d))
     number = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).cast("int")
 
     def listed(kind: Column, tag: Column) -> Column:
@@ -172,14 +186,19 @@ def sanitise(docs: DataFrame, d: Disclosure = Disclosure()) -> DataFrame:
 
     base = spans.select("id", listed(F.col("kind"), F.concat(F.lit("<"), F.upper("kind"), F.lit(">"))).alias("s"))
     tag = F.when(F.col("share") >= d.remove, "").otherwise("<TERM>")
+    told = store(own.join(if_small(telling, 80), "value").groupBy("id", "term").agg(F.min(tag).alias("tag")))
     extra = (
-        terms.join(if_small(telling, 80), ["value", "term"])
-        .select("id", "start", "end", F.lit("term").alias("kind"), tag.alias("tag"))
-        .groupBy("id", "start", "end", "kind")
-        .agg(F.min("tag").alias("tag"))
-        .select("id", listed(F.col("kind"), F.col("tag")).alias("s"))
+        _places(_some(texts, store(told.select("id").distinct())), told)
+        .withColumn("kind", F.lit("term"))
+        .select(F.col("id").alias("first"), listed(F.col("kind"), F.col("tag")).alias("s"))
+        .groupBy("first")
+        .agg(F.collect_list("s").alias("extra"))
+    )
+    extra = store(copies.join(if_small(firsts, 40), _KEY).join(if_small(store(extra), 48 + 64 * F.size("extra")), "first").select("id", "extra"))
+    of_base = base.groupBy("id").agg(F.collect_list("s").alias("s"))
+    per_text = of_base.join(if_small(extra, 48 + 64 * F.size("extra")), "id", "left").select(
+        "id", F.array_sort(F.when(F.col("extra").isNull(), F.col("s")).otherwise(F.concat("s", "extra"))).alias("all")
     )
-    per_text = base.unionByName(extra).groupBy("id").agg(F.array_sort(F.collect_list("s")).alias("all"))
     is_base = F.filter("all", lambda x: x["kind"] != "term")
     of_text = per_text.select("id", "all", is_base.alias("base")).select(
         "id",

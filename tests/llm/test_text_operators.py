@@ -278,6 +278,32 @@ def test_terms_that_disclose(spark):
     assert got[206].clean_text is None and got[206].n_email == 0
 
 
+def letters(copies=1):
+    draw, filler = random.Random(1), vocabulary(300, 9)
+    texts = [" ".join(draw.choices(filler, k=30)) for _ in range(200)]
+    far = " " + " ".join(filler[:60]) + "\n"
+    both = [f"Dear Zorquil\n{far}write to jo@x.org, Zorquil", f"Li and Zorquil were here{far * 3}jo@x.org, or ask Li"]
+    return texts + [t for t in both for _ in range(copies)] + ["or ask here", "were and dear", "to ask, write or were here", "and to dear"]
+
+
+@pytest.mark.parametrize("copies", [1, 10, 200])
+def test_terms_disclose_over_whole_texts_whatever_their_copies(spark, copies):
+    rows = list(enumerate(letters(copies)))
+    got = {r.doc_id: r for r in sanitise(frame(spark, rows)).collect()}
+    for i, text in rows:
+        # Zorquil is in both letters, Li in one of them
+        want = [(m.start(), m.end(), "") for m in re.finditer("Zorquil", text)] if "@" in text else []
+        assert [(s.start, s.end, s.tag) for s in got[i].spans if s.kind == "term"] == want
+        assert "Zorquil" not in got[i].clean_text
+
+
+def test_short_words_disclose_and_repeats_in_one_text_do_not(spark):
+    texts = [*letters()[:200], "Wu has wu@x.org", "from W\nwu@x.org, says Wu", "kim@x.org for Kop\nkim@x.org by Kop\nkim@x.org of Kop"]
+    got = {r.doc_id: r.clean_text for r in sanitise(frame(spark, list(enumerate(texts)))).collect()}
+    assert [got[i] for i in (200, 201)] == [" has <EMAIL>", "from W\n<EMAIL>, says "]
+    assert got[202] == texts[202].replace("kim@x.org", "<EMAIL>")
+
+
 def test_components_survive_ties(spark):
     got = components(spark.createDataFrame([(1, 1), (2, 3), (3, 2), (2, 3)], "a long, b long")).collect()
     assert sorted(map(tuple, got)) == [(2, 2), (3, 2)]
