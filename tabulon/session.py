@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_OPEN = threading.local()
+
 
 def build_session(app: str = "tabulon", master: str | None = None, **settings: str) -> SparkSession:
     """A session with adaptive execution on; cluster settings given by spark-submit win."""
@@ -50,15 +56,84 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/tabulon-{application}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def released_shuffles(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of a query begun inside are deleted as soon as it has ended, not when the driver
+    happens to collect its garbage. Nothing reads them again: every later query starts from stored tables."""
+    already = spark.conf.get(_RELEASE, "false") == "true"
+    spark.conf.set(_RELEASE, "true")
+    try:
+        yield
+    finally:
+        if not already:
+            spark.conf.set(_RELEASE, "false")
+
+
+class Scratch:
+    """The tables stored while a ``scratch_tables`` block is open."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._spark = spark
+        self.paths: dict[str, None] = {}
+        self._kept: set[str] = set()
+
+    def keep(self, *stored: DataFrame) -> None:
+        """These outlive the block, as what it returns still reads them."""
+        self._kept |= {df._scratch_path for df in stored}
+
+    def drop(self, *stored: DataFrame) -> None:
+        """These are not read any more."""
+        for df in stored:
+            self._delete(df._scratch_path)
+
+    def _delete(self, path: str) -> None:
+        if self.paths.pop(path, path) is None:
+            at = self._spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(at, True)
+
+    def close(self, failed: bool) -> None:
+        for path in list(self.paths):
+            if failed or path not in self._kept:
+                self._delete(path)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[Scratch]:
+    """Owns the intermediate tables that this thread stores inside and deletes them at the end, but for those
+    that are kept. A kept table of an inner block belongs to the block around it."""
+    stack = _OPEN.__dict__.setdefault("stack", [])
+    scratch, failed = Scratch(spark), True
+    stack.append(scratch)
+    try:
+        yield scratch
+        failed = False
+    finally:
+        stack.pop()
+        scratch.close(failed)
+        if stack:
+            stack[-1].paths |= scratch.paths
+
+
+def store_parquet(df: DataFrame, label: str, **options: str) -> DataFrame:
+    """Write ``df`` to a new path in the shared folder and read it back."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    if stack := _OPEN.__dict__.get("stack"):
+        stack[-1].paths[path] = None
+    with released_shuffles(spark):
+        df.write.options(**options).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._scratch_path = path
+    return stored
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Later steps start from the stored columns instead of repeating shuffles, a lost executor
     costs no lineage, unused columns are not read, and Catalyst knows the size of the result.
     """
-    path = scratch_path(df.sparkSession, "table")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return store_parquet(df, "table")
 
 
 def materialize_sized(df: DataFrame) -> tuple[DataFrame, int]:
