@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -74,7 +74,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession) -> None:
         self._spark = spark
-        self.paths: dict[str, None] = {}
+        self.paths: dict[str, str | None] = {}  # with the name in the catalog, if any
         self._kept: set[str] = set()
 
     def keep(self, *stored: DataFrame) -> None:
@@ -87,7 +87,9 @@ class Scratch:
             self._delete(df._scratch_path)
 
     def _delete(self, path: str) -> None:
-        if self.paths.pop(path, path) is None:
+        if path in self.paths:
+            if name := self.paths.pop(path):
+                self._spark.sql(f"DROP TABLE IF EXISTS {name}")
             at = self._spark._jvm.org.apache.hadoop.fs.Path(path)
             at.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(at, True)
 
@@ -114,15 +116,20 @@ def scratch_tables(spark: SparkSession) -> Iterator[Scratch]:
             stack[-1].paths |= scratch.paths
 
 
-def store_parquet(df: DataFrame, label: str, **options: str) -> DataFrame:
-    """Write ``df`` to a new path in the shared folder and read it back."""
+def store_parquet(df: DataFrame, label: str, by: Sequence[str] = (), buckets: int = 0, **options: str) -> DataFrame:
+    """Write ``df`` to a new path in the shared folder and read it back; in ``buckets`` by the hash of ``by``, if
+    these are given. The catalog entry that buckets need has the name of the folder."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
+    name = path.rsplit("/", 1)[1].replace("-", "_") if buckets else None
     if stack := _OPEN.__dict__.get("stack"):
-        stack[-1].paths[path] = None
+        stack[-1].paths[path] = name
     with released_shuffles(spark):
-        df.write.options(**options).parquet(path)
-    stored = spark.read.schema(df.schema).parquet(path)
+        if buckets:
+            df.write.options(**options).option("path", path).bucketBy(buckets, *by).saveAsTable(name)
+        else:
+            df.write.options(**options).parquet(path)
+    stored = spark.table(name) if buckets else spark.read.schema(df.schema).parquet(path)
     stored._scratch_path = path
     return stored
 
