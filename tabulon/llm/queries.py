@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tabulon.llm.centroids import lloyd, with_inertia
 from tabulon.llm.decontamination import find_leaks
+from tabulon.llm.hard_negatives import mine_negatives
 from tabulon.llm.language import fit_language_model, held_out
 from tabulon.llm.line_windows import drop_repeated_windows
 from tabulon.llm.packing import pack_documents
 from tabulon.llm.personal_data import sanitise, span_list
+from tabulon.llm.pieces import encode_pieces
 from tabulon.llm.sharding import shard_contiguous, text_size
 from tabulon.llm.shingle_join import similar_groups
 from tabulon.llm.substrings import drop_repeated_sequences
@@ -33,6 +36,12 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(documents(spark, sf_dir).select("doc_id", "text"), tokenizer_path())
 
@@ -100,6 +109,29 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = encode_pieces(documents(spark, sf_dir), piece_model_path(), ["doc_id"])
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed, centroids = lloyd(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return with_inertia(placed, centroids).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_substring_dedup": op2_substring_dedup,
@@ -111,4 +143,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_embedding_dedup": op9_embedding_dedup,
     "op10_line_dedup": op10_line_dedup,
+    "op11_piece_encoding": op11_piece_encoding,
+    "op12_centroid_clustering": op12_centroid_clustering,
+    "op13_hard_negatives": op13_hard_negatives,
 }

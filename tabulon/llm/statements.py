@@ -1,6 +1,59 @@
 """The queries that SQL can express, for DuckDB."""
 
+_FINITE = """embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+            AND len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0"""
+
+
+def _lloyd(rounds: int = 10) -> str:
+    """Rounds of assignment and update, one after the other."""
+    nearest = """SELECT k.vec_id, any_value(k.v) AS v, arg_min(c.cluster, 8 * {d} + c.cluster) AS cluster, min({d}) AS distance
+            FROM kept k, c{r} c GROUP BY k.vec_id"""
+    gap = "(list_dot_product(k.v, k.v) - 2 * list_dot_product(k.v, c.v) + list_dot_product(c.v, c.v))::BIGINT"
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"a{r} AS MATERIALIZED ({nearest.format(d=gap, r=r)})")
+        if r < rounds:
+            steps.append(f"""c{r + 1} AS MATERIALIZED (
+              SELECT o.cluster, coalesce(m.v, o.v) AS v FROM c{r} o LEFT JOIN (
+                SELECT cluster, list(((s - ((s % n) + n) % n) // n)::DOUBLE ORDER BY i) AS v FROM (
+                  SELECT cluster, i, sum(x::BIGINT) AS s, count(*) AS n
+                  FROM (SELECT cluster, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r}) GROUP BY cluster, i
+                ) GROUP BY cluster
+              ) m USING (cluster))""")
+    return f"""
+        WITH kept AS MATERIALIZED (
+          SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+          WHERE {_FINITE} AND len(embedding) = 64
+        ), c0 AS MATERIALIZED (
+          SELECT (row_number() OVER h - 1)::INT AS cluster, v FROM kept
+          WINDOW h AS (ORDER BY sha256('3:' || vec_id::VARCHAR)) QUALIFY row_number() OVER h <= 8
+        ), {", ".join(steps)}
+        SELECT vec_id, a.cluster, distance, (sum(distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+               (sum(distance) OVER ())::BIGINT AS inertia,
+               sha256(array_to_string(list_transform(c.v, lambda x: x::BIGINT::VARCHAR), ',')) AS centroid_sha256
+        FROM a{rounds} a JOIN c{rounds} c USING (cluster)
+    """
+
+
 STATEMENTS = {
+    "op12_centroid_clustering": _lloyd(),
+    "op13_hard_negatives": f"""
+        WITH kept AS MATERIALIZED (
+          SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+          FROM embeddings WHERE label IS NOT NULL AND {_FINITE}
+        ), scored AS MATERIALIZED (
+          SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+          FROM kept a JOIN kept b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+        ), positive AS (
+          SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT anchor_id, positive_id, (row_number() OVER w)::INT AS rank, s.vec_id AS negative_id, positive_score, s.score AS negative_score
+        FROM positive p JOIN scored s USING (anchor_id)
+        WHERE NOT s.same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+        WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) QUALIFY row_number() OVER w <= 5
+    """,
     # the input is stored in the order of doc_id, which stands for the place in it here
     "op3_sharding": """
         WITH sized AS (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabulon.session import scratch_path
+from tabulon.session import store_parquet
 
 BROADCAST_BYTES = 48_000_000
 ROW_BITS = 33  # monotonically_increasing_id keeps the row number inside a partition in these bits
@@ -17,9 +17,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def store(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read back: a lost executor costs no lineage."""
-    path = scratch_path(df.sparkSession, "llm")
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return store_parquet(df, "llm", compression="zstd")
+
+
+def store_bucketed(df: DataFrame, by: list[str]) -> DataFrame:
+    """Like ``store``, dealt over as many buckets as a shuffle has partitions, so that joins on ``by`` need not move it."""
+    buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return store_parquet(df.repartition(buckets, *by), "llm", by, buckets, compression="zstd")
 
 
 def text_key(text: str | Column = "text") -> list[Column]:

@@ -15,7 +15,7 @@ from tools.check_oracle import rows_of
 
 
 def test_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(STATEMENTS) <= set(oracle_sql())
 
 
