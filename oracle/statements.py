@@ -182,6 +182,42 @@ SELECT round(sum(CASE WHEN dof = 1 THEN pow(abs(o - e) - least(0.5, abs(o - e)),
        AS statistic, any_value(dof) AS dof FROM full_table, shape"""
 
 
+_RULE = "CASE WHEN {r} > 150000 THEN 'F' WHEN {redshift} < 3000 THEN 'O' ELSE 'P' END"
+
+
+RULE_FOLDS = f"""ruled AS (SELECT fold, class, {_RULE.format(r='r', redshift='redshift')} AS prediction FROM obs JOIN folds USING (field_id)
+), per_class AS (
+  SELECT fold, label, count(*) FILTER (class = label)::DOUBLE AS support, count(*) FILTER (prediction = label)::DOUBLE AS called,
+         count(*) FILTER (class = label AND prediction = label)::DOUBLE AS hits
+  FROM ruled, (SELECT unnest(['F', 'O', 'P']) AS label) GROUP BY fold, label
+), scores AS (
+  SELECT *, CASE WHEN called > 0 THEN hits / called ELSE 0 END AS p, CASE WHEN support > 0 THEN hits / support ELSE 0 END AS r,
+         CASE WHEN called + support > 0 THEN 2 * hits / (called + support) ELSE 0 END AS f FROM per_class
+), fold_metrics AS (
+  SELECT fold, NULL::DOUBLE AS log_loss, round(sum(hits) / sum(support), 4) AS accuracy, round(sum(f * support) / sum(support), 4) AS f1,
+         round(sum(p * support) / sum(support), 4) AS "precision", round(sum(r * support) / sum(support), 4) AS recall, NULL::DOUBLE AS roc_auc
+  FROM scores GROUP BY fold
+)"""
+
+
+def _ks_drift(alpha: float = 0.05) -> str:
+    far = "2 * list_sum(list_transform(range(1, 101), lambda k: pow(-1, k - 1) * exp(-2.0 * k * k * x * x)))"
+    near = "sqrt(2 * pi()) / x * list_sum(list_transform(range(1, 21), lambda k: exp(-pow(2 * k - 1, 2) * pi() * pi() / (8 * x * x))))"
+    parts = " UNION ALL ".join(
+        f"""SELECT '{c}' AS feature, any_value(n) AS n_reference, any_value(m) AS n_current, max(abs(f / n - g / m)) AS d FROM (
+          SELECT sum((side = 'train')::INT) OVER w AS f, sum((side = 'prod')::INT) OVER w AS g,
+                 count(*) FILTER (side = 'train') OVER () AS n, count(*) FILTER (side = 'prod') OVER () AS m
+          FROM cleaned JOIN sided USING (obj_id) WHERE cleaned.{c} IS NOT NULL WINDOW w AS (ORDER BY cleaned.{c}))"""
+        for c in FEATURES
+    )
+    return (
+        _with(OBS, NULLED, CLEAN, CUT, f"gaps AS ({parts})")
+        + f"""SELECT feature, n_reference, n_current, round(d, 6) AS statistic, round(p, 6) AS p_value, p < {alpha} AS drifted FROM (
+  SELECT *, CASE WHEN x <= 0 THEN 1.0 WHEN x < 0.5 THEN 1 - {near} ELSE greatest(0.0, {far}) END::DOUBLE AS p
+  FROM (SELECT *, d * sqrt(n_reference::DOUBLE * n_current / (n_reference + n_current)) AS x FROM gaps))"""
+    )
+
+
 def _smote() -> str:
     scaled = ", ".join(f"(c.{c} - m.{c}_low) / m.{c}_range AS {c}" for c in FEATURES)
     ranges = ", ".join(f"min({c}) AS {c}_low, max({c}) - min({c}) AS {c}_range" for c in FEATURES)
@@ -331,6 +367,20 @@ SELECT b.range AS bin, round(low + b.range * w, 6) AS bin_low, round(low + (b.ra
         "8::BIGINT AS n_columns FROM nulled"
         for c, t in [(b, "double") for b in BANDS] + [("redshift", "double"), ("obj_id", "bigint"), ("class", "string")]
     ),
+    "ks_drift": _ks_drift(),
+    "share_drift": _with(OBS, CUT)
+    + """, ref AS (SELECT class, count(*)::DOUBLE / sum(count(*)) OVER () AS share FROM sided WHERE side = 'train' GROUP BY class
+), seen AS (
+  SELECT (row_number() OVER (ORDER BY mjd, obj_id) - 1) // 2000 + 1 AS batch, class FROM sided WHERE side = 'prod'
+), counts AS (SELECT batch, class, count(*) AS n FROM seen GROUP BY ALL
+), grid AS (SELECT batch, class FROM (SELECT DISTINCT batch FROM seen) CROSS JOIN (SELECT class FROM ref UNION SELECT class FROM seen)
+), compared AS (
+  SELECT batch, class, coalesce(n, 0) AS n, coalesce(n, 0)::DOUBLE / sum(n) OVER (PARTITION BY batch) AS share, coalesce(r.share, 0) AS expected,
+         count(n) OVER (PARTITION BY batch, class) + count(r.share) OVER (PARTITION BY batch, class) AS known
+  FROM grid LEFT JOIN counts USING (batch, class) LEFT JOIN ref r USING (class)
+)
+SELECT batch, class, n, round(share, 6) AS share, round(expected, 6) AS reference_share, round(share - expected, 6) AS difference,
+       round(sum(abs(share - expected)) OVER (PARTITION BY batch) / 2, 6) AS distance FROM compared WHERE known > 0""",
     "duplicated_rows": "SELECT l_orderkey, l_partkey, l_returnflag FROM lineitem "
     "QUALIFY count(*) OVER (PARTITION BY l_orderkey) > 1",
     "average_rank": _OBS
@@ -403,6 +453,36 @@ UNION ALL SELECT 'weighted avg', round(sum("precision" * support) / sum(support)
 SELECT d.range AS draw, p.obj_id, p.mjd, p.class
 FROM range((SELECT count(*) FROM prod)) d
 JOIN prod p ON p.place = {_number(SEED, 'd.range')} % p.m""",
+    "stream_accuracy": _with(OBS, CUT)
+    + f""", placed AS (SELECT *, (row_number() OVER (ORDER BY mjd, obj_id) - 1) // 2000 + 1 AS batch FROM sided WHERE side = 'prod'
+), ruled AS (SELECT batch, (class = {_RULE.format(r='r', redshift='redshift')})::INT AS hit FROM placed WHERE u <> -9999)
+SELECT batch, count(*) AS n, round(avg(hit), 6) AS accuracy, any_value(m) AS n_so_far, round(any_value(a), 6) AS running_accuracy
+FROM ruled, (SELECT count(*) AS m, avg(hit) AS a FROM ruled) GROUP BY batch""",
+    "rule_importance": _OBS
+    + f""", placed AS (
+  SELECT obj_id, class, r, redshift, row_number() OVER (ORDER BY {_md5(SEED, 'obj_id')}, obj_id) - 1 AS place, count(*) OVER () AS n FROM obs
+), rounds AS (SELECT range AS rep FROM range(10)), exchanged AS (
+  SELECT f.feature, rep, p.class, CASE WHEN f.feature = 'r' THEN q.r ELSE p.r END AS r,
+         CASE WHEN f.feature = 'redshift' THEN q.redshift ELSE p.redshift END AS redshift
+  FROM placed p CROSS JOIN rounds CROSS JOIN (SELECT unnest(['r', 'redshift']) AS feature) f
+  JOIN placed q ON q.place = (p.place + {_number(f'{SEED}shift', 'rep')} % (p.n - 1) + 1) % p.n
+), scored AS (
+  SELECT feature, rep, avg((class = {_RULE.format(r='r', redshift='redshift')})::INT) AS accuracy FROM exchanged GROUP BY ALL
+)
+SELECT feature, round((SELECT avg((class = {_RULE.format(r='r', redshift='redshift')})::INT) FROM obs) - avg(accuracy), 6) AS importance,
+       round(stddev_pop(accuracy), 6) AS deviation FROM scored GROUP BY feature""",
+    "rule_folds": _with(OBS, FOLDS, RULE_FOLDS) + "SELECT * FROM fold_metrics",
+    "rule_folds_mean": _with(OBS, FOLDS, RULE_FOLDS)
+    + "SELECT "
+    + ", ".join(f'round(avg("{m}"), 6) AS "{m}"' for m in ("log_loss", "accuracy", "f1", "precision", "recall", "roc_auc"))
+    + " FROM fold_metrics",
+    "run_log": _OBS
+    + f""", classes AS (SELECT class, count(*) AS n FROM obs GROUP BY class)
+SELECT 'build' AS run_id, 'data' AS kind, 'dataset_row_count' AS key, count(*)::VARCHAR AS value FROM obs
+UNION ALL SELECT 'build', 'data', 'dataset_checksum',
+  sum(('0x' || substr(md5(concat_ws(',', {_exact('obj_id')}, {_exact('field_id')}, {_exact('class')})), 1, 8))::BIGINT)::VARCHAR FROM obs
+UNION ALL SELECT 'build', 'metrics', 'class_' || class, n::VARCHAR FROM classes
+UNION ALL SELECT 'again', 'params', 'seed', '{SEED}' UNION ALL SELECT 'again', 'params', 'scaler', '"robust"'""",
     "quarantine": _OBS
     + "SELECT obj_id, "
     + ", ".join(f"nullif({b}, -9999) AS {b}" for b in BANDS)
@@ -413,3 +493,4 @@ JOIN prod p ON p.place = {_number(SEED, 'd.range')} % p.m""",
     + """, placed AS (SELECT *, (row_number() OVER (ORDER BY mjd, obj_id) - 1) // 2000 + 1 AS batch FROM scored)
 SELECT batch, count(*) AS n, round(avg((class = prediction)::INTEGER), 6) AS accuracy FROM placed GROUP BY batch""",
 }
+STATEMENTS["replay_stream"] = STATEMENTS["replay_draws"]

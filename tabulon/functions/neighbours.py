@@ -1,89 +1,94 @@
 """Exact nearest neighbours inside each class, without forming all pairs.
 
 Equal points are merged into one with a multiplicity, so copies of one point never pile up.
-The space of each class is cut into cells of a few thousand points by a tree of median splits
-(learnt from a bounded sample; the sample shapes the cells only, never the result). A query
-first searches its own cell, which gives a radius; it is then sent to just those other cells
-that its ball touches, and the candidates are merged. Cells, query loads and candidate lists
-are bounded, and the answer does not depend on how the cells were cut. Meant for the handful of
-numeric features of a table: in many dimensions a ball touches most cells.
+The space of each class is cut into cells of at most a few thousand points: a cell with more is cut along its widest
+coordinate at quantiles, and so on, one level at a time for all cells of all classes. The cuts are a table, and points and
+queries go down it by joins; neither the number of classes nor that of cells is bounded. A query first
+searches its own cell, which gives a radius; it is then sent to just those other cells that its ball touches, and
+the candidates are merged. Cells, query loads and candidate lists are bounded, and the answer does not depend on how the
+cells were cut. Meant for the handful of numeric features of a table: in many dimensions a ball touches most cells.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.joins import attach
 from tabulon.session import materialize
 
 CELL_POINTS = 2_000
-MAX_CELLS = 32_768
-SAMPLE_PER_CELL = 40
+CHILDREN = 64  # of a cell that is cut, at most
 QUERY_CHUNK = 20_000
 _BLOCK = 256
 
 
-class CellTree:
-    """Median splits of one class: ``nodes`` holds (dimension, threshold, left, right); a leaf
-    has dimension -1 and its cell number in ``left``."""
-
-    def __init__(self, sample: np.ndarray, cells: int) -> None:
-        self.nodes: list[tuple[int, float, int, int]] = []
-        self.cells = 0
-        self._build(sample, max(1, cells))
-
-    def _build(self, points: np.ndarray, cells: int) -> int:
-        at = len(self.nodes)
-        self.nodes.append((-1, 0.0, self.cells, -1))
-        if cells > 1 and len(points) > 1:
-            spread = np.ptp(points, axis=0)
-            dim = int(np.argmax(spread))
-            threshold = float(np.median(points[:, dim]))
-            if threshold == points[:, dim].max() and spread[dim] > 0:  # half of the points or more have the largest value
-                threshold = float(points[points[:, dim] < threshold, dim].max())
-            low = points[:, dim] <= threshold
-            if spread[dim] > 0 and low.any() and not low.all():
-                left = self._build(points[low], cells // 2)
-                right = self._build(points[~low], cells - cells // 2)
-                self.nodes[at] = (dim, threshold, left, right)
-                return at
-        self.cells += 1
-        return at
-
-    def home(self, points: np.ndarray) -> np.ndarray:
-        cell = np.zeros(len(points), dtype=np.int32)
-        stack = [(0, np.arange(len(points)))]
-        while stack:
-            node, rows = stack.pop()
-            dim, threshold, left, right = self.nodes[node]
-            if dim < 0:
-                cell[rows] = left
-                continue
-            low = points[rows, dim] <= threshold
-            stack += [(left, rows[low]), (right, rows[~low])]
-        return cell
-
-    def touched(self, points: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, cell) for every cell whose side of each split the ball of a row reaches."""
-        out_rows, out_cells = [], []
-        stack = [(0, np.arange(len(points)))]
-        while stack:
-            node, rows = stack.pop()
-            if not len(rows):
-                continue
-            dim, threshold, left, right = self.nodes[node]
-            if dim < 0:
-                out_rows.append(rows)
-                out_cells.append(np.full(len(rows), left, dtype=np.int32))
-                continue
-            x, r = points[rows, dim], radius[rows]
-            stack += [(left, rows[x - r <= threshold]), (right, rows[x + r >= threshold])]
-        return np.concatenate(out_rows), np.concatenate(out_cells)
+def _cuts(points: DataFrame, by: str, features: list[str]) -> DataFrame:
+    """(by, cell, dim, at, n) of the cells with too many points: where they are cut along which feature.
+
+    At the quantiles of the widest feature, as many as make cells of about half the allowed size; where most points
+    share one value, in the middle of the range.
+    """
+    spans = F.array(*[F.max(f) - F.min(f) for f in features])
+    sizes = points.groupBy(by, "cell").agg(F.count("*").alias("n"), spans.alias("spans"))
+    sizes = sizes.where(F.col("n") > CELL_POINTS)
+    dim = (F.array_position("spans", F.array_max("spans")) - 1).cast("int")
+    wide = materialize(sizes.select(by, "cell", "n", dim.alias("dim")))
+    parts = F.least(F.lit(CHILDREN), F.ceil(2 * F.col("n") / F.lit(CELL_POINTS))).cast("int")
+    inside = attach(points.select(by, "cell", *features), wide.withColumn("_n", F.col("n")), [by, "cell"], size_col="_n").where("dim is not null")
+    value = F.element_at(F.array(*features), F.col("dim") + 1)
+    steps = [k / CHILDREN for k in range(1, CHILDREN)]
+    found = inside.select(by, "cell", "dim", "n", value.alias("x")).groupBy(by, "cell", "dim", "n").agg(
+        F.percentile_approx("x", steps, 1_000).alias("q"), F.min("x").alias("low"), F.max("x").alias("high")
+    )
+    taken = F.transform(F.sequence(F.lit(1), parts - 1), lambda k: F.element_at("q", F.greatest(F.lit(1), F.floor(k * CHILDREN / parts).cast("int"))))
+    useful = F.array_sort(F.array_distinct(F.filter(taken, lambda x: x < F.col("high"))))
+    middle = (F.col("low") + F.col("high")) / 2
+    middle = F.when(middle < F.col("high"), middle).otherwise(F.col("low"))
+    at = F.when(F.size(useful) > 0, useful).otherwise(F.array(middle))
+    return materialize(found.select(by, "cell", "dim", "n", at.alias("at")))
+
+
+def _child(at: str, x: Column) -> Column:
+    """Number of the child of a cut cell in which the value ``x`` lies: a cut belongs to the child below it."""
+    return F.size(F.filter(at, lambda t: t < x))
+
+
+def _own_cells(points: DataFrame, by: str, features: list[str]) -> tuple[DataFrame, list[DataFrame]]:
+    """``points`` with the ``cell`` of each, and the tables of cuts from the whole space down."""
+    state = points.withColumn("cell", F.lit(""))
+    settled, levels = [], []
+    while True:
+        cuts = _cuts(state, by, features)
+        if cuts.isEmpty():
+            return reduce(DataFrame.unionByName, [*settled, state]), levels
+        levels.append(cuts)
+        placed = attach(state, cuts, [by, "cell"], size_col="n")
+        value = F.element_at(F.array(*features), F.col("dim") + 1)
+        child = F.concat_ws(".", "cell", _child("at", value).cast("string"))
+        # what lies in a cell that is small enough stays where it is and is not written again
+        settled.append(placed.where("dim is null").drop("dim", "at"))
+        state = materialize(placed.where("dim is not null").withColumn("cell", child).drop("dim", "at"))
+
+
+def _touched_cells(queries: DataFrame, levels: list[DataFrame], by: str, features: list[str]) -> DataFrame:
+    """``queries`` (with ``radius``), once for each ``cell`` whose side of every cut the ball reaches."""
+    state = queries.withColumn("cell", F.lit(""))
+    settled = []
+    for cuts in levels:
+        met = attach(state, cuts, [by, "cell"], size_col="n")
+        value = F.element_at(F.array(*features), F.col("dim") + 1)
+        reach = F.col("radius") * (1 + 1e-12)
+        first, last = _child("at", value - reach), _child("at", value + reach)
+        settled.append(met.where("dim is null").drop("dim", "at"))
+        deeper = met.where("dim is not null").withColumn("_k", F.explode(F.sequence(first, last)))
+        state = materialize(deeper.withColumn("cell", F.concat_ws(".", "cell", F.col("_k").cast("string"))).drop("_k", "dim", "at"))
+    return reduce(DataFrame.unionByName, [*settled, state])
 
 
 def _nearest(queries: np.ndarray, points: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -121,37 +126,16 @@ def _renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def _nearest_neighbours(points: DataFrame, queries: DataFrame, by: str, features: list[str], k: int) -> DataFrame:
-    spark = points.sparkSession
     merged = points.groupBy(by, *features).agg(F.count("*").alias("copies"))
     merged = materialize(merged)
     asked = queries.select(by, *features).distinct().withColumn("asked", F.lit(True))
     flagged = merged.join(asked, [by, *features], "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
-
-    sizes = {r[0]: r[1] for r in merged.groupBy(by).agg(F.count("*")).collect()}  # one row per class
-    trees = {}
-    for label, n in sizes.items():
-        cells = min(MAX_CELLS, -(-n // CELL_POINTS))
-        share = min(1.0, cells * SAMPLE_PER_CELL * 1.2 / n)
-        sample = merged.where(F.col(by) == F.lit(label)).select(*features)
-        rows = sample.sample(fraction=share, seed=1).toPandas() if cells > 1 else pd.DataFrame(columns=features)
-        trees[label] = CellTree(rows.to_numpy(dtype=float), cells)
-    shared_trees = spark.sparkContext.broadcast(trees)  # at most MAX_CELLS small nodes per class
+    placed, levels = _own_cells(materialize(flagged), by, features)
 
     coordinates = ", ".join(f"`{f}` double" for f in features)
     by_type = f"`{by}` {merged.schema[by].dataType.simpleString()}"
     candidate = "candidates array<struct<distance:double, at:array<double>, copies:bigint>>"
 
-    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            cell = np.zeros(len(frame), dtype=np.int32)
-            for label, rows in frame.groupby(by).indices.items():
-                cell[rows] = shared_trees.value[label].home(frame[features].to_numpy(dtype=float)[rows])
-            yield frame.assign(cell=cell)
-
-    placed = materialize(
-        flagged.mapInPandas(place, f"{by_type}, {coordinates}, copies long, asked boolean, cell int")
-    )
-
     def candidates(at: np.ndarray, copies: np.ndarray, near: np.ndarray, distances: np.ndarray) -> list[dict]:
         return [
             {"distance": float(d), "at": at[p].tolist(), "copies": int(copies[p])} for p, d in zip(near, distances)
@@ -169,31 +153,19 @@ def _nearest_neighbours(points: DataFrame, queries: DataFrame, by: str, features
         found = frame.iloc[asking][[by, *features, "cell"]].copy()
         return found.assign(radius=radius, candidates=_objects(lists, found.index))
 
+    # cells without a query are not read
     home = materialize(
-        placed.groupBy(by, "cell").applyInPandas(
-            search_home, f"{by_type}, {coordinates}, cell int, radius double, {candidate}"
+        _with_queries(placed, by).groupBy(by, "cell").applyInPandas(
+            search_home, f"{by_type}, {coordinates}, cell string, radius double, {candidate}"
         )
     )
 
-    if all(tree.cells == 1 for tree in trees.values()):
+    if not levels:
         found = home.select(by, *features, F.array_sort("candidates").alias("all"))
         return _spread(found, by, features, k).join(merged, [by, *features])
 
-    def route(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for label, rows in frame.groupby(by).indices.items():
-                part = frame.iloc[rows].reset_index(drop=True)
-                reach = part["radius"].to_numpy() * (1 + 1e-12)
-                row, cell = shared_trees.value[label].touched(part[features].to_numpy(dtype=float), reach)
-                sent = part.iloc[row].assign(target=cell)
-                sent = sent[sent["target"] != sent["cell"]]
-                yield sent[[by, *features, "radius"]].assign(cell=sent["target"])
-
-    routed = materialize(
-        home.select(by, *features, "cell", "radius").mapInPandas(
-            route, f"{by_type}, {coordinates}, radius double, cell int"
-        )
-    )
+    asking = home.select(by, *features, "radius", F.col("cell").alias("_home"))
+    routed = materialize(_touched_cells(asking, levels, by, features).where("cell != _home").drop("_home"))
     loads = routed.groupBy(by, "cell").agg(F.ceil(F.count("*") / QUERY_CHUNK).cast("int").alias("chunks"))
     loads = materialize(loads)  # one row per cell
     chunk = F.pmod(F.xxhash64(*features), F.col("chunks")).cast("int")
@@ -227,6 +199,12 @@ def _nearest_neighbours(points: DataFrame, queries: DataFrame, by: str, features
     return _spread(found, by, features, k).join(merged, [by, *features])
 
 
+def _with_queries(placed: DataFrame, by: str) -> DataFrame:
+    """The points of the cells in which a query lies."""
+    wanted = placed.where("asked").select(by, "cell").distinct().withColumn("_wanted", F.lit(True))
+    return attach(placed, wanted, [by, "cell"]).where("_wanted").drop("_wanted")
+
+
 def _spread(found: DataFrame, by: str, features: list[str], k: int) -> DataFrame:
     """One entry per copy. The query itself is first, at distance 0; one copy of it is left out."""
     copies = F.transform("all", lambda c: F.array_repeat(c["at"], F.least(c["copies"], F.lit(k + 1)).cast("int")))

@@ -9,7 +9,7 @@ a thousand per round. Only a bracket of at most ``FINAL_ROWS`` rows is ever brou
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import Any
 
@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.ranks import running_totals
+from tabulon.session import materialize
 
 FINAL_ROWS = 200_000  # values of one column brought together at the end
 TOTAL_ROWS = 1_000_000  # the same for all columns
@@ -49,16 +50,28 @@ def order_statistics(
     return _select(df, list(ranks), lambda column, n: ranks[column], final_rows)[0]
 
 
+def narrow(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Just these columns as a stored table, which each round of a search then reads. A table that has just been stored
+    is not written again."""
+    slim = df.select(*[F.col(c) for c in columns])
+    if not hasattr(df, "_scratch_path"):
+        return materialize(slim)
+    slim._scratch_path = df._scratch_path
+    return slim
+
+
 def _select(
-    df: DataFrame, columns: list[str], wanted: Callable[[str, int], list[int]], final_rows: int | None
+    df: DataFrame, columns: list[str], wanted: Callable[[str, int], list[int]], final_rows: int | None, sizes: list | None = None
 ) -> tuple[dict[str, dict[int, Any]], dict[str, int]]:
-    """Values at the ranks that ``wanted`` names per column and row count, and the row counts."""
+    """Values at the ranks that ``wanted`` names per column and row count, and the row counts. ``sizes``: count,
+    minimum and maximum of each column, if they are known already."""
     if final_rows is None:
         final_rows = min(FINAL_ROWS, TOTAL_ROWS // max(len(columns), 1))
     found: dict[str, dict[int, Any]] = {c: {} for c in columns}
     if not columns:
         return found, {}
-    sizes = _row(df, [e for c in columns for e in (F.count(c), F.min(c), F.max(c))])
+    if sizes is None:
+        sizes = _row(df, [e for c in columns for e in (F.count(c), F.min(c), F.max(c))])
     counts = dict(zip(columns, sizes[::3]))
     brackets = []
     for column, n, low, high in zip(columns, sizes[::3], sizes[1::3], sizes[2::3]):
@@ -93,8 +106,11 @@ def _select(
     return found, counts
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> dict[str, list[float | None]]:
-    """Linearly interpolated quantiles per column, nulls left out; None where all is null."""
+def exact_quantiles(
+    df: DataFrame, columns: list[str], probabilities: list[float], sizes: list | None = None
+) -> dict[str, list[float | None]]:
+    """Linearly interpolated quantiles per column, nulls left out; None where all is null. ``sizes`` as in ``_select``."""
+    df = narrow(df, columns) if columns else df
 
     def places(n: int) -> list[float]:
         return [(n - 1) * p for p in probabilities] if n else []
@@ -102,7 +118,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
     def ranks(column: str, n: int) -> list[int]:
         return [k for at in places(n) for k in (math.floor(at), math.ceil(at))]
 
-    values, counts = _select(df, columns, ranks, None)
+    values, counts = _select(df, columns, ranks, None, sizes)
     result = {}
     for column in columns:
         if not counts[column]:
@@ -122,12 +138,20 @@ def _row(df: DataFrame, expressions: list[Column]) -> list:
 
 
 def _narrow(df: DataFrame, brackets: list[_Bracket]) -> None:
-    edges = []
+    # brackets of a column that are still the same share one sketch of their values
+    together: dict[tuple, list[_Bracket]] = {}
     for b in brackets:
-        centre, reach = (b.rank - b.below + 0.5) / b.inside, 2.0 / ACCURACY
-        shares = [max(0.0, centre - reach), min(1.0, centre + reach)]
-        edges.append(F.percentile_approx(b.member(), shares, ACCURACY))
-    limits = _row(df, edges)
+        together.setdefault((b.column, b.low, b.high), []).append(b)
+    sketches = []
+    for group in together.values():
+        shares = []
+        for b in group:
+            centre, reach = (b.rank - b.below + 0.5) / b.inside, 2.0 / ACCURACY
+            shares += [max(0.0, centre - reach), min(1.0, centre + reach)]
+        sketches.append(F.percentile_approx(group[0].member(), shares, ACCURACY))
+    found = zip(together.values(), _row(df, sketches))
+    limits = {id(b): edges[2 * k : 2 * k + 2] for group, edges in found for k, b in enumerate(group)}
+    limits = [limits[id(b)] for b in brackets]
     counts = []
     for b, (low, high) in zip(brackets, limits):
         c = F.col(b.column)

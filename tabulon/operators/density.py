@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.joins import attach
+from tabulon.session import materialize, materialize_sized
+
+BINS = 1_000
+TERMS = 6
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
@@ -31,46 +35,75 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
     return filled.select("bin", "bin_low", "bin_high", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def kde(df: DataFrame, column: str, by: str, common_norm: bool = False, grid: int = 200, cut: float = 3.0) -> DataFrame:
+def kde(
+    df: DataFrame, column: str, by: str, common_norm: bool = False, grid: int = 200, cut: float = 3.0, bins: int = BINS, exact: bool = False
+) -> DataFrame:
     """Gaussian density curve per class: bandwidth n^(-1/5)·std, grid over [min-3h, max+3h].
 
-    The sum is exact, not binned: equal values are counted first and each distinct value adds
-    its weight to the grid points, which are combined within the task, so that a shuffle only
-    carries ``grid`` rows per class and task. With ``common_norm`` a curve is scaled by the
-    share of its class.
+    The values of a class are gathered in ``bins`` bins of equal width, each with the sums of the first six powers of the
+    distances d from its centre, in bandwidths. The kernel's Hermite series then gives what the values of a bin add to
+    each of the ``grid`` points, so bins meet the grid and values do not. The share of the true height that can be lost is
+    at most 1.1·D⁶/√720 of the kernel's own height, D being half a bin in bandwidths: 5e-13 at 0.015 (some thirty bandwidths of range, a thousand
+    bins), 1e-6 at 0.17. Where that is not enough, ask for more bins or for ``exact``, which adds up each distinct value on its own. With
+    ``common_norm`` a curve is scaled by the share of its class. Null values and classes are left out.
     """
-    values = df.where(F.col(column).isNotNull() & F.col(by).isNotNull())
-    values = values.groupBy(by, F.col(column).cast("double").alias("_v")).agg(F.count("*").alias("_w"))
-    per_class = (
-        df.where(F.col(column).isNotNull() & F.col(by).isNotNull())
-        .groupBy(by)
-        .agg(
+    kept = df.where(F.col(column).isNotNull() & F.col(by).isNotNull()).select(by, F.col(column).cast("double").alias("_v"))
+    stats = materialize(
+        kept.groupBy(by).agg(
             F.count("*").alias("_n"),
-            (F.pow(F.count("*"), F.lit(-0.2)) * F.stddev(column)).alias("_h"),
-            F.min(column).cast("double").alias("_low"),
-            F.max(column).cast("double").alias("_high"),
+            (F.pow(F.count("*"), F.lit(-0.2)) * F.stddev("_v")).alias("_h"),
+            F.min("_v").alias("_low"),
+            F.max("_v").alias("_high"),
         )
-        .where("_h > 0")  # a curve needs two different values
     )
-    total = df.agg(F.count_if(F.col(column).isNotNull() & F.col(by).isNotNull())).scalar()
-    share = F.col("_n") / total if common_norm else F.lit(1.0)
-    per_class = per_class.select(
+    share = F.col("_n") / stats.agg(F.sum("_n")).scalar() if common_norm else F.lit(1.0)
+    per_class = stats.where("_h > 0").select(  # a curve needs two different values
         by,
         "_h",
+        "_low",
+        ((F.col("_high") - F.col("_low")) / bins).alias("_width"),
         (F.col("_low") - cut * F.col("_h")).alias("_start"),
         ((F.col("_high") - F.col("_low") + 2 * cut * F.col("_h")) / (grid - 1)).alias("_step"),
         (share / (F.col("_n") * F.col("_h") * F.sqrt(2 * F.pi()))).alias("_scale"),
+        F.col("_n").alias("_size"),
     )
-    points = attach(values, per_class, [by]).where("_h is not null")
+    per_class, classes = materialize_sized(per_class)
+
+    def with_class(rows: DataFrame) -> DataFrame:
+        return attach(rows, per_class, [by], size_col="_size", stored_rows=classes).where("_h is not null")
+
+    if exact:
+        points = kept.groupBy(by, F.col("_v").alias("_at")).agg(F.count("*").alias("_m0"))
+        points = with_class(points).withColumns({f"_m{p}": F.lit(0.0) for p in range(1, TERMS)})
+    else:
+        placed = with_class(kept)
+        number = F.least(F.floor((F.col("_v") - F.col("_low")) / F.col("_width")), F.lit(bins - 1).cast("long"))
+        distance = (F.col("_v") - F.col("_low") - (F.col("_bin") + 0.5) * F.col("_width")) / F.col("_h")
+        placed = placed.select(by, "_v", "_low", "_width", "_h", number.alias("_bin")).select(by, "_bin", distance.alias("_d"))
+        powers = [F.lit(1.0)]
+        for _ in range(1, TERMS):
+            powers.append(powers[-1] * F.col("_d"))
+        points = placed.groupBy(by, "_bin").agg(*[F.sum(x).alias(f"_m{p}") for p, x in enumerate(powers)])
+        points = with_class(points).withColumn("_at", F.col("_low") + (F.col("_bin") + 0.5) * F.col("_width"))
     points = points.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
     at = F.col("_start") + F.col("_k") * F.col("_step")
-    z = (at - F.col("_v")) / F.col("_h")
+    points = points.withColumn("_z", (at - F.col("_at")) / F.col("_h"))
     return (
         points.groupBy(by, F.col("_k").alias("grid_point"))
         .agg(
             F.max(at).alias("x"),
-            F.sum(F.col("_w") * F.exp(F.lit(-0.5) * z * z)).alias("mass"),
+            F.sum(F.exp(F.lit(-0.5) * F.col("_z") * F.col("_z")) * _hermite_sum(F.col("_z"))).alias("mass"),
             F.max("_scale").alias("_scale"),
         )
         .select(by, "grid_point", "x", (F.col("mass") * F.col("_scale")).alias("density"))
     )
+
+
+def _hermite_sum(z: Column) -> Column:
+    """Σ He_p(z)·m_p / p!, as He_(p+1) = z·He_p - p·He_(p-1)."""
+    before, now, total, factorial = F.lit(0.0), F.lit(1.0), F.col("_m0"), 1
+    for p in range(1, TERMS):
+        before, now = now, z * now - (p - 1) * before
+        factorial *= p
+        total = total + now * F.col(f"_m{p}") / float(factorial)
+    return total

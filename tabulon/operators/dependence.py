@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tabulon.functions.joins import attach
 from tabulon.functions.ranks import average_ranks
-from tabulon.session import materialize
+from tabulon.session import materialize, materialize_sized
 
 
 MOST_COLUMNS = 10_000
@@ -21,16 +21,23 @@ MOST_COLUMNS = 10_000
 def crosstab(df: DataFrame, rows: str, columns: str, values: Sequence | None = None) -> DataFrame:
     """Counts of ``rows`` against ``columns``; absent pairs are 0, rows with a null on either side are left out.
 
-    The values of ``columns`` are found if they are not given (at most 10,000); one beside those given is an error.
+    The values of ``columns`` are found if they are not given (at most 10,000); one beside those given is an error of the
+    query, which counts such rows in the same pass.
     """
     df = df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull())
     if values is None:
         values = sorted(r[0] for r in df.select(columns).distinct().limit(MOST_COLUMNS + 1).collect())
         if len(values) > MOST_COLUMNS:
             raise ValueError(f"{columns!r} has more than {MOST_COLUMNS} values")
-    elif not df.where(~F.col(columns).isin(*values)).isEmpty():
-        raise ValueError(f"{columns!r} has values beside {list(values)}")
-    return df.groupBy(rows).agg(*[F.count_if(F.col(columns) == v).alias(f"{columns}_{v}") for v in values])
+    if not values:
+        return df.select(rows).distinct()
+    names = [f"{columns}_{v}" for v in values]
+    counts = df.groupBy(rows).agg(
+        *[F.count_if(F.col(columns) == v).alias(name) for v, name in zip(values, names)], F.count_if(~F.col(columns).isin(*values)).alias("_other")
+    )
+    beside = F.raise_error(F.lit(f"{columns!r} has values beside {list(values)}")).cast("long")
+    first, *others = [F.col(name) for name in names]
+    return counts.select(rows, F.when(F.col("_other") > 0, beside).otherwise(first).alias(names[0]), *others)
 
 
 def chi_square(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -103,14 +110,14 @@ def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rank correlation with average ties over the rows where both columns are present.
 
-    Equal rows are counted first. Distinct values are ranked by distributed running totals and
-    the ranks joined back, once per column; no rows are sorted as a whole. A column is ranked
-    again only for partners whose gaps shorten its row set.
+    Equal rows are counted first and numbered. The values of all columns are ranked together in long form, (row, column, value), by
+    distributed running totals over the distinct ones, meet their ranks there, and come back to their rows in one shuffle;
+    no rows are sorted as a whole. A column is ranked again only for partners whose gaps shorten its row set.
     """
     columns = list(columns)
     pairs = list(combinations(columns, 2))
     rows = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    rows = materialize(rows.groupBy(*columns).agg(F.count("*").alias("_w")))
+    rows = materialize(rows.groupBy(*columns).agg(F.count("*").alias("_w")).withColumn("_row", F.monotonically_increasing_id()))
     weight = F.col("_w")
 
     def size(*present: str) -> Column:
@@ -147,15 +154,11 @@ def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     ranks = average_ranks(counted, ["column", "ranking"], "v", "n").groupBy("column", "v")
     turns = sorted(set(rankings.values()))
     rank_of = [F.max(F.when(F.col("ranking") == name, F.col("avg_rank"))).alias(name) for name in turns]
-    table = materialize(ranks.agg(*rank_of, F.max("n").alias("_n")))
-    lengths = {r["column"]: r["n"] for r in table.groupBy("column").agg(F.count("*").alias("n")).collect()}
-
-    ranked = rows
-    for column in columns:
-        names = [name for (c, _), name in rankings.items() if c == column]
-        lookup = table.where(F.col("column") == column)
-        lookup = lookup.select(F.col("v").alias(column), *[F.col(r).alias(f"{column}{r}") for r in names], "_n")
-        ranked = attach(ranked, lookup, [column], size_col="_n", stored_rows=lengths.get(column, 0))
+    table, values = materialize_sized(ranks.agg(*rank_of, F.max("n").alias("_n")))
+    placed = rows.select("_row", "_w", F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("v")) for c in columns])))
+    met = attach(placed.where("v is not null"), table, ["column", "v"], size_col="_n", stored_rows=values)
+    own = [F.max(F.when(F.col("column") == c, F.col(name))).alias(f"{c}{name}") for (c, _), name in rankings.items()]
+    ranked = met.groupBy("_row").agg(F.first("_w").alias("_w"), *own)
 
     def centred(column: str, partner: str) -> Column:
         mean = (n[column, partner] + 1) / 2.0  # of average ranks, whatever the ties
@@ -163,8 +166,8 @@ def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     parts = []
     for k, (a, b) in enumerate(pairs):
-        both = F.col(a).isNotNull() & F.col(b).isNotNull()
         x, y = centred(a, b), centred(b, a)
+        both = x.isNotNull() & y.isNotNull()
         xy, xx, yy = (F.sum(F.when(both, weight * p)) for p in (x * y, x * x, y * y))
         value = F.when((xx > 0) & (yy > 0), xy / (F.sqrt(xx) * F.sqrt(yy)))
         parts.append(F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), value.alias("correlation")).alias(f"c{k}"))

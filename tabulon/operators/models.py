@@ -120,12 +120,15 @@ def hidden_layers(num_layer: int, num_perceptron: int) -> list[int]:
 def _dense_network(df: DataFrame, labels: int, total: float, p: dict) -> list:
     """The network takes no weights, so rows are repeated in proportion to theirs, by expectation.
 
-    Spark's default solver has no step size; asking for a learning rate chooses gradient descent.
+    Each row rounds by a draw of its own, equal ones too, and the rows are dealt out before they are repeated. Spark's
+    default solver has no step size; asking for a learning rate chooses gradient descent.
     """
     share = F.col("_weight") / p["least_weight"]
-    chance = F.pmod(F.xxhash64("_features", F.lit(p["seed"])), F.lit(1 << 30)) / float(1 << 30)
+    df = df.withColumn("_place", F.monotonically_increasing_id())
+    chance = F.pmod(F.xxhash64("_place", F.lit(p["seed"])), F.lit(1 << 30)) / float(1 << 30)
     times = (F.floor(share) + (chance < share - F.floor(share)).cast("int")).cast("int")
-    df = materialize(df.select("_features", "_label", F.explode(F.sequence(F.lit(1), times))).select("_features", "_label"))
+    dealt = df.select("_features", "_label", "_place", times.alias("_times")).repartition("_place")
+    df = materialize(dealt.select("_features", "_label", F.explode(F.sequence(F.lit(1), "_times"))).select("_features", "_label"))
     df = df.withColumn("_label", F.col("_label").alias("_label", metadata=p["nominal"]))
     solver = {"solver": "gd", "stepSize": p["learning_rate"]} if "learning_rate" in p else {}
     model = MultilayerPerceptronClassifier(

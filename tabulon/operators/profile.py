@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.joins import attach
-from tabulon.functions.hashing import hash_cutoffs, order_hash
-from tabulon.functions.quantiles import exact_quantiles
+from tabulon.functions.hashing import hash_cutoff, order_hash
+from tabulon.functions.quantiles import exact_quantiles, narrow
 from tabulon.functions.ranks import global_position
 from tabulon.operators.cleaning import require_columns
 from tabulon.sources.tables import literal_rows
@@ -51,26 +51,32 @@ def label_consistency(df: DataFrame, key: str, label: str) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, quartiles and max per column; nulls left out."""
+    """count, mean, std, min, quartiles and max per column; nulls left out.
+
+    The columns are stored once; one pass gives what needs no order and the first brackets of the quartiles.
+    """
     columns = list(columns)
     require_columns(df, columns)
+    df = narrow(df, columns)
     stats = df.agg(
         *[
             F.struct(
                 F.count(c).alias("n"),
                 F.avg(c).alias("mean"),
                 F.stddev(c).alias("std"),
-                F.min(c).cast("double").alias("low"),
-                F.max(c).cast("double").alias("high"),
+                F.min(c).alias("low"),
+                F.max(c).alias("high"),
             ).alias(c)
             for c in columns
         ]
     ).first()
-    quartiles = exact_quantiles(df, columns, QUARTILES)
+    sizes = [stats[c][x] for c in columns for x in ("n", "low", "high")]
+    quartiles = exact_quantiles(df, columns, QUARTILES, sizes)
     rows = []
     for c in columns:
         s = stats[c]
-        rows.append((c, s["n"], s["mean"], s["std"], s["low"], *quartiles[c], s["high"]))
+        low, high = (None if s[x] is None else float(s[x]) for x in ("low", "high"))
+        rows.append((c, s["n"], s["mean"], s["std"], low, *quartiles[c], high))
     names = {"column_name": "string", "n": "long"}
     names |= {k: "double" for k in ("mean", "std", "min", "q25", "q50", "q75", "max")}
     return literal_rows(df.sparkSession, names, rows)
@@ -147,5 +153,5 @@ def sample_rows(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     if n < 0:
         raise ValueError("a sample cannot have a negative size")
     hashed = df.withColumn("_hash", order_hash(seed, key))
-    cutoff = hash_cutoffs(hashed.select("_hash"), "_hash", {None: n})[None]
+    cutoff = hash_cutoff(hashed.select("_hash"), "_hash", n)
     return df.where(order_hash(seed, key) <= F.lit(cutoff))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.functions.hashing import hash_cutoffs, hash_number, not_above, order_hash
+from tabulon.functions.hashing import hash_cutoffs, hash_number, order_hash
 from tabulon.functions.joins import attach
 from tabulon.functions.neighbours import nearest_neighbours
 from tabulon.operators.cleaning import require_columns
@@ -16,30 +16,51 @@ from tabulon.session import materialize
 
 NEIGHBOURS = 5
 COPIES_PER_TASK_ROW = 1_000
+MOST_CLASSES = 10_000
+
+
+def _counted(df: DataFrame, target: str) -> DataFrame:
+    """(class, n), stored. A row without class belongs to none: it is refused here for weights, resampling and models alike."""
+    require_columns(df, [target])
+    counts = materialize(df.groupBy(target).agg(F.count("*").alias("n")))
+    lost = counts.where(F.col(target).isNull()).select("n").first()
+    if lost:
+        raise ValueError(f"{lost[0]} rows have no value of {target!r}")
+    return counts
 
 
 def class_counts(df: DataFrame, target: str) -> dict:
-    """Rows per class. Classes are the labels of a model, which the driver holds anyway."""
-    return {r[0]: r[1] for r in df.groupBy(target).agg(F.count("*")).collect()}
+    """Rows per class, of at most 10,000 classes: the labels of a model, which the driver holds anyway."""
+    found = _counted(df, target).limit(MOST_CLASSES + 1).collect()
+    if len(found) > MOST_CLASSES:
+        raise ValueError(f"{target!r} has more than {MOST_CLASSES} classes")
+    return {r[0]: r[1] for r in found}
 
 
 def class_weights(df: DataFrame, target: str) -> DataFrame:
-    """(class, n, weight) with weight n_rows / (n_classes · n)."""
-    counts = df.groupBy(target).agg(F.count("*").alias("n"))
+    """(class, n, weight) with weight n_rows / (n_classes · n). Rows without class are refused."""
+    counts = _counted(df, target)
     total, classes = counts.agg(F.sum("n")).scalar(), counts.agg(F.count("*")).scalar()
     return counts.withColumn("weight", total / (classes * F.col("n")))
 
 
 def undersample(df: DataFrame, target: str, key: str, seed: int) -> DataFrame:
-    """Every class down to the smallest one, without replacement: the rows of lowest hash."""
+    """Every class down to the smallest one, without replacement: the rows of lowest hash.
+
+    Rows without class are refused. Classes and their cutoffs are tables, so their number is not bounded.
+    """
     require_columns(df, [target, key])
-    counts = class_counts(df, target)
-    smallest = min(counts.values())
-    take = {c: smallest for c, n in counts.items() if n > smallest}
-    if not take:
+    counts = _counted(df, target)
+    smallest = counts.agg(F.min("n")).first()[0]
+    larger = counts.where(F.col("n") > smallest)
+    if smallest is None or larger.isEmpty():
         return df
-    hashed = df.select(target, order_hash(seed, key).alias("h"))
-    return df.where(not_above(order_hash(seed, key), hash_cutoffs(hashed, "h", take, target), target))
+    hashed = attach(df.select(target, order_hash(seed, key).alias("_h")), larger.withColumn("_n", F.col("n")), [target], size_col="_n")
+    cutoffs = hash_cutoffs(hashed.where("n is not null"), "_h", target, F.lit(smallest))
+    sized = cutoffs.join(larger, target).withColumnRenamed("cutoff", "_cutoff")
+    marked = attach(df, sized, [target], size_col="n")
+    kept = F.col("_cutoff").isNull() | (order_hash(seed, key) <= F.col("_cutoff"))
+    return marked.where(kept).select(*df.columns)
 
 
 def smote(df: DataFrame, target: str, key: str, features: Sequence[str], seed: int, k: int = NEIGHBOURS) -> DataFrame:
@@ -47,7 +68,8 @@ def smote(df: DataFrame, target: str, key: str, features: Sequence[str], seed: i
 
     Returns target, features and ``synthetic``. Each row of a class serves as a base equally
     often (the remainder goes to the rows of lowest hash); neighbour and place on the line
-    follow from the seed, the key and the copy number.
+    follow from the seed, the key and the copy number. Rows without class are refused. All classes are
+    treated in the same jobs, whatever their number.
     """
     features = list(features)
     require_columns(df, [target, key, *features])
@@ -55,27 +77,27 @@ def smote(df: DataFrame, target: str, key: str, features: Sequence[str], seed: i
     incomplete = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in features])
     if not df.where(incomplete).isEmpty():
         raise ValueError("rows with missing features cannot be interpolated; impute first")
-    counts = class_counts(df, target)
-    largest = max(counts.values())
-    missing = {c: largest - n for c, n in counts.items() if n < largest}
+    counts = _counted(df, target)
     originals = df.select(target, *[F.col(c).cast("double").alias(c) for c in features], F.lit(False).alias("synthetic"))
-    if not missing:
+    largest = counts.agg(F.max("n")).first()[0]
+    short_classes = counts.where(F.col("n") < largest) if largest else counts
+    if short_classes.isEmpty():
         return originals
-    small = [c for c in missing if counts[c] <= k]
+    small = [r[0] for r in short_classes.where(F.col("n") <= k).limit(20).collect()]
     if small:
-        raise ValueError(f"classes {small} have too few rows for {k} neighbours")
+        raise ValueError(f"classes with too few rows for {k} neighbours, among them {small}")
 
-    short = df.where(F.col(target).isin(*missing)).select(
-        F.col(key).alias("_key"), target, *[F.col(c).cast("double").alias(c) for c in features]
+    lacking = F.lit(largest) - F.col("n")
+    need = short_classes.select(
+        target, F.call_function("div", lacking, F.col("n")).alias("_whole"), (lacking % F.col("n")).alias("_extra"), F.col("n").alias("_n")
     )
-    hashed = short.withColumn("_hash", order_hash(seed, "_key"))
-    extra = {c: n % counts[c] for c, n in missing.items()}
-    cutoffs = hash_cutoffs(hashed.select(target, "_hash"), "_hash", extra, target)
-    whole = F.lit(0)
-    for c, n in missing.items():
-        whole = F.when(F.col(target) == F.lit(c), F.lit(n // counts[c])).otherwise(whole)
-    copies = whole + not_above(F.col("_hash"), cutoffs, target).cast("int")
-    bases = hashed.withColumn("_copies", copies.cast("long")).where("_copies > 0").drop("_hash")
+    values = df.select(F.col(key).alias("_key"), target, *[F.col(c).cast("double").alias(c) for c in features])
+    short = materialize(attach(values, need, [target], size_col="_n").where("_whole is not null").withColumn("_hash", order_hash(seed, "_key")))
+    cutoffs = hash_cutoffs(short, "_hash", target, F.col("_extra")).join(need.select(target, "_n"), target)
+    marked = attach(short, cutoffs, [target], size_col="_n")
+    copies = F.col("_whole") + (F.col("_hash") <= F.col("cutoff")).cast("int")
+    bases = marked.withColumn("_copies", copies.cast("long")).where("_copies > 0").drop("_hash", "_whole", "_extra", "cutoff")
+    short = short.select("_key", target, *features)
 
     near = nearest_neighbours(short, bases, target, features, k)
     based = attach(bases, near, [target, *features], size_col="copies")

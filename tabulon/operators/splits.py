@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabulon.functions.hashing import hash_cutoffs, order_hash
+from tabulon.functions.hashing import hash_cutoff, order_hash
 from tabulon.functions.joins import attach
 from tabulon.functions.quantiles import order_statistics
 from tabulon.functions.ranks import global_position
@@ -134,7 +134,7 @@ def fit_group_cut(df: DataFrame, group: str, train_share: float, seed: int) -> G
     n_train = math.floor(train_share * n)
     if n_train < 1 or n_train == n:
         raise ValueError(f"{n} groups cannot be split into two sides at {train_share}")
-    return GroupCut(group, seed, hash_cutoffs(groups, "h", {None: n_train})[None], n_train, n - n_train)
+    return GroupCut(group, seed, hash_cutoff(groups, "h", n_train), n_train, n - n_train)
 
 
 def group_shuffle_split(df: DataFrame, group: str, train_share: float, seed: int) -> DataFrame:
@@ -178,7 +178,7 @@ def row_split(df: DataFrame, key: str, test_share: float, seed: int) -> DataFram
         raise ValueError("the test share must lie between 0 and 1")
     hashed = df.select(order_hash(seed, key).alias("h"))
     n = hashed.count()
-    cutoff = hash_cutoffs(hashed, "h", {None: n - int(test_share * n)})[None]
+    cutoff = hash_cutoff(hashed, "h", n - int(test_share * n))
     in_train = order_hash(seed, key) <= F.lit(cutoff)
     return df.withColumn("side", F.when(in_train, F.lit(TRAIN)).otherwise(F.lit(TEST)))
 

@@ -97,10 +97,10 @@ class LabelCodes:
     labels: tuple
 
     def encode(self, df: DataFrame, column: str, name: str = "label_code") -> DataFrame:
-        """Fails on a label that was not seen in fitting."""
+        """Fails on a label that was not seen in fitting, and on a missing one."""
         code = F.array_position(F.array(*[F.lit(v) for v in self.labels]), F.col(column)) - 1
-        bad = F.raise_error(F.concat(F.lit("label not seen in training: "), F.col(column).cast("string")))
-        return df.withColumn(name, F.when(code < 0, bad.cast("long")).otherwise(code).cast("int"))
+        bad = F.raise_error(F.concat(F.lit("label not seen in training: "), F.coalesce(F.col(column).cast("string"), F.lit("null"))))
+        return df.withColumn(name, F.when(code >= 0, code).otherwise(bad.cast("long")).cast("int"))
 
     def decode(self, df: DataFrame, code: str, name: str = "prediction") -> DataFrame:
         return df.withColumn(name, self.decoded(F.col(code)))

@@ -3,22 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tabulon.config import BAND_PAIRS, SEED, SENTINELS, Cleaning, Features, SearchSettings
+from tabulon.config import BAND_PAIRS, SEED, SENTINELS, Cleaning, Features, GroupSplit, SearchSettings
 from tabulon.functions.hashing import hash_number
 from tabulon.functions.ranks import average_ranks
-from tabulon.operators import cleaning, density, dependence, evaluation, profile, resampling, splits, transforms
+from tabulon.operators import cleaning, density, dependence, drift, evaluation, profile, resampling, splits, transforms
 from tabulon.plans.observations import COLUMNS, MISSING, load, observations
 from tabulon.plans.scoring import Predictor, expected_inputs, score_table
-from tabulon.plans.search import run_search, trial_table
+from tabulon.plans.search import run_experiment, run_search, trial_table
 from tabulon.plans.training import TrainedModel, train, train_and_evaluate
 from tabulon.plans.validation import cross_validate, mean_over_folds, permutation_importance
 from tabulon.session import materialize, scratch_path
-from tabulon.sources import contracts, fingerprints, tables
+from tabulon.sources import artifacts, contracts, fingerprints, tables
 from tabulon.streaming import scoring as streams
 
 BANDS = ("u", "g", "r", "i", "z")
@@ -27,6 +28,21 @@ CLASSES = ("F", "O", "P")
 KEYED = Cleaning(SENTINELS, BAND_PAIRS, ("run_id", "mjd", "u", "g", "i", "z"))
 SCORED = Cleaning(SENTINELS, BAND_PAIRS, ("obj_id", "run_id", "mjd", "u", "g", "i", "z"))
 
+
+@dataclass(frozen=True)
+class ThresholdRule:
+    """A fixed rule in the place of a fitted classifier, so that what is done with predictions can be told from them."""
+
+    features: tuple[str, ...] = ("r", "redshift")
+    labels: tuple[str, ...] = CLASSES
+    has_probabilities: bool = False
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        return df.withColumn("prediction", F.when(F.col("r") > 150_000, "F").when(F.col("redshift") < 3_000, "O").otherwise("P"))
+
+
+RULE = TrainedModel(transforms.MedianImputer({}), transforms.Scaler("standard", {}, {}), ThresholdRule())
+
 # forest settings that train in seconds on the test tables; callers choose their own
 QUICK_FOREST = {"n_estimators": 20, "max_depth": 6, "min_samples_leaf": 10, "criterion": "entropy"}
 
@@ -189,8 +205,7 @@ def label_consistency(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def describe(spark: SparkSession, sf: str) -> DataFrame:
-    rows = materialize(magnitudes(spark, sf, "mjd"))
-    return rounded(profile.describe(rows, [*BANDS, "redshift", "mjd"]))
+    return rounded(profile.describe(magnitudes(spark, sf, "mjd"), [*BANDS, "redshift", "mjd"]))
 
 
 def sentinel_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -248,6 +263,22 @@ def class_weights(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(resampling.class_weights(load(spark, sf, "labels"), "quality"))
 
 
+def ks_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """The model's six inputs, production rows against training rows."""
+    cut = splits.fit_time_cut(observations(spark, sf, "obj_id", "mjd"), "mjd", "obj_id", 0.2)
+    rows = cleaning.add_differences(magnitudes(spark, sf, "obj_id", "mjd"), BAND_PAIRS)
+    return rounded(drift.ks_drift(rows, cut.is_prod(), FEATURES.columns))
+
+
+def share_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Class shares of each production batch against the stored ones of the training rows."""
+    train_rows, prod = _production(spark, sf, "obj_id", "mjd", "class")
+    path = scratch_path(spark, "shares")
+    tables.write_table(drift.reference_shares(train_rows, "class"), path)
+    batches = splits.batch_slices(prod, "mjd", "obj_id", 2_000).withColumn("batch", F.col("batch").cast("long"))
+    return rounded(drift.share_drift(batches, "batch", "class", spark.read.parquet(path)))
+
+
 def table_info(spark: SparkSession, sf: str) -> DataFrame:
     return profile.table_info(magnitudes(spark, sf, "obj_id", "class"))
 
@@ -506,6 +537,33 @@ def column_importance(spark: SparkSession, sf: str) -> DataFrame:
     return permutation_importance(model, test_rows, "class", "obj_id")
 
 
+def rule_importance(spark: SparkSession, sf: str) -> DataFrame:
+    """Permutation importance of a fixed rule."""
+    return rounded(permutation_importance(RULE, observations(spark, sf, "obj_id", "class", "r", "redshift"), "class", "obj_id"))
+
+
+def rule_folds(spark: SparkSession, sf: str) -> DataFrame:
+    """Cross-validation of a fixed rule."""
+    rows = observations(spark, sf, "obj_id", "field_id", "class", "r", "redshift")
+    inputs = Features(scaled=RULE.classifier.features)
+    return cross_validate(rows, inputs, "class", "field_id", "obj_id", "rule", parallel=3, fit=lambda *_: RULE)
+
+
+def rule_folds_mean(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(mean_over_folds(rule_folds(spark, sf)))
+
+
+def run_log(spark: SparkSession, sf: str) -> DataFrame:
+    """What a dataset build logs of its rows, read back from the run table."""
+    path = scratch_path(spark, "runs")
+    rows = observations(spark, sf, "obj_id", "field_id", "class")
+    found = fingerprints.table_fingerprint(rows, rows.columns).first().asDict()
+    classes = {f"class_{r[0]}": r[1] for r in profile.value_counts(rows, "class").select("class", "n").collect()}
+    artifacts.log_run(spark, path, "build", data={k: int(v) for k, v in found.items()}, metrics=classes)
+    artifacts.log_run(spark, path, "again", params={"seed": SEED, "scaler": "robust"})
+    return artifacts.read_log(spark, path).drop("ts")
+
+
 def cross_validation(spark: SparkSession, sf: str) -> DataFrame:
     return cross_validate(
         cleaned(spark, sf), FEATURES, "class", "field_id", "obj_id", "random_forest", QUICK_FOREST, parallel=3
@@ -530,6 +588,16 @@ def search(spark: SparkSession, sf: str) -> DataFrame:
     return trial_table(rows, run_search(rows, FEATURES, "class", "field_id", "obj_id", settings))
 
 
+def experiment(spark: SparkSession, sf: str) -> DataFrame:
+    """Search in the shipped space of one model, final fit, reports and log: the metrics of the best trial's model on
+    the test side, and the runs that were logged."""
+    out = scratch_path(spark, "experiment")
+    settings = SearchSettings(models=("logreg",), scalers=("robust",), resamplings=("class_weight",))
+    run_experiment(cleaned(spark, sf), FEATURES, GroupSplit("field_id", "class"), "obj_id", settings, out)
+    logged = artifacts.read_log(spark, f"{out}/runs").where("kind != 'state'")
+    return logged.select(F.when(F.col("run_id").startswith("trial"), F.col("run_id")).otherwise("final").alias("run"), "kind", "key", "value")
+
+
 # --- scoring
 
 
@@ -558,6 +626,20 @@ def stream_predict(spark: SparkSession, sf: str) -> DataFrame:
     return streams.read_predictions(spark, out)
 
 
+def stream_accuracy(spark: SparkSession, sf: str) -> DataFrame:
+    """Accuracy per batch of what a stream has scored, beside the running one that it wrote itself."""
+    _, prod = _production(spark, sf)
+    predictor = Predictor(RULE, expected_inputs(COLUMNS, "class", "field_id"), SCORED, "class", "field_id")
+    source, out = scratch_path(spark, "incoming"), scratch_path(spark, "stream-out")
+    tables.write_batches(splits.batch_slices(prod, "mjd", "obj_id", 2_000), source)
+    stream = streams.read_batches(spark, source, spark.read.parquet(source).schema, files_per_trigger=8)
+    streams.stream_predict(stream, predictor, out, scratch_path(spark, "stream-bad"), F.col("u") != MISSING)
+    rows = streams.read_predictions(spark, out).withColumn("batch", F.col("batch").cast("long"))
+    final = streams.read_accuracy(spark, out).agg(F.max_by(F.struct("n_so_far", "running_accuracy"), "batch_id")).scalar()
+    per_batch = evaluation.batch_accuracy(rows, "batch", "class", "prediction").withColumn("final", final)
+    return rounded(per_batch.select("batch", "n", "accuracy", "final.n_so_far", "final.running_accuracy"))
+
+
 def batch_report(spark: SparkSession, sf: str) -> DataFrame:
     predictor, prod = _predictor(spark, sf)
     return rounded(score_table(predictor, prod, scratch_path(spark, "scored"))[1])
@@ -578,6 +660,13 @@ def replay_draws(spark: SparkSession, sf: str) -> DataFrame:
     return streams.replay(prod, "obj_id", prod.count(), SEED)  # as many draws as rows
 
 
+def replay_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The same draws, counted out by a rate source."""
+    _, prod = _production(spark, sf, "obj_id", "mjd", "class")
+    draws = prod.count()
+    return streams.replay_stream(prod, "obj_id", draws, SEED, scratch_path(spark, "replayed"), rows_per_second=max(1_000, draws // 2))
+
+
 def _records(spark: SparkSession, sf: str) -> DataFrame:
     """Observations as text records, in which a missing band is written as n/a."""
     text: Callable[[str], Column] = lambda c: F.when(F.col(c) == MISSING, "n/a").otherwise(F.col(c).cast("string"))
@@ -603,14 +692,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         unseen_labels, decode_labels, group_side_join, horizontal_concat,
         nunique, value_counts, value_counts_summary, duplicate_ids, label_consistency, describe, sentinel_counts,
         moments, histogram, kde, kde_common_norm, crosstab, chi_square, chi_square_2x2, pearson, spearman,
-        split_metadata, class_weights, table_info,
+        split_metadata, class_weights, ks_drift, share_drift, table_info,
         duplicated_rows, average_rank, top_groups, latest_row, sample_n, group_leak_check,
         group_shuffle_split, strat_group_kfold, temporal_holdout, time_order, daily_batches, append_frames, row_split,
         median_impute, standard_scale, robust_scale, minmax_scale, label_encode, pca_variance,
         undersample, smote_counts, smote_points,
         log_loss, prf_metrics, auc_ovo, auc_binary, class_report, confusion, argmax_label,
         rf_fit_score, gbt_fit_score, logreg_fit_score, linear_svc_fit_score, mlp_fit_score, forest_importance,
-        search, batch_predict, batch_report, batch_predict_intact, stream_predict, stream_predict_intact, pca_moments, replay_draws, quarantine, batch_accuracy,
+        search, experiment, batch_predict, batch_report, batch_predict_intact, stream_predict, stream_predict_intact, stream_accuracy, pca_moments, replay_draws, replay_stream, quarantine, batch_accuracy, rule_importance, rule_folds, rule_folds_mean, run_log,
     )
 }
 QUERIES["permutation_importance"] = column_importance

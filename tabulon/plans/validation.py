@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
@@ -37,12 +38,13 @@ def validate_folds(
     params: dict | None = None,
     seed: int = SEED,
     parallel: int = 2,
+    fit: Callable[..., TrainedModel] = train,
 ) -> list[dict[str, float]]:
-    """Metrics of each fold, trained on the others; the fits run as concurrent Spark jobs."""
+    """Metrics of each fold, trained on the others by ``fit``; the fits run as concurrent Spark jobs."""
     labels = fit_labels(folded, target)
 
     def one(fold: int) -> dict[str, float]:
-        fitted = train(folded.where(F.col("fold") != fold), features, target, key, model, params, seed, labels)
+        fitted = fit(folded.where(F.col("fold") != fold), features, target, key, model, params, seed, labels)
         return score(fitted, folded.where(F.col("fold") == fold), target)
 
     with ThreadPoolExecutor(parallel) as pool:
@@ -60,10 +62,11 @@ def cross_validate(
     folds: int = 3,
     seed: int = SEED,
     parallel: int = 2,
+    fit: Callable[..., TrainedModel] = train,
 ) -> DataFrame:
     """(fold, metrics...): no group is trained on and scored in the same fold."""
     folded = fold_table(df, features, target, group, key, folds, seed)
-    found = validate_folds(folded, features, target, key, folds, model, params, seed, parallel)
+    found = validate_folds(folded, features, target, key, folds, model, params, seed, parallel, fit)
     return fold_metrics(df, found)
 
 

@@ -2,26 +2,92 @@
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 import re
+from collections.abc import Iterator
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def file_fingerprint(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
+WHOLE_BYTES = 1 << 30  # of a file that one row may hold; Spark ends at 2 GB
+_BOM = b"\xef\xbb\xbf"
+_DECOMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")
+
+
+def file_fingerprint(spark: SparkSession, path: str, pattern: str | None = None, whole_bytes: int = WHOLE_BYTES) -> DataFrame:
     """(file, size, md5) per file below ``path``, by its path from there; equals ``md5sum``.
 
-    Files are spread over the tasks and read through Spark's file systems; a task holds one file,
-    and Spark refuses files above 2 GB.
+    Files are spread over the tasks and read through Spark's file systems. One of at most ``whole_bytes`` is a row in a task. A
+    larger one is read in pieces between line feeds by many tasks and put in order again by a shuffle, and one task adds
+    up its pieces as they come, so that no more than a piece is held. A piece must be below 2 GB, and Spark would unpack a
+    large file with a compressed file's name, which is refused. Spark does not list empty files.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         files = files.option("pathGlobFilter", pattern)
+    files = files.load(path)
     root = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path).rstrip("/") + "/"
     below = F.when(F.contains("path", F.lit(root)), F.substring_index("path", root, -1))
-    name = F.coalesce(below, F.element_at(F.split("path", "/"), -1))
-    return files.load(path).select(name.alias("file"), F.col("length").alias("size"), F.md5("content").alias("md5"))
+    name = F.coalesce(below, F.element_at(F.split("path", "/"), -1)).alias("file")
+    small = files.where(F.col("length") <= whole_bytes)  # pushed down: the content of others is not read
+    found = small.select(name, F.col("length").alias("size"), F.md5("content").alias("md5"))
+    large = {r.path: r.length for r in files.where(F.col("length") > whole_bytes).select("path", "length").collect()}  # names only
+    if not large:
+        return found
+    return found.unionByName(_large_files(spark, large).select(name, "size", "md5"))
+
+
+def _large_files(spark: SparkSession, sizes: dict[str, int]) -> DataFrame:
+    packed = [p for p in sizes if p.endswith(_DECOMPRESSED)]
+    if packed:
+        raise ValueError(f"large files with names of compressed ones cannot be read in pieces: {packed[:5]}")
+    lines = spark.read.option("lineSep", "\n").text(list(sizes))
+    pieces = lines.select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").cast("binary").alias("piece"),
+    )
+    ordered = pieces.repartition("path").sortWithinPartitions("path", "block", "at").select("path", "piece")
+    shared = spark.sparkContext.broadcast({_below_root(p): n for p, n in sizes.items()})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def result(path: str, plain, marked, total: int) -> pa.RecordBatch:
+            size = shared.value[_below_root(unquote(path))]  # metadata escape their paths
+            ends, begins = (size - total) % 3 == 1, size - total >= 3  # a last line feed and a byte order mark are not in the pieces
+            if size - total not in (0, 1, 3, 4):
+                raise ValueError(f"{path} has {size} bytes, of which {total} were read")
+            digest = marked if begins else plain
+            if ends:
+                digest.update(b"\n")
+            return pa.RecordBatch.from_pylist([{"path": path, "size": size, "md5": digest.hexdigest()}])
+
+        now = None
+        for batch in batches:
+            paths, values = batch.column("path").to_pylist(), batch.column("piece").to_pylist()
+            for path, group in itertools.groupby(zip(paths, values), key=lambda x: x[0]):
+                joined = b"\n".join(v for _, v in group)
+                if now is None or now[0] != path:
+                    if now is not None:
+                        yield result(*now)
+                    now = (path, hashlib.md5(), hashlib.md5(_BOM), 0)
+                else:
+                    joined = b"\n" + joined
+                for digest in now[1:3]:
+                    digest.update(joined)
+                now = (*now[:3], now[3] + len(joined))
+        if now is not None:
+            yield result(*now)
+
+    return ordered.mapInArrow(run, "path string, size long, md5 string")
+
+
+def _below_root(path: str) -> str:
+    """A path without its scheme, by which both sources can be compared."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", path)
 
 
 def _exact_text(column: str, kind: T.DataType) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable, Sequence
 from dataclasses import replace
@@ -12,9 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabulon.functions.hashing import hash_number
-from tabulon.functions.ranks import global_position
+from tabulon.functions.ranks import global_position, running_totals
 from tabulon.plans.scoring import Predictor
-from tabulon.session import scratch_path
+from tabulon.session import materialize, scratch_path
 from tabulon.sources.tables import literal_rows
 
 
@@ -42,7 +43,8 @@ def stream_predict(
 
     Output goes to ``batch_id=N`` directories that are overwritten when Spark repeats a
     micro-batch after a failure, so that no row is written twice. Rows that fail ``valid`` go
-    to ``quarantine`` and the stream goes on. With ``max_records`` exactly that many rows are scored, if
+    to ``quarantine`` and the stream goes on. Where the rows have the predictor's target, the hits of each micro-batch are
+    written beside its rows, in the same way (see ``read_accuracy``). With ``max_records`` exactly that many rows are scored, if
     there are so many: the last micro-batch is cut and the next one is not begun. Returns the number of scored rows.
     """
     spark = stream.sparkSession
@@ -63,6 +65,10 @@ def stream_predict(
         latency = (time.perf_counter() - started) / max(rows, 1)
         timing = literal_rows(spark, {"n_rows": "long", "latency_seconds": "double"}, [(rows, latency)])
         timing.coalesce(1).write.mode("overwrite").parquet(f"{out}/timing/batch_id={batch_id}")
+        if predictor.target in good.columns:
+            written = spark.read.parquet(target)
+            hits = written.agg(F.count("*").alias("n"), F.count_if(F.col(predictor.target) == F.col("prediction")).alias("hits"))
+            hits.write.mode("overwrite").parquet(f"{out}/accuracy/batch_id={batch_id}")
         if bad is not None:
             bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")
 
@@ -92,6 +98,21 @@ def read_predictions(spark: SparkSession, out: str) -> DataFrame:
     return rows.join(timing, "batch_id", "left")  # one row per micro-batch, sized by Catalyst
 
 
+def read_accuracy(spark: SparkSession, out: str) -> DataFrame:
+    """(batch_id, n, accuracy, n_so_far, running_accuracy) of each micro-batch that has been scored; a row without a true
+    label is no hit. Empty micro-batches have no accuracy of their own."""
+    batches = spark.read.parquet(f"{out}/accuracy").select(F.col("batch_id").cast("long").alias("batch_id"), "n", "hits")
+    totals = running_totals(batches, [], "batch_id", ["n", "hits"])
+    n, hits = F.col("n") + F.col("n_before"), F.col("hits") + F.col("hits_before")
+    return totals.select(
+        "batch_id",
+        "n",
+        F.try_divide(F.col("hits").cast("double"), F.col("n")).alias("accuracy"),
+        n.alias("n_so_far"),
+        F.try_divide(hits.cast("double"), n).alias("running_accuracy"),
+    )
+
+
 def flag_valid(rows: DataFrame, valid: Column) -> DataFrame:
     """Adds ``status``: ok, or quarantined (a null verdict counts as bad). One pass over the rows."""
     return rows.withColumn("status", F.when(valid, F.lit("ok")).otherwise(F.lit("quarantined")))
@@ -116,12 +137,55 @@ def replay(rows: DataFrame, key: str, draws: int, seed: int) -> DataFrame:
 
     Rows are numbered by key; each draw looks up one number, so the load spreads evenly.
     """
-    spark = rows.sparkSession
-    placed = global_position(rows, [key], "_at")
-    n = rows.count()
+    return _drawn(rows.sparkSession.range(draws).withColumnRenamed("id", "draw"), _numbered(rows, key), seed)
+
+
+def _numbered(rows: DataFrame, key: str) -> tuple[DataFrame, int]:
+    placed = materialize(global_position(rows, [key], "_at"))
+    n = placed.count()
     if n == 0:
         raise ValueError("there is nothing to replay")
-    drawn = spark.range(draws).select(
-        F.col("id").alias("draw"), F.pmod(hash_number(seed, "id"), F.lit(n)).alias("_at")
-    )
-    return drawn.join(placed, "_at").drop("_at")
+    return placed, n
+
+
+def _drawn(draws: DataFrame, numbered: tuple[DataFrame, int], seed: int) -> DataFrame:
+    placed, n = numbered
+    return draws.withColumn("_at", F.pmod(hash_number(seed, "draw"), F.lit(n))).join(placed, "_at").drop("_at")
+
+
+def replay_stream(
+    rows: DataFrame, key: str, draws: int, seed: int, out: str, checkpoint: str | None = None, rows_per_second: int = 1_000,
+    most_batches: int | None = None,
+) -> DataFrame:
+    """The draws of ``replay``, one after the other at a pace, as a stream into ``out``; (draw, columns...) so far.
+
+    A rate source counts the draws and paces them; each micro-batch of them is joined with the stored, numbered table. It writes
+    a directory of its own, which is overwritten when Spark repeats it, and the source goes on behind the last committed draw
+    when the stream is started again with its ``checkpoint``, so no draw is lost or repeated. The stream ends by itself after the last draw,
+    or after ``most_batches`` micro-batches.
+    """
+    spark = rows.sparkSession
+    numbered = _numbered(rows, key)
+    ended = threading.Event()
+    handled = 0
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        nonlocal handled
+        target = f"{out}/batch_id={batch_id}"
+        # the source counts on behind the last draw; such a batch is empty
+        drawn = _drawn(batch.where(F.col("value") < draws).select(F.col("value").alias("draw")), numbered, seed)
+        drawn.write.mode("overwrite").parquet(target)
+        handled += 1
+        last = batch.agg(F.max("value")).first()[0]
+        if (last is not None and last >= draws - 1) or handled == most_batches:
+            ended.set()
+
+    source = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
+    query = source.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint or scratch_path(spark, "replay")).start()
+    while query.isActive and not ended.wait(0.1):
+        pass
+    query.stop()  # a batch that is not committed yet is repeated into its directory on the next start
+    if query.exception():
+        raise query.exception()
+    schema = T.StructType([T.StructField("draw", T.LongType()), *rows.schema.fields])
+    return spark.read.schema(schema).option("basePath", out).parquet(f"{out}/batch_id=*").select("draw", *rows.columns)

@@ -80,25 +80,28 @@ def test_running_totals_and_average_ranks(spark):
     assert rows(ranks.average_ranks(table, [], "x", "n"), "x", "avg_rank") == [(1.0, 1.5), (3.0, 3.0), (5.0, 5.0)]
 
 
-def test_hash_cutoffs_take_exactly_n(spark, monkeypatch):
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_hash_cutoffs_take_exactly_n(spark, monkeypatch, few):
     df = spark.range(5000).select("id", (F.col("id") % 3).alias("g"), hashing.order_hash(1, "id").alias("h"))
+    monkeypatch.setattr(hashing, "FEW_GROUPS", few)
     for final in (2, 4096):
         monkeypatch.setattr(hashing, "FINAL_HASHES", final)
         for n in (0, 1, 1234, 5000, 6000):
-            cut = hashing.hash_cutoffs(df, "h", {None: n})[None]
-            kept = df.where(F.col("h") <= cut)
+            kept = df.where(F.col("h") <= hashing.hash_cutoff(df, "h", n))
             assert kept.count() == min(n, 5000)
             if n == 1234:
                 assert [r.id for r in kept.orderBy("h").collect()] == [r.id for r in df.orderBy("h").limit(n).collect()]
-        cuts = hashing.hash_cutoffs(df, "h", {0: 5, 1: 700}, "g")
-        kept = df.where(hashing.not_above(F.col("h"), cuts, "g"))
-        assert rows(kept.groupBy("g").count()) == [(0, 5), (1, 700), (2, 1666)]
+        take = F.when(F.col("g") == 0, 5).when(F.col("g") == 1, 700).otherwise(0)
+        cuts = hashing.hash_cutoffs(df, "h", "g", take)
+        kept = df.join(cuts, "g").where("h <= cutoff")
+        assert rows(kept.groupBy("g").count()) == [(0, 5), (1, 700)]
+        assert dict(rows(cuts))[2] == ""
 
 
 def test_hash_cutoffs_refuse_a_repeated_key(spark):
     same = spark.range(100).select(hashing.order_hash(1, F.lit("k")).alias("h"))
-    with pytest.raises(ValueError, match="unique"):
-        hashing.hash_cutoffs(same, "h", {None: 10})
+    with pytest.raises(Exception, match="unique"):
+        hashing.hash_cutoff(same, "h", 10)
 
 
 @pytest.mark.parametrize("limit", [0, 100_000])
@@ -133,12 +136,47 @@ def test_nearest_neighbours_equal_brute_force(spark, monkeypatch, cell_points, q
         assert [tuple(v) for v in r.neighbours] == ordered
 
 
-def test_cells_divide_where_most_points_have_the_largest_value():
+def test_cells_divide_where_most_points_have_the_largest_value(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "CELL_POINTS", 50)
     draw = np.random.default_rng(0)
-    points = np.column_stack([draw.random(40_000), (draw.random(40_000) < 0.6) * 9.0])
-    tree = neighbours.CellTree(points, 1000)
-    sizes = np.bincount(tree.home(points), minlength=tree.cells)
-    assert tree.cells > 900 and sizes.max() < 400
+    points = np.column_stack([draw.random(4_000), (draw.random(4_000) < 0.6) * 9.0])
+    df = spark.createDataFrame(points.tolist(), "x double, y double").withColumn("c", F.lit(1))
+    placed, levels = neighbours._own_cells(df, "c", ["x", "y"])
+    sizes = [r[0] for r in placed.groupBy("cell").count().select("count").collect()]
+    assert sum(sizes) == 4_000 and max(sizes) <= 50 and len(sizes) < 400 and len(levels) <= 3
+    same = spark.createDataFrame([(0.0, float(k == 0)) for k in range(200)], "x double, y double").withColumn("c", F.lit(1))
+    assert neighbours._cuts(same.withColumn("cell", F.lit("")), "c", ["x", "y"]).first()["at"] == [0.0]
+
+
+def test_neighbours_in_a_thousand_classes(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "CELL_POINTS", 4)
+    monkeypatch.setattr(neighbours, "CHILDREN", 3)
+    draw = np.random.default_rng(1)
+    points = np.round(draw.random((9_000, 2)) * 30, 1)
+    df = spark.createDataFrame([(k % 1000, *map(float, p)) for k, p in enumerate(points)], "c int, x double, y double")
+    got = {(r.c, r.x, r.y): r.neighbours for r in neighbours.nearest_neighbours(df, df, "c", ["x", "y"], 2).collect()}
+    assert len(got) == len({(k % 1000, *p) for k, p in enumerate(points.tolist())})
+    for c in range(0, 1000, 37):
+        own = [tuple(map(float, p)) for p in points[c::1000]]
+        for q in own:
+            rest = list(own)
+            rest.remove(q)
+            near = sorted(rest, key=lambda p: (np.hypot(p[0] - q[0], p[1] - q[1]), p))[:2]
+            assert [tuple(v) for v in got[c, *q]] == near
+
+
+def test_neighbours_in_very_many_cells(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "CELL_POINTS", 10)
+    df = spark.range(100_000).select((F.rand(1) * 100).alias("x"), (F.randn(2) * 5).alias("y"), F.lit("a").alias("c"))
+    points = df.toPandas()
+    df = spark.createDataFrame(points)
+    asked = points.iloc[::2500]
+    got = neighbours.nearest_neighbours(df, spark.createDataFrame(asked), "c", ["x", "y"], 2).collect()
+    assert len(got) == len(asked)
+    at = points[["x", "y"]].to_numpy()
+    for r in got:
+        far = np.hypot(at[:, 0] - r.x, at[:, 1] - r.y)
+        assert [tuple(v) for v in r.neighbours] == [tuple(at[k]) for k in np.argsort(far)[1:3]]
 
 
 def test_null_keys_are_spread(spark):

@@ -9,6 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tabulon.config import Cleaning
+from tabulon.functions import hashing
 from tabulon.operators import cleaning, density, dependence, evaluation, models, profile, resampling, splits, transforms
 
 
@@ -105,6 +106,24 @@ def test_density_integrates_to_the_share(spark):
             assert area == pytest.approx(want[c], abs=0.01)
 
 
+def test_binned_density_equals_the_exact_one(spark):
+    rows = spark.range(3000).select(
+        (F.col("id") % 3).alias("c"),
+        F.when(F.col("id") % 5 == 0, 1.25).when(F.col("id") % 41 == 1, None).otherwise(F.randn(3) * F.exp(F.col("id") % 3)).alias("x"),
+    )
+    rows = rows.unionByName(spark.createDataFrame([(7, 2.0), (7, 2.0), (8, 1.0), (None, 1.0)], "c long, x double"))
+    for common in (False, True):
+        exact = {(r.c, r.grid_point): r for r in density.kde(rows, "x", "c", common, exact=True).collect()}
+        binned = density.kde(rows, "x", "c", common).collect()
+        assert len(binned) == len(exact) == 600  # one value alone has no curve
+        top = max(r.density for r in exact.values())
+        assert max(abs(r.density - exact[r.c, r.grid_point].density) for r in binned) < 1e-11 * top
+        few = density.kde(rows, "x", "c", common, bins=60).collect()
+        assert max(abs(r.density - exact[r.c, r.grid_point].density) for r in few) < 1e-3 * top
+    plan = density.kde(rows, "x", "c")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("_bin")  # bins meet the grid, not values
+
+
 def test_yates_correction_only_for_two_by_two(spark):
     df = spark.createDataFrame([("a", "x")] * 12 + [("a", "y")] * 5 + [("b", "x")] * 7 + [("b", "y")] * 9, "p string, q string")
     got = dependence.chi_square_test(df, "p", "q")
@@ -386,8 +405,9 @@ def test_unknown_labels_are_refused(spark):
 def test_crosstab_finds_values_and_leaves_nulls_out(spark):
     df = spark.createDataFrame([(1, "x"), (1, "y"), (2, None), (None, "x"), (2, "y")], "a long, b string")
     assert rows(dependence.crosstab(df, "a", "b")) == [(1, 1, 1), (2, 0, 1)]
-    with pytest.raises(ValueError, match="beside"):
-        dependence.crosstab(df, "a", "b", ["x"])
+    with pytest.raises(Exception, match="beside"):
+        dependence.crosstab(df, "a", "b", ["x"]).collect()
+    assert dependence.crosstab(df.limit(0), "a", "b").collect() == []
 
 
 def test_flag_of_null_is_zero(spark):
@@ -410,3 +430,36 @@ def test_parameters_are_honoured_or_refused():
             models.clean_params(name, params)
     with pytest.raises(ValueError, match="deep"):
         models._depth({"max_depth": 31}, 5)
+
+
+def test_rows_without_class_are_refused_everywhere(spark):
+    df = spark.createDataFrame([(k, "a" if k % 2 else "b", float(k)) for k in range(40)] + [(100, None, 1.0)], "k long, c string, x double")
+    for job in (
+        lambda: resampling.class_weights(df, "c"),
+        lambda: resampling.class_counts(df, "c"),
+        lambda: resampling.undersample(df, "c", "k", 1),
+        lambda: resampling.smote(df, "c", "k", ["x"], 1),
+        lambda: models.fit_classifier(df, "random_forest", ["x"], "c", transforms.LabelCodes(("a", "b")), None, 1),
+    ):
+        with pytest.raises(ValueError, match="1 rows have no value of 'c'"):
+            job()
+    with pytest.raises(Exception, match="label not seen in training: null"):
+        transforms.LabelCodes(("a", "b")).encode(df, "c").collect()
+
+
+def test_undersampling_ten_thousand_classes_has_a_plan_of_constant_size(spark, monkeypatch):
+    monkeypatch.setattr(resampling, "MOST_CLASSES", 10)
+    with pytest.raises(ValueError, match="more than 10 classes"):
+        resampling.class_counts(spark.range(11), "id")
+    df = spark.range(42_000).select("id", F.pmod(F.col("id"), F.lit(10_000)).alias("c"), F.lit("x").alias("n"), F.lit("y").alias("cutoff"))
+    df = df.unionByName(spark.range(42_000, 92_000).select("id", F.lit(3).cast("long").alias("c"), F.lit("x").alias("n"), F.lit("y").alias("cutoff")))
+    kept = resampling.undersample(df, "c", "id", 5)
+    assert kept.columns == df.columns
+    sizes = rows(kept.groupBy("c").count())
+    assert sizes == [(c, 4) for c in range(10_000)]
+    few = resampling.undersample(df.where("c < 4"), "c", "id", 5)
+    length = lambda x: len(x._jdf.queryExecution().optimizedPlan().toString().split("\n"))
+    assert abs(length(kept) - length(few)) <= 2  # a broadcast hint more or less
+    taken = {r.id for r in few.where("c = 3").collect()}
+    order = df.where("c = 3").select("id", hashing.order_hash(5, "id").alias("h")).orderBy("h").limit(5).collect()
+    assert taken == {r.id for r in order}

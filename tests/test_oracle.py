@@ -13,7 +13,7 @@ from tabulon.plans.catalog import QUERIES
 from tools.check_oracle import rows_of
 
 SLOW = {
-    "gbt_fit_score", "linear_svc_fit_score", "mlp_fit_score", "logreg_fit_score", "rf_fit_score", "search",
+    "gbt_fit_score", "linear_svc_fit_score", "mlp_fit_score", "logreg_fit_score", "rf_fit_score", "search", "experiment",
     "cross_validate", "cross_validate_mean", "permutation_importance", "forest_importance", "stream_predict", "batch_predict", "batch_report",
 }
 

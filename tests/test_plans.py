@@ -228,6 +228,15 @@ def test_stream_equals_batch_and_isolates_bad_rows(spark, raw, predictor, tmp_pa
     assert sorted(r.batch_id for r in got.select("batch_id").distinct().collect()) == [0, 1, 2, 3]
     assert got.where("latency_seconds > 0").count() == 891
     assert rows(spark.read.parquet(bad), "obj_ID") == [(k,) for k in range(7, 900, 100)]
+    truth = {r.obj_ID: r["class"] for r in raw.collect()}
+    hits = [(r.batch_id, truth[r.obj_ID] == r.prediction) for r in got.collect()]
+    n = 0
+    for k, r in enumerate(streams.read_accuracy(spark, out).orderBy("batch_id").collect()):
+        own = [h for b, h in hits if b == k]
+        n += len(own)
+        so_far = [h for b, h in hits if b <= k]
+        assert (r.batch_id, r.n, r.n_so_far) == (k, len(own), n)
+        assert (r.accuracy, r.running_accuracy) == pytest.approx((sum(own) / len(own), sum(so_far) / n))
     # nothing new has arrived: a restart from the same state scores nothing twice
     assert streams.stream_predict(stream(), predictor, out, bad, F.col("r").isNotNull(), state) == 0
     assert streams.read_predictions(spark, out).count() == 891
@@ -256,6 +265,18 @@ def test_parsing_and_replay(spark):
         streams.replay(spark.range(0), "id", 5, 1)
 
 
+def test_replay_as_a_stream_goes_on_where_it_ended(spark, tmp_path):
+    table = spark.range(50).select("id", (F.col("id") * 2).alias("value"))
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    want = rows(streams.replay(table, "id", 700, 9).select("draw", "id", "value"))
+    part = streams.replay_stream(table, "id", 700, 9, out, state, rows_per_second=300, most_batches=3)
+    assert part.columns == ["draw", "id", "value"] and part.count() < 700
+    whole = streams.replay_stream(table, "id", 700, 9, out, state, rows_per_second=300)
+    assert rows(whole) == want  # each draw once, those of the first run too
+    with pytest.raises(ValueError):
+        streams.replay_stream(table.limit(0), "id", 5, 1, str(tmp_path / "none"))
+
+
 def test_labels_survive_a_class_missing_from_a_fold(sides):
     labels = transforms.LabelCodes(("GALAXY", "QSO", "STAR"))
     part = sides[0].where("class <> 'STAR'")

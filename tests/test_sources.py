@@ -127,3 +127,27 @@ def test_versions(spark, tmp_path):
     assert artifacts.next_version_path(spark, root).endswith("v=11")
     with pytest.raises(FileNotFoundError):
         artifacts.version_path(spark, root, 3)
+
+
+def test_large_files_are_read_in_pieces(spark, tmp_path):
+    import hashlib
+    import random
+
+    draw = random.Random(4)
+    bodies = {
+        "plain": b"a\nb", "ends": b"a\nb\n", "feeds": b"\n" * 700, "mark": b"\xef\xbb\xbfa\n" * 200, "both": b"\xef\xbb\xbfx" * 300 + b"\n",
+        "returns": b"a\r\nb\r" * 100, "one line": b"z" * 5000, "bytes": draw.randbytes(300_000), "empty": b"", "sub/deep %20.bin": draw.randbytes(4000) + b"\n\n",
+    }
+    for name, body in bodies.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(body)
+    want = sorted((n, len(b), hashlib.md5(b).hexdigest()) for n, b in bodies.items() if b)  # Spark does not list empty files
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        for limit in (0, 500, 1 << 30):
+            assert rows(fingerprints.file_fingerprint(spark, str(tmp_path), whole_bytes=limit)) == want
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    (tmp_path / "big.gz").write_bytes(b"x" * 100)
+    with pytest.raises(ValueError, match="compressed"):
+        fingerprints.file_fingerprint(spark, str(tmp_path), whole_bytes=50)
