@@ -18,6 +18,7 @@ from tabulon.llm.packing import pack_documents
 from tabulon.llm.queries import tokenizer_path
 from tabulon.llm.shingle_join import similar_groups
 from tabulon.llm.tables import documents, if_small, store
+from tabulon.session import scratch_tables
 
 LEAST_SCORE = 0.3  # of the calibrated probability; below it no language is told from the others
 
@@ -57,11 +58,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each group of linked documents the one of least doc_id; texts without words all stay."""
-    numbered = store(docs.select(_rest(docs), "doc_id", "text", F.monotonically_increasing_id().alias("id")))
-    groups = store(similar_groups(numbered, row_id="id").select("id", "doc_id", "group"))
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", "id")
-    first = groups.where(F.col("group").isNotNull()).groupBy("group").agg(F.min(order).alias("first"))
-    kept = store(first.select("first.id").unionByName(groups.where(F.col("group").isNull()).select("id")))
+    with scratch_tables(spark) as scratch:
+        numbered = store(docs.select(_rest(docs), "doc_id", "text", F.monotonically_increasing_id().alias("id")))
+        groups = store(similar_groups(numbered, row_id="id").select("id", "doc_id", "group"))
+        order = F.struct(F.col("doc_id").isNull(), "doc_id", "id")
+        first = groups.where(F.col("group").isNotNull()).groupBy("group").agg(F.min(order).alias("first"))
+        kept = store(first.select("first.id").unionByName(groups.where(F.col("group").isNull()).select("id")))
+        scratch.keep(numbered, kept)
     return _restored(docs, numbered.join(if_small(kept, 16), "id", "left_semi"))
 
 
@@ -90,6 +93,13 @@ ORACLE_SQL = None  # a fitted model, alignment and branch and bound are beyond S
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
-    for _, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir))
+    with scratch_tables(spark) as scratch:
+        for k, (_, stage) in enumerate(STAGES[:-1]):
+            before = docs
+            with scratch_tables(spark) as own:  # a stage's tables go when its output is written
+                docs = store(stage(spark, before, sf_dir))
+                own.keep(docs)
+            if k:
+                scratch.drop(before)
+        scratch.keep(docs)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabulon.llm.tables import unused
 from tabulon.llm.words import LOOSE, Runs, Words, find_words, slices, text_bytes
 
 SEED = 3  # words
@@ -176,7 +177,8 @@ def find_leaks(
 
     Words are what spaces and ASCII punctuation part, in lower case. A document leaks an item
     if an alignment scores ``threshold`` or more of a full match (2 for a match, -1 for another or a missing
-    word): a third of the words may be changed. Items of fewer than ``least_words`` words tell
+    word): a third of the words may be changed, as long as three words in a row are left of them somewhere, which is a seed: an item
+    with every third word replaced has none and is not found. Texts of any length are read whole. Items of fewer than ``least_words`` words tell
     nothing and are never found, nor are null ones; equal items are all found. A null or empty text leaks
     nothing. Equal rows have equal results. Without items every list is empty. A column named ``leaks`` is replaced.
     """
@@ -186,7 +188,8 @@ def find_leaks(
     n_words = texts.agg(F.sum(F.octet_length("text") / 2)).first()[0] or 0
     n_blocks = max(1, math.ceil(n_words / block_words))
     leak = f"array<struct<item_id:{item_kind},score:double,start:int,end:int>>"
-    frame = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("_leak_text"), F.lit(None).cast(leak).alias("leaks"))
+    body = unused("_leak_text", keep)
+    frame = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias(body), F.lit(None).cast(leak).alias("leaks"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema)
     for k in range(n_blocks):
         rows = texts.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == k).collect()  # of bounded size
@@ -196,8 +199,8 @@ def find_leaks(
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             block = shared.value
-            for batch in slices(batches, "_leak_text"):
-                words = _words(batch.column("_leak_text"))
+            for batch in slices(batches, body):
+                words = _words(batch.column(body))
                 found = batch.column("leaks").to_pylist()
                 places, _ = _found(block, words.hashes, seed)
                 for row in np.unique(np.searchsorted(words.first, places, side="right") - 1).tolist():
@@ -208,4 +211,4 @@ def find_leaks(
                 yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
         frame = frame.mapInArrow(run, fields)
-    return frame.drop("_leak_text")
+    return frame.drop(body)

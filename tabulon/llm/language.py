@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.llm.tables import store
+from tabulon.llm.tables import store, unused
+from tabulon.session import scratch_tables
 from tabulon.llm.words import text_bytes
 
 UNKNOWN = "und"
@@ -104,13 +105,14 @@ class LanguageModel:
         session = docs.sparkSession
         shared = session.sparkContext.broadcast((self.labels, self.idf, self.weights, self.temperature))
         settings, names = self.settings, [c for c in docs.columns if c not in ("lang_pred", "score")]
-        frame = docs.select(*[F.col(f"`{c}`") for c in names], F.col(text).alias("_read_text"))
+        whole = unused("_read_text", names)
+        frame = docs.select(*[F.col(f"`{c}`") for c in names], F.col(text).alias(whole))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             labels, idf, weights, temperature = shared.value
             for batch in batches:
                 found, scores = [], []
-                for body in _texts(pa.RecordBatch.from_arrays([batch.column("_read_text")], names=["text"])):
+                for body in _texts(pa.RecordBatch.from_arrays([batch.column(whole)], names=["text"])):
                     grams = ngram_counts(body, settings) if labels else None
                     if grams is None:
                         found.append(UNKNOWN)
@@ -127,7 +129,7 @@ class LanguageModel:
                     names=[*names, "lang_pred", "score"],
                 )
 
-        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema if f.name != "_read_text")
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema if f.name != whole)
         return frame.mapInArrow(run, f"{fields}, lang_pred string, score double")
 
 
@@ -136,7 +138,7 @@ def _gather(learnable: DataFrame, settings: Settings) -> DataFrame:
     schema = "feature int, df long, n long, role string, lang string, id long, index binary, counts binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, n = np.zeros(settings.features, dtype=np.int64), 0
+        seen, n, taken = np.zeros(settings.features, dtype=np.int64), 0, set()  # taken: at most the sample
         names = ["feature", "df", "n", "role", "lang", "id", "index", "counts"]
         kinds = [pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.binary()]
 
@@ -153,7 +155,8 @@ def _gather(learnable: DataFrame, settings: Settings) -> DataFrame:
                     continue
                 n += 1
                 seen[grams[0]] += 1
-                if roles[row]:
+                if roles[row] and ids[row] not in taken:
+                    taken.add(ids[row])
                     kept.append((roles[row], langs[row], ids[row], grams[0].astype(np.int32).tobytes(), grams[1].astype(np.int32).tobytes()))
             if kept:
                 yield rows([None, None, None, *map(list, zip(*kept, strict=True))], len(kept))
@@ -231,40 +234,43 @@ def fit_language_model(
 ) -> LanguageModel:
     """Fit on the documents where ``learn_from`` holds and text and language are known.
 
-    Document frequencies count all of those. The fit takes about ``train_rows`` of them and the
+    Document frequencies count all of those. The fit takes about ``train_rows`` different texts of them and the
     calibration ``calibration_rows`` others, chosen by a hash of the text so that each language has an equal part
-    of the sample, all its documents if it has fewer. Neither depends on how the rows are stored.
+    of the sample, all its texts if it has fewer; of copies one is taken. Neither depends on how the rows are stored. Texts of any length are
+    read whole. ("About" as a language's different texts are counted by a sketch, to some two per cent, and chosen by chance.)
     """
-    body, label = F.col(text), F.col(lang)
-    known = docs.where(learn_from & body.isNotNull() & label.isNotNull()).select(body.alias("text"), label.alias("lang"))
-    sizes = known.groupBy("lang").agg(F.count("*").alias("size"))
-    sizes = store(sizes)
-    n_labels = sizes.count()
-    if not n_labels:
-        return LanguageModel(settings, [], np.zeros(settings.features), np.zeros((settings.features, 0)), 1.0)
-    each = (settings.train_rows + settings.calibration_rows) / n_labels
-    place = F.pmod(F.xxhash64(F.lit(11), "text"), F.lit(1 << 30)) / float(1 << 30)  # where the text falls in [0, 1)
-    limit = F.least(F.lit(1.0), F.lit(each) / F.col("size"))
-    share = settings.train_rows / (settings.train_rows + settings.calibration_rows)
-    role = F.when(place < limit * share, "train").when(place < limit, "calibrate")
-    rows = known.join(F.broadcast(sizes), "lang").withColumn("role", role).withColumn("id", F.xxhash64("text", "lang"))
-    gathered = store(_gather(rows, settings))
-    frequencies = dict(gathered.where("df is not null").groupBy("feature").agg(F.sum("df")).collect())  # one row per feature
-    n_docs = frequencies.pop(-1, 0)
-    df = np.zeros(settings.features)
-    df[list(frequencies)] = list(frequencies.values())
-    idf = np.log((1.0 + n_docs) / (1.0 + df)) + 1.0
-    sample = gathered.where("role is not null").select("role", "lang", "id", "index", "counts")
-    labels = sorted(r.lang for r in sizes.select("lang").collect())
-    weights = _fit(sample, labels, idf, settings)
-    held = sample.where("role = 'calibrate'").select("lang", "index", "counts").toPandas()  # bounded by calibration_rows
-    logits = [
-        _weigh(at := np.frombuffer(i, np.int32), np.frombuffer(c, np.int32), idf) @ weights[at]
-        for i, c in zip(held["index"], held["counts"], strict=True)
-    ]
-    truth = np.array([labels.index(x) for x in held["lang"]], dtype=int)
-    temperature = _temperature(np.array(logits), truth)
-    return LanguageModel(settings, labels, idf, weights, temperature)
+    with scratch_tables(docs.sparkSession):
+        body, label = F.col(text), F.col(lang)
+        known = docs.where(learn_from & body.isNotNull() & label.isNotNull()).select(body.alias("text"), label.alias("lang"))
+        sizes = known.groupBy("lang").agg(F.approx_count_distinct(F.xxhash64(F.lit(11), "text"), 0.02).alias("size"))
+        sizes = store(sizes)
+        n_labels = sizes.count()
+        if not n_labels:
+            return LanguageModel(settings, [], np.zeros(settings.features), np.zeros((settings.features, 0)), 1.0)
+        each = (settings.train_rows + settings.calibration_rows) / n_labels
+        place = F.pmod(F.xxhash64(F.lit(11), "text"), F.lit(1 << 30)) / float(1 << 30)  # where the text falls in [0, 1)
+        limit = F.least(F.lit(1.0), F.lit(each) / F.col("size"))
+        share = settings.train_rows / (settings.train_rows + settings.calibration_rows)
+        role = F.when(place < limit * share, "train").when(place < limit, "calibrate")
+        rows = known.join(F.broadcast(sizes), "lang").withColumn("role", role).withColumn("id", F.xxhash64("text", "lang"))
+        gathered = store(_gather(rows, settings))
+        frequencies = dict(gathered.where("df is not null").groupBy("feature").agg(F.sum("df")).collect())  # one row per feature
+        n_docs = frequencies.pop(-1, 0)
+        df = np.zeros(settings.features)
+        df[list(frequencies)] = list(frequencies.values())
+        idf = np.log((1.0 + n_docs) / (1.0 + df)) + 1.0
+        sample = gathered.where("role is not null").select("role", "lang", "id", "index", "counts")
+        sample = store(sample.dropDuplicates(["id"]))  # one of the copies that several tasks met
+        labels = sorted(r.lang for r in sizes.select("lang").collect())
+        weights = _fit(sample, labels, idf, settings)
+        held = sample.where("role = 'calibrate'").select("lang", "index", "counts").toPandas()  # bounded by calibration_rows
+        logits = [
+            _weigh(at := np.frombuffer(i, np.int32), np.frombuffer(c, np.int32), idf) @ weights[at]
+            for i, c in zip(held["index"], held["counts"], strict=True)
+        ]
+        truth = np.array([labels.index(x) for x in held["lang"]], dtype=int)
+        temperature = _temperature(np.array(logits), truth)
+        return LanguageModel(settings, labels, idf, weights, temperature)
 
 
 def held_out(key: str = "doc_id") -> Column:

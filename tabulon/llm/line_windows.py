@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.llm.tables import store
+from tabulon.session import scratch_tables
 
 WINDOW = 3
 
@@ -57,25 +58,27 @@ def drop_repeated_windows(docs: DataFrame, text: str = "text", order: str = "doc
     replaced. Only 128-bit hashes are compared and shuffled, with copies counted before the shuffle.
     """
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    stored = store(
-        docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), F.monotonically_increasing_id().alias("id"))
-    )
     body = F.col("doc")[text]
-    found = store(
-        stored.select("id", F.col("doc")[order].alias("order"), F.explode(_windows(body, width)).alias("w")).select(
-            "id", "order", "w.*"
+    with scratch_tables(docs.sparkSession) as scratch:
+        stored = store(
+            docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), F.monotonically_increasing_id().alias("id"))
         )
-    )
-    place = F.struct("order", "id", "at")
-    firsts = found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
-    firsts = store(firsts)  # adaptive execution splits a hot window only between plain exchanges
-    later = (
-        found.join(firsts, ["h1", "h2"])
-        .where((F.col("id") != F.col("first.id")) | (F.col("at") != F.col("first.at")))
-        .groupBy("id")
-        .agg(F.flatten(F.collect_list("lines")).alias("gone"))  # of one document
-        .select("id", F.array_distinct("gone").alias("gone"))
-    )
+        found = store(
+            stored.select("id", F.col("doc")[order].alias("order"), F.explode(_windows(body, width)).alias("w")).select(
+                "id", "order", "w.*"
+            )
+        )
+        place = F.struct("order", "id", "at")
+        firsts = found.groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").drop("n")
+        firsts = store(firsts)  # adaptive execution splits a hot window only between plain exchanges
+        later = store(
+            found.join(firsts, ["h1", "h2"])
+            .where((F.col("id") != F.col("first.id")) | (F.col("at") != F.col("first.at")))
+            .groupBy("id")
+            .agg(F.flatten(F.collect_list("lines")).alias("gone"))  # of one document
+            .select("id", F.array_distinct("gone").alias("gone"))
+        )
+        scratch.keep(stored, later)
 
     def joined(lines: Column) -> Column:
         left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))

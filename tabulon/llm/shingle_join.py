@@ -10,18 +10,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.llm.components import components
 from tabulon.llm.tables import if_small, store, text_key
 from tabulon.llm.words import LOWER, Runs, find_words, list_column, mix, signed, slices, text_bytes
+from tabulon.session import Scratch, scratch_tables
 
 SHINGLE = 5
 PERCENT = 80
 COUNTED_AT_ONCE = 4_000_000  # shingles
 FREQUENT_BYTES = 8_000_000
 LARGEST_BOUNDARY = 64
+MOST_KEYS = 3  # written for a token of a small set, whatever the list that they spare
 FEW = 8  # classes under a key up to which all pairs are formed
 CROWD = 256  # classes under a key beyond which whole sets are sketched and blocks formed
 
@@ -122,11 +124,14 @@ def _profiles(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) -
     return docs.select("id", F.col("doc_id").cast("long").alias("doc_id"), "text", *text_key()).mapInArrow(run, schema)
 
 
-def light_keys(tokens: Column) -> Column:
-    """One key for each pair of tokens."""
+def light_keys(tokens: Column, n: Column) -> Column:
+    """(key, most) for each pair of tokens; see ``_keys``."""
+
+    def key(x: Column, y: Column, at: Column) -> Column:
+        return F.struct(F.xxhash64(F.least(x, y), F.greatest(x, y)).alias("key"), (n - at + 1).cast("int").alias("most"))
+
     pairs = F.transform(
-        tokens,
-        lambda x, i: F.transform(F.slice(tokens, i + 2, F.size(tokens)), lambda y: F.xxhash64(F.least(x, y), F.greatest(x, y))),
+        tokens, lambda x, i: F.transform(F.slice(tokens, i + 2, F.size(tokens)), lambda y, j: key(x, y, i + j + 1))
     )
     return F.flatten(pairs)
 
@@ -136,7 +141,8 @@ def boundary(classes: DataFrame) -> int:
 
     For each size the pairs are weighed against reading the lists of the single tokens, whose mean
     length, as a token meets it, is measured on the stored prefixes; the size where the lists become the
-    cheaper way ends the light part.
+    cheaper way ends the light part. A list is met row by row or in blocks, so that it spares a token no more
+    than ``MOST_KEYS`` keys.
     """
     lists = classes.where(F.col("n") <= LARGEST_BOUNDARY).select("n", F.explode("tokens").alias("token"))
     per_token = lists.groupBy("token").agg(F.count("*").alias("list"))
@@ -145,7 +151,7 @@ def boundary(classes: DataFrame) -> int:
     for n in range(2, LARGEST_BOUNDARY + 1):
         prefix = n - (PERCENT * n + 99) // 100 + 1
         pairs = (prefix + 1) * prefix / 2
-        if pairs <= prefix * mean:
+        if pairs <= prefix * min(mean, MOST_KEYS):
             best = n
     return best
 
@@ -154,16 +160,27 @@ _SINGLE = "if(n >= 2, slice(tokens, 1, size(tokens) - 1), tokens)"
 
 
 def _keys(classes: DataFrame, border: int) -> DataFrame:
-    """(key, c, n): light sizes under pairs, heavy ones under tokens, and those just above the border,
-    which may link to either, under both. Pairs and tokens never share a key but by chance."""
+    """(key, c, n, most): light sizes under pairs, heavy ones under tokens, and those just above the border,
+    which may link to either, under both. Pairs and tokens never share a key but by chance.
+
+    ``most`` is how many tokens a class can share with another if this token, or the second of this pair, is the first (second) in
+    the common order that both have. Two classes that link meet under the key of their first common tokens, where the smaller of
+    their two bounds is enough for a link; so under any other key it may be asked, too.
+    """
     n = F.col("n")
     light = classes.where((n * PERCENT <= border * 100) & (n >= 2))
     heavy = classes.where(n > border)
-    return heavy.select(F.explode(F.expr(_SINGLE)).alias("key"), "c", "n").unionByName(
-        light.select(F.explode(light_keys(F.col("tokens"))).alias("key"), "c", "n")
+    tokens = F.posexplode(F.expr(_SINGLE)).alias("at", "key")
+    return heavy.select(tokens, "c", "n").select("key", "c", "n", (n - F.col("at")).cast("int").alias("most")).unionByName(
+        light.select(F.explode(light_keys(F.col("tokens"), n)).alias("k"), "c", "n").select("k.key", "c", "n", "k.most")
     )
 
 
+def _enough(most: Column, a: str, b: str) -> Column:
+    """Whether sets of ``a`` and ``b`` shingles link if they share ``most``."""
+    return most * (100 + PERCENT) >= (F.col(a) + F.col(b)) * PERCENT
+
+
 def _sizes_fit(a: str, b: str) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
@@ -188,17 +205,20 @@ def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.where(100 * most >= PERCENT * (F.col("_a.n") + F.col("_b.n") - most)).select("a", "b")
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int) -> DataFrame:
+def _linked(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity, judged on the whole sets."""
     pairs = store(_possible(pairs, classes))
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct()
-    sets = _sets_of(docs, store(wanted.join(classes, "c").select("c", "t.t1", "t.t2")), width)
+    wanted = store(wanted.join(classes, "c").select("c", "t.t1", "t.t2"))
+    sets = _sets_of(docs, wanted, width)
     left = sets.select(F.col("c").alias("a"), F.col("shingles").alias("sa"))
     right = sets.select(F.col("c").alias("b"), F.col("shingles").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
     judged = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb", common.alias("common"))
     whole = F.size("sa") + F.size("sb") - F.col("common")
-    return store(judged.where(100 * F.col("common") >= PERCENT * whole).select("a", "b"))
+    links = store(judged.where(100 * F.col("common") >= PERCENT * whole).select("a", "b"))
+    scratch.drop(pairs, wanted, sets)
+    return links
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
@@ -215,12 +235,12 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return store(found.select("c", "text").dropDuplicates(["c"]).mapInArrow(run, "c long, shingles array<long>"))
 
 
-def _apart(tagged: DataFrame, docs: DataFrame, classes: DataFrame, width: int, crowd: int) -> DataFrame:
+def _apart(tagged: DataFrame, docs: DataFrame, classes: DataFrame, width: int, crowd: int, scratch: Scratch) -> DataFrame:
     """(a, b): classes that share a key, are in different groups and may link.
 
     A few classes under a key are paired as they are. More meet in one task, a crowd in blocks of bounded size, and
     only the pairs that their sketches do not rule out leave it: 16 bits of each token of the prefix or, in a crowd, of the whole set. A pair of a
-    crowd leaves it under its least common token alone.
+    crowd leaves it under its first common token alone.
     """
     keys = tagged.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count("*").alias("size"))
     keys = store(keys.where("lo != hi").select("key", "size"))
@@ -228,9 +248,10 @@ def _apart(tagged: DataFrame, docs: DataFrame, classes: DataFrame, width: int, c
     few, still = still.where(F.col("size") <= FEW), still.where(F.col("size") > FEW)
 
     def side(name: str) -> DataFrame:
-        return few.select("key", F.col("c").alias(name), F.struct("n", "g").alias(f"_{name}"))
+        return few.select("key", F.col("c").alias(name), F.struct("n", "g", "most").alias(f"_{name}"))
 
-    paired = side("a").join(side("b"), "key").where("a < b and _a.g != _b.g").where(_sizes_fit("_a.n", "_b.n"))
+    paired = side("a").join(side("b"), "key").where("a < b and _a.g != _b.g")
+    paired = paired.where(_enough(F.least("_a.most", "_b.most"), "_a.n", "_b.n"))
     crowded = store(still.where(F.col("size") > crowd).select("c").distinct().join(classes, "c").select("c", "t.t1", "t.t2"))
     whole = _sets_of(docs, crowded, width).select("c", _sketch(F.col("shingles")).alias("k"))
     prefix = F.expr(_SINGLE)
@@ -239,9 +260,9 @@ def _apart(tagged: DataFrame, docs: DataFrame, classes: DataFrame, width: int, c
         classes.select("c", *ends, _sketch(prefix).alias("k"), F.array().cast("array<long>").alias("tokens")), "c"
     )
     large = still.where(F.col("size") > crowd).join(
-        classes.select("c", *ends, F.array_sort(prefix).alias("tokens")).join(whole, "c"), "c"
+        classes.select("c", *ends, prefix.alias("tokens")).join(whole, "c"), "c"
     )
-    columns = ["key", "c", "n", "g", "size", "late", "last", "p", "k", "tokens"]
+    columns = ["key", "c", "n", "most", "g", "size", "late", "last", "p", "k", "tokens"]
     blocks = F.ceil(F.col("size") / float(2 * crowd)).cast("int")
     own = F.when(blocks > 1, F.pmod(F.xxhash64("c"), blocks)).otherwise(0).cast("int")
     rows = small.select(columns).unionByName(large.select(columns)).select(
@@ -289,8 +310,8 @@ def _survivors(table: pa.Table, crowd: int) -> Iterator[pa.RecordBatch]:
     if not table.num_rows:
         return
     borders = _borders(table)
-    c, n, g, size, late, last, p, own, other, key = (
-        table.column(x).to_numpy() for x in ("c", "n", "g", "size", "late", "last", "p", "own", "other", "key")
+    c, n, g, size, late, last, p, own, other, key, bound = (
+        table.column(x).to_numpy() for x in ("c", "n", "g", "size", "late", "last", "p", "own", "other", "key", "most")
     )
     sketch, at = _lists(table, "k")
     tokens, token_at = _lists(table, "tokens")
@@ -316,6 +337,7 @@ def _survivors(table: pa.Table, crowd: int) -> Iterator[pa.RecordBatch]:
             rank[np.lexsort((last[s:e], late[s:e]))] = np.arange(e - s)
             rest = same + size_of - p[s:e]
             most = common + np.where(rank[:, None] < rank[None, :], rest[:, None], rest[None, :])
+        most = np.minimum(most, np.minimum(bound[s:e][:, None], bound[s:e][None, :]))
         good = 100 * most >= PERCENT * (size_of[:, None] + size_of[None, :] - most)
         good &= group[:, None] != group[None, :]
         if own[s:e].min() != own[s:e].max() or (own[s:e] != other[s:e]).any():  # two blocks: one from either
@@ -323,7 +345,8 @@ def _survivors(table: pa.Table, crowd: int) -> Iterator[pa.RecordBatch]:
         for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(good, 1))), strict=True):
             if size[s] > crowd:
                 a, b = s + i, s + j
-                both = np.intersect1d(tokens[token_at[a] : token_at[a + 1]], tokens[token_at[b] : token_at[b + 1]], assume_unique=True)
+                own_tokens = tokens[token_at[a] : token_at[a + 1]]
+                both = own_tokens[np.isin(own_tokens, tokens[token_at[b] : token_at[b + 1]])]
                 if len(both) and both[0] != key[s] and key[s] in both:
                     continue
             left.append(min(c[s + i], c[s + j]))
@@ -342,49 +365,43 @@ def similar_groups(
     with nothing. Repeated rows are in one group. A null doc_id takes part in the links; if it is alone with its
     kind the component is null. ``group`` names a group by a number, null for a text without words; ``id`` is the column ``row_id``, if given.
 
-    Every linked pair of classes meets under some key. Under each key all classes are first judged against one of them,
-    which joins groups of near copies in a linear number of pairs; then the pairs under a key that are
-    still in different groups and that their sketches allow are judged. Frequent shingles are ordered last, so prefixes rarely hold them.
+    Every linked pair of classes meets under some key. Keys of one class alone are counted and left. Classes that share many keys with the
+    first class under them are judged against it, which joins groups of near copies in a linear number of pairs; then the pairs under a key that are
+    still in different groups and that their places under it and their sketches allow are judged. Frequent shingles are ordered last, so prefixes rarely hold them.
     """
     docs = docs.select((F.col(row_id) if row_id else F.lit(None)).cast("long").alias("id"), "doc_id", "text")
-    members = store(_profiles(docs, _frequent(docs, width), width, PERCENT))
-    grouped = (
-        members.where("n > 0")
-        .groupBy("n", "s1", "s2")
-        .agg(F.min("doc_id").alias("least"), F.min(F.struct("t1", "t2")).alias("t"), F.first("tokens").alias("tokens"), F.first("late").alias("late"), F.first("last").alias("last"))
-    )
-    classes = store(grouped.withColumn("c", F.monotonically_increasing_id()))
-    border = boundary(classes)
-    of_key = Window.partitionBy("key").orderBy("c")
-    met = (
-        _keys(classes, border)
-        .select(
-            "key", "c", "n",
-            F.first(F.struct("c", "n")).over(of_key).alias("p"), F.lead("c").over(of_key).alias("after"),
+    with scratch_tables(docs.sparkSession) as scratch:
+        profiles = store(_profiles(docs, _frequent(docs, width), width, PERCENT))
+        grouped = (
+            profiles.where("n > 0")
+            .groupBy("n", "s1", "s2")
+            .agg(F.min("doc_id").alias("least"), F.min(F.struct("t1", "t2")).alias("t"), F.first("tokens").alias("tokens"), F.first("late").alias("late"), F.first("last").alias("last"))
         )
-        .where("c != p.c or after is not null")
-        .select("key", "c", "n", "p")
-    )
-    met = store(met.distinct())
-    pairs = (
-        met.where((F.col("c") != F.col("p.c")) & _sizes_fit("n", "p.n"))
-        .select(F.col("p.c").alias("a"), F.col("c").alias("b"))
-        .distinct()
-    )
-    links = _linked(pairs, docs, classes, width)
-    first = components(links)
-    tagged = met.join(first, met.c == first.node, "left").select(
-        "key", "c", "n", F.coalesce("component", "c").alias("g")
-    )
-    tagged = store(tagged)
-    across = _apart(tagged, docs, classes, width, crowd)
-    more = _linked(across, docs, classes, width)
-    groups = components(links.unionByName(more))
-    names = classes.select("c", "least")
-    named = names.join(groups, names.c == groups.node, "left").withColumn("g", F.coalesce("component", "c"))
-    smallest = named.groupBy("g").agg(F.min("least").alias("component_id"))
-    by_class = store(named.select("c", "g").join(smallest, "g"))
-    out = classes.select("n", "s1", "s2", "c").join(by_class, "c").drop("c")
+        classes = store(grouped.withColumn("c", F.monotonically_increasing_id()))
+        members = store(profiles.select("id", "doc_id", "n", "s1", "s2"))
+        scratch.drop(profiles)
+        keys = _keys(classes, boundary(classes))
+        # most keys are met by one class alone: those are counted and go no further
+        counted = keys.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("c", "n")).alias("p"))
+        shared = store(counted.where("size > 1").select("key", "p"))
+        met = store(keys.join(shared, "key"))
+        scratch.drop(shared)
+        links = _linked(_with_first(met), docs, classes, width, scratch)
+        first = components(links)
+        tagged = store(
+            met.join(first, met.c == first.node, "left").select("key", "c", "n", "most", F.coalesce("component", "c").alias("g"))
+        )
+        scratch.drop(met)
+        across = store(_apart(tagged, docs, classes, width, crowd, scratch))
+        scratch.drop(tagged)
+        more = _linked(across, docs, classes, width, scratch)
+        groups = components(links.unionByName(more))
+        names = classes.select("c", "least", "n", "s1", "s2")
+        named = names.join(groups, names.c == groups.node, "left").withColumn("g", F.coalesce("component", "c"))
+        named = store(named.select("n", "s1", "s2", "g", "least"))
+        smallest = named.groupBy("g").agg(F.min("least").alias("component_id"))
+        out = store(named.drop("least").join(smallest, "g"))
+        scratch.keep(members, out)
     return members.join(out, ["n", "s1", "s2"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
@@ -392,3 +409,13 @@ def similar_groups(
         F.col("g").alias("group"),
         "id",
     )
+
+
+def _with_first(met: DataFrame) -> DataFrame:
+    """(a, b): classes with the first class under their keys, where the two meet under half the keys or more that linked
+    classes would share at least. Groups of near copies so form in a linear number of pairs; what is left out here is judged later."""
+    a, b = F.col("p.n"), F.col("n")
+    shared = (a + b) * PERCENT / (100.0 + PERCENT) - F.least(a, b) * PERCENT / 100.0  # of the prefix of the smaller set
+    pairs = met.where(F.col("c") != F.col("p.c")).where(_sizes_fit("n", "p.n"))
+    often = pairs.groupBy(F.col("p.c").alias("a"), F.col("c").alias("b")).agg(F.count("*").alias("m"), F.min(shared).alias("shared"))
+    return often.where("2 * m >= shared").select("a", "b")

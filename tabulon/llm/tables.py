@@ -32,6 +32,14 @@ def text_key(text: str | Column = "text") -> list[Column]:
     return [F.xxhash64(text).alias("_t1"), F.xxhash64(F.lit(7), text).alias("_t2")]
 
 
+def unused(name: str, taken: list[str]) -> str:
+    """``name``, made longer until no column has it (in any case, as Spark compares them)."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name += "_"
+    return name
+
+
 def if_small(stored: DataFrame, row_bytes: int | Column, limit: int = BROADCAST_BYTES) -> DataFrame:
     """``stored``, marked for broadcast if its rows, at ``row_bytes`` each, are measured to take at most
     ``limit`` bytes; otherwise Catalyst and adaptive execution choose, which means a shuffled join with

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tabulon.llm import packing
+from tabulon.llm import language, packing
 from tabulon.llm.decontamination import find_leaks
 from tabulon.llm.language import Settings, fit_language_model, held_out
 from tabulon.llm.packing import bin_completion, lower_bound, pack_documents
@@ -365,3 +365,45 @@ def test_pipeline_stages(spark, tmp_path):
     empty = spark.createDataFrame([], docs.schema)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_copies_do_not_enlarge_the_sample(spark, monkeypatch):
+    words = {"a": "der die das und ist", "b": "the of and to in"}
+    rows = [(k, " ".join(random.Random(k).choices(words[x].split(), k=30)), x) for k in range(1500) for x in "ab"]
+    copies = [(10_000 + k, rows[k % 3][1], rows[k % 3][2]) for k in range(3000)]
+    docs = spark.createDataFrame(rows + copies, "doc_id long, text string, lang string").withColumn("_read_text", F.lit(1)).repartition(7)
+    settings = Settings(train_rows=600, calibration_rows=150)
+    sizes = []
+    fit = language._fit
+    monkeypatch.setattr(language, "_fit", lambda sample, *rest: sizes.append([r.role for r in sample.collect()]) or fit(sample, *rest))
+    model = fit_language_model(docs, F.lit(True), settings)
+    assert 450 < sizes[0].count("train") < 700 and 80 < sizes[0].count("calibrate") < 220
+    assert model.predict(docs).columns == ["doc_id", "text", "lang", "_read_text", "lang_pred", "score"]
+
+
+def test_seeds_are_the_bound_of_spread_edits(spark):
+    """A copy with every third word replaced has no seed; with every fourth replaced it is found."""
+    item = [f"word{k}" for k in range(38)]
+    texts = [" ".join("x" if k % step == step - 1 else w for k, w in enumerate(item)) for step in (3, 4, 6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("_leak_text", F.lit(0))
+    items = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    found = find_leaks(docs, items)
+    assert found.columns == ["doc_id", "text", "_leak_text", "leaks"]
+    assert {r.doc_id for r in found.collect() if r.leaks} == {1, 2}
+
+
+def test_the_pipeline_leaves_what_its_result_reads(spark):
+    from pathlib import Path
+
+    from conftest import SF
+
+    from tabulon.session import shared_dir
+
+    def tables():
+        return {p for p in Path(shared_dir(spark)).glob("*/*") if p.is_dir()}
+
+    before = tables()
+    result = corpus_pipeline.run(spark, SF)
+    left = tables() - before
+    read = {Path(f.removeprefix("file:")).parent for f in result.inputFiles()}
+    assert result.count() and {p.name for p in left} >= {p.name for p in read} and len(left) <= 4
