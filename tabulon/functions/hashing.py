@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tabulon.functions.joins import few_or_stored
 from tabulon.session import materialize
 
 DIGITS = 3  # hex digits per round: at most 4096 counters per group
@@ -55,8 +56,8 @@ def hash_cutoff(df: DataFrame, hash_col: str, take: int) -> str:
         prefix = start
 
 
-def hash_cutoffs(df: DataFrame, hash_col: str, by: str, take: Column) -> DataFrame:
-    """(by, cutoff) per ``by`` value of ``df``: what ``hash_cutoff`` gives, for all groups at once.
+def hash_cutoffs(df: DataFrame, hash_col: str, by: str, take: Column) -> tuple[DataFrame, int]:
+    """(by, cutoff) per ``by`` value of ``df``, and their number: what ``hash_cutoff`` gives, for all groups at once.
 
     The open borders are a table, and so is the result. Each round leaves about one in 4096 rows of a group, and
     its plan is the same for one group and for a million. ``take`` is an expression over columns of ``df`` that are
@@ -64,13 +65,12 @@ def hash_cutoffs(df: DataFrame, hash_col: str, by: str, take: Column) -> DataFra
     """
     rows = df.select(F.col(by).alias("_by"), F.col(hash_col).alias("_h"), take.cast("long").alias("_take"))
     cutoff = F.when(F.max("_take") <= 0, F.lit("")).when(F.max("_take") >= F.count("*"), F.lit(_ALL))
-    groups = materialize(rows.groupBy("_by").agg(F.max("_take").alias("_wanted"), F.count("*").alias("_n"), cutoff.alias("_cutoff")))
+    groups, _ = few_or_stored(rows.groupBy("_by").agg(F.max("_take").alias("_wanted"), F.count("*").alias("_n"), cutoff.alias("_cutoff")))
     found = [groups.where("_cutoff is not null").select("_by", "_cutoff")]
     open_groups = groups.where("_cutoff is null").select("_by", F.lit("").alias("_prefix"), "_wanted", "_n")
     rows, width = rows.select("_by", "_h"), 0
-    while True:
-        final = open_groups.where(F.col("_n") <= FINAL_HASHES)
-        found.append(_last_hashes(rows, final, width))
+    while not open_groups.isEmpty():
+        found.append(_last_hashes(rows, open_groups.where(F.col("_n") <= FINAL_HASHES), width))
         open_groups = open_groups.where(F.col("_n") > FINAL_HASHES)
         if open_groups.isEmpty():
             break
@@ -80,14 +80,16 @@ def hash_cutoffs(df: DataFrame, hash_col: str, by: str, take: Column) -> DataFra
         counted = inside.groupBy("_by", "_wanted", F.substring("_h", 1, width + DIGITS).alias("_p")).agg(F.count("*").alias("_n"))
         upto = F.sum("_n").over(Window.partitionBy("_by").orderBy("_p"))  # at most 4096 rows a group
         border = counted.withColumn("_upto", upto).where("_upto >= _wanted and _upto - _n < _wanted")
-        border = materialize(border.select("_by", "_p", (F.col("_wanted") - F.col("_upto") + F.col("_n")).alias("_wanted"), "_n"))
+        border, _ = few_or_stored(border.select("_by", "_p", (F.col("_wanted") - F.col("_upto") + F.col("_n")).alias("_wanted"), "_n"))
         found.append(border.where("_wanted = _n").select("_by", F.concat("_p", F.lit(_ALL)).alias("_cutoff")))
         open_groups = border.where("_wanted < _n").select("_by", F.col("_p").alias("_prefix"), "_wanted", "_n")
         width += DIGITS
-        kept = inside.select("_by", "_h").join(_sized(open_groups.select("_by", F.col("_prefix").alias("_p"))), "_by")
+        if open_groups.where(F.col("_n") > FINAL_HASHES).isEmpty():
+            continue  # what is left is read once more
+        kept = rows.join(_sized(open_groups.select("_by", F.col("_prefix").alias("_p"))), "_by")
         rows = materialize(kept.where(F.substring("_h", 1, width) == F.col("_p")).select("_by", "_h"))
     table = reduce(DataFrame.unionByName, found)
-    return materialize(table.select(F.col("_by").alias(by), F.col("_cutoff").alias("cutoff")))
+    return few_or_stored(table.select(F.col("_by").alias(by), F.col("_cutoff").alias("cutoff")))
 
 
 def _last_hashes(rows: DataFrame, groups: DataFrame, width: int) -> DataFrame:

@@ -11,10 +11,20 @@ from tabulon.session import materialize_sized
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64_000_000
+FEW_ROWS = 1_000
 HEAVY_KEYS = 1_000
 SALTS = 9_973
 
 
+def few_or_stored(table: DataFrame) -> tuple[DataFrame, int]:
+    """A small lookup and how long it is: as a local table if it has at most ``FEW_ROWS`` rows, which needs no
+    files and no measuring, else stored. Meant for tables that are likely to be small, of classes or cells."""
+    rows = table.limit(FEW_ROWS + 1).toArrow()
+    if rows.num_rows <= FEW_ROWS:
+        return table.sparkSession.createDataFrame(rows, table.schema), rows.num_rows
+    return materialize_sized(table)
+
+
 def attach(
     rows: DataFrame,
     lookup: DataFrame,
@@ -37,7 +47,7 @@ def attach(
     if stored_rows is None:
         lookup, stored_rows = materialize_sized(lookup)
     payload = lookup.drop(size_col) if size_col else lookup
-    if stored_rows <= limit and _text_bytes(payload) <= BROADCAST_BYTES:
+    if stored_rows <= min(limit, FEW_ROWS) or stored_rows <= limit and _text_bytes(payload) <= BROADCAST_BYTES:
         return rows.join(F.broadcast(payload), on, "left")
     if size_col is None:
         return rows.join(payload, on, "left")

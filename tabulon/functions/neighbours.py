@@ -19,31 +19,33 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabulon.functions.joins import attach
+from tabulon.functions.joins import attach, few_or_stored
 from tabulon.session import materialize
 
-CELL_POINTS = 2_000
+CELL_POINTS = 4_000
 CHILDREN = 64  # of a cell that is cut, at most
 QUERY_CHUNK = 20_000
 _BLOCK = 256
 
 
-def _cuts(points: DataFrame, by: str, features: list[str]) -> DataFrame:
-    """(by, cell, dim, at, n) of the cells with too many points: where they are cut along which feature.
+def _cuts(points: DataFrame, by: str, features: list[str]) -> tuple[DataFrame, int]:
+    """(by, cell, dim, at, n) of the cells with too many points, where they are cut along which feature, and their number.
 
-    At the quantiles of the widest feature, as many as make cells of about half the allowed size; where most points
+    At the quantiles of the widest feature, as many as make cells of about a quarter of the allowed size; where most points
     share one value, in the middle of the range.
     """
     spans = F.array(*[F.max(f) - F.min(f) for f in features])
     sizes = points.groupBy(by, "cell").agg(F.count("*").alias("n"), spans.alias("spans"))
     sizes = sizes.where(F.col("n") > CELL_POINTS)
     dim = (F.array_position("spans", F.array_max("spans")) - 1).cast("int")
-    wide = materialize(sizes.select(by, "cell", "n", dim.alias("dim")))
-    parts = F.least(F.lit(CHILDREN), F.ceil(2 * F.col("n") / F.lit(CELL_POINTS))).cast("int")
-    inside = attach(points.select(by, "cell", *features), wide.withColumn("_n", F.col("n")), [by, "cell"], size_col="_n").where("dim is not null")
+    wide, cells = few_or_stored(sizes.select(by, "cell", "n", dim.alias("dim")))
+    if not cells:
+        return wide.withColumn("at", F.lit(None).cast("array<double>")), 0
+    parts = F.least(F.lit(CHILDREN), F.ceil(4 * F.col("n") / F.lit(CELL_POINTS))).cast("int")
+    inside = attach(points.select(by, "cell", *features), wide.withColumn("_n", F.col("n")), [by, "cell"], size_col="_n", stored_rows=cells)
     value = F.element_at(F.array(*features), F.col("dim") + 1)
     steps = [k / CHILDREN for k in range(1, CHILDREN)]
-    found = inside.select(by, "cell", "dim", "n", value.alias("x")).groupBy(by, "cell", "dim", "n").agg(
+    found = inside.where("dim is not null").select(by, "cell", "dim", "n", value.alias("x")).groupBy(by, "cell", "dim", "n").agg(
         F.percentile_approx("x", steps, 1_000).alias("q"), F.min("x").alias("low"), F.max("x").alias("high")
     )
     taken = F.transform(F.sequence(F.lit(1), parts - 1), lambda k: F.element_at("q", F.greatest(F.lit(1), F.floor(k * CHILDREN / parts).cast("int"))))
@@ -51,7 +53,7 @@ def _cuts(points: DataFrame, by: str, features: list[str]) -> DataFrame:
     middle = (F.col("low") + F.col("high")) / 2
     middle = F.when(middle < F.col("high"), middle).otherwise(F.col("low"))
     at = F.when(F.size(useful) > 0, useful).otherwise(F.array(middle))
-    return materialize(found.select(by, "cell", "dim", "n", at.alias("at")))
+    return few_or_stored(found.select(by, "cell", "dim", "n", at.alias("at")))
 
 
 def _child(at: str, x: Column) -> Column:
@@ -59,16 +61,16 @@ def _child(at: str, x: Column) -> Column:
     return F.size(F.filter(at, lambda t: t < x))
 
 
-def _own_cells(points: DataFrame, by: str, features: list[str]) -> tuple[DataFrame, list[DataFrame]]:
+def _own_cells(points: DataFrame, by: str, features: list[str]) -> tuple[DataFrame, list[tuple[DataFrame, int]]]:
     """``points`` with the ``cell`` of each, and the tables of cuts from the whole space down."""
     state = points.withColumn("cell", F.lit(""))
     settled, levels = [], []
     while True:
-        cuts = _cuts(state, by, features)
-        if cuts.isEmpty():
+        cuts, cells = _cuts(state, by, features)
+        if not cells:
             return reduce(DataFrame.unionByName, [*settled, state]), levels
-        levels.append(cuts)
-        placed = attach(state, cuts, [by, "cell"], size_col="n")
+        levels.append((cuts, cells))
+        placed = attach(state, cuts, [by, "cell"], size_col="n", stored_rows=cells)
         value = F.element_at(F.array(*features), F.col("dim") + 1)
         child = F.concat_ws(".", "cell", _child("at", value).cast("string"))
         # what lies in a cell that is small enough stays where it is and is not written again
@@ -76,12 +78,12 @@ def _own_cells(points: DataFrame, by: str, features: list[str]) -> tuple[DataFra
         state = materialize(placed.where("dim is not null").withColumn("cell", child).drop("dim", "at"))
 
 
-def _touched_cells(queries: DataFrame, levels: list[DataFrame], by: str, features: list[str]) -> DataFrame:
+def _touched_cells(queries: DataFrame, levels: list[tuple[DataFrame, int]], by: str, features: list[str]) -> DataFrame:
     """``queries`` (with ``radius``), once for each ``cell`` whose side of every cut the ball reaches."""
     state = queries.withColumn("cell", F.lit(""))
     settled = []
-    for cuts in levels:
-        met = attach(state, cuts, [by, "cell"], size_col="n")
+    for cuts, cells in levels:
+        met = attach(state, cuts, [by, "cell"], size_col="n", stored_rows=cells)
         value = F.element_at(F.array(*features), F.col("dim") + 1)
         reach = F.col("radius") * (1 + 1e-12)
         first, last = _child("at", value - reach), _child("at", value + reach)
@@ -126,11 +128,11 @@ def _renamed(df: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def _nearest_neighbours(points: DataFrame, queries: DataFrame, by: str, features: list[str], k: int) -> DataFrame:
-    merged = points.groupBy(by, *features).agg(F.count("*").alias("copies"))
+    points = points.select(by, *features, F.lit(1).cast("long").alias("copies"), F.lit(False).alias("asked"))
+    asked = queries.select(by, *features, F.lit(0).cast("long").alias("copies"), F.lit(True).alias("asked"))
+    merged = points.unionByName(asked).groupBy(by, *features).agg(F.sum("copies").alias("copies"), F.max("asked").alias("asked"))
     merged = materialize(merged)
-    asked = queries.select(by, *features).distinct().withColumn("asked", F.lit(True))
-    flagged = merged.join(asked, [by, *features], "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
-    placed, levels = _own_cells(materialize(flagged), by, features)
+    placed, levels = _own_cells(merged, by, features)
 
     coordinates = ", ".join(f"`{f}` double" for f in features)
     by_type = f"`{by}` {merged.schema[by].dataType.simpleString()}"
@@ -162,16 +164,16 @@ def _nearest_neighbours(points: DataFrame, queries: DataFrame, by: str, features
 
     if not levels:
         found = home.select(by, *features, F.array_sort("candidates").alias("all"))
-        return _spread(found, by, features, k).join(merged, [by, *features])
+        return _spread(found, by, features, k).join(merged.where("asked").drop("asked"), [by, *features])
 
     asking = home.select(by, *features, "radius", F.col("cell").alias("_home"))
     routed = materialize(_touched_cells(asking, levels, by, features).where("cell != _home").drop("_home"))
     loads = routed.groupBy(by, "cell").agg(F.ceil(F.count("*") / QUERY_CHUNK).cast("int").alias("chunks"))
-    loads = materialize(loads)  # one row per cell
+    loads, cells = few_or_stored(loads)  # one row per cell
     chunk = F.pmod(F.xxhash64(*features), F.col("chunks")).cast("int")
-    visiting = attach(routed, loads, [by, "cell"]).withColumn("chunk", chunk).drop("chunks")
+    visiting = attach(routed, loads, [by, "cell"], stored_rows=cells).withColumn("chunk", chunk).drop("chunks")
     visited = (
-        attach(placed.drop("asked"), loads, [by, "cell"])
+        attach(placed.drop("asked"), loads, [by, "cell"], stored_rows=cells)
         .where("chunks is not null")
         .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .drop("chunks")
@@ -196,13 +198,13 @@ def _nearest_neighbours(points: DataFrame, queries: DataFrame, by: str, features
     )
     found = home.select(by, *features, "candidates").unionByName(away)
     found = found.groupBy(by, *features).agg(F.array_sort(F.flatten(F.collect_list("candidates"))).alias("all"))
-    return _spread(found, by, features, k).join(merged, [by, *features])
+    return _spread(found, by, features, k).join(merged.where("asked").drop("asked"), [by, *features])
 
 
 def _with_queries(placed: DataFrame, by: str) -> DataFrame:
     """The points of the cells in which a query lies."""
-    wanted = placed.where("asked").select(by, "cell").distinct().withColumn("_wanted", F.lit(True))
-    return attach(placed, wanted, [by, "cell"]).where("_wanted").drop("_wanted")
+    wanted, cells = few_or_stored(placed.where("asked").select(by, "cell").distinct().withColumn("_wanted", F.lit(True)))
+    return attach(placed, wanted, [by, "cell"], stored_rows=cells).where("_wanted").drop("_wanted")
 
 
 def _spread(found: DataFrame, by: str, features: list[str], k: int) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabulon.functions.hashing import hash_cutoffs, hash_number, order_hash
-from tabulon.functions.joins import attach
+from tabulon.functions.joins import attach, few_or_stored
 from tabulon.functions.neighbours import nearest_neighbours
 from tabulon.operators.cleaning import require_columns
 from tabulon.session import materialize
@@ -19,29 +19,29 @@ COPIES_PER_TASK_ROW = 1_000
 MOST_CLASSES = 10_000
 
 
-def _counted(df: DataFrame, target: str) -> DataFrame:
-    """(class, n), stored. A row without class belongs to none: it is refused here for weights, resampling and models alike."""
+def _counted(df: DataFrame, target: str) -> tuple[DataFrame, int]:
+    """(class, n), and the number of classes. A row without class belongs to none: it is refused here for weights, resampling and models alike."""
     require_columns(df, [target])
-    counts = materialize(df.groupBy(target).agg(F.count("*").alias("n")))
+    counts, classes = few_or_stored(df.groupBy(target).agg(F.count("*").alias("n")))
     lost = counts.where(F.col(target).isNull()).select("n").first()
     if lost:
         raise ValueError(f"{lost[0]} rows have no value of {target!r}")
-    return counts
+    return counts, classes
 
 
 def class_counts(df: DataFrame, target: str) -> dict:
     """Rows per class, of at most 10,000 classes: the labels of a model, which the driver holds anyway."""
-    found = _counted(df, target).limit(MOST_CLASSES + 1).collect()
-    if len(found) > MOST_CLASSES:
+    counts, classes = _counted(df, target)
+    if classes > MOST_CLASSES:
         raise ValueError(f"{target!r} has more than {MOST_CLASSES} classes")
-    return {r[0]: r[1] for r in found}
+    return {r[0]: r[1] for r in counts.collect()}
 
 
 def class_weights(df: DataFrame, target: str) -> DataFrame:
     """(class, n, weight) with weight n_rows / (n_classes · n). Rows without class are refused."""
-    counts = _counted(df, target)
-    total, classes = counts.agg(F.sum("n")).scalar(), counts.agg(F.count("*")).scalar()
-    return counts.withColumn("weight", total / (classes * F.col("n")))
+    counts, classes = _counted(df, target)
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return counts.withColumn("weight", F.lit(total) / (F.lit(classes) * F.col("n")))
 
 
 def undersample(df: DataFrame, target: str, key: str, seed: int) -> DataFrame:
@@ -50,15 +50,16 @@ def undersample(df: DataFrame, target: str, key: str, seed: int) -> DataFrame:
     Rows without class are refused. Classes and their cutoffs are tables, so their number is not bounded.
     """
     require_columns(df, [target, key])
-    counts = _counted(df, target)
+    counts, classes = _counted(df, target)
     smallest = counts.agg(F.min("n")).first()[0]
     larger = counts.where(F.col("n") > smallest)
     if smallest is None or larger.isEmpty():
         return df
-    hashed = attach(df.select(target, order_hash(seed, key).alias("_h")), larger.withColumn("_n", F.col("n")), [target], size_col="_n")
-    cutoffs = hash_cutoffs(hashed.where("n is not null"), "_h", target, F.lit(smallest))
+    hashed = df.select(target, order_hash(seed, key).alias("_h"))
+    hashed = attach(hashed, larger.withColumn("_n", F.col("n")), [target], size_col="_n", stored_rows=classes).where("n is not null")
+    cutoffs, found = hash_cutoffs(hashed, "_h", target, F.lit(smallest))
     sized = cutoffs.join(larger, target).withColumnRenamed("cutoff", "_cutoff")
-    marked = attach(df, sized, [target], size_col="n")
+    marked = attach(df, sized, [target], size_col="n", stored_rows=found)
     kept = F.col("_cutoff").isNull() | (order_hash(seed, key) <= F.col("_cutoff"))
     return marked.where(kept).select(*df.columns)
 
@@ -77,7 +78,7 @@ def smote(df: DataFrame, target: str, key: str, features: Sequence[str], seed: i
     incomplete = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in features])
     if not df.where(incomplete).isEmpty():
         raise ValueError("rows with missing features cannot be interpolated; impute first")
-    counts = _counted(df, target)
+    counts, classes = _counted(df, target)
     originals = df.select(target, *[F.col(c).cast("double").alias(c) for c in features], F.lit(False).alias("synthetic"))
     largest = counts.agg(F.max("n")).first()[0]
     short_classes = counts.where(F.col("n") < largest) if largest else counts
@@ -92,9 +93,10 @@ def smote(df: DataFrame, target: str, key: str, features: Sequence[str], seed: i
         target, F.call_function("div", lacking, F.col("n")).alias("_whole"), (lacking % F.col("n")).alias("_extra"), F.col("n").alias("_n")
     )
     values = df.select(F.col(key).alias("_key"), target, *[F.col(c).cast("double").alias(c) for c in features])
-    short = materialize(attach(values, need, [target], size_col="_n").where("_whole is not null").withColumn("_hash", order_hash(seed, "_key")))
-    cutoffs = hash_cutoffs(short, "_hash", target, F.col("_extra")).join(need.select(target, "_n"), target)
-    marked = attach(short, cutoffs, [target], size_col="_n")
+    short = attach(values, need, [target], size_col="_n", stored_rows=classes).where("_whole is not null")
+    short = short.withColumn("_hash", order_hash(seed, "_key"))
+    cutoffs, found = hash_cutoffs(short, "_hash", target, F.col("_extra"))
+    marked = attach(short, cutoffs.join(need.select(target, "_n"), target), [target], size_col="_n", stored_rows=found)
     copies = F.col("_whole") + (F.col("_hash") <= F.col("cutoff")).cast("int")
     bases = marked.withColumn("_copies", copies.cast("long")).where("_copies > 0").drop("_hash", "_whole", "_extra", "cutoff")
     short = short.select("_key", target, *features)
