@@ -23,7 +23,7 @@ PERCENT = 80
 COUNTED_AT_ONCE = 4_000_000  # shingles
 FREQUENT_BYTES = 8_000_000
 LARGEST_BOUNDARY = 64
-MOST_KEYS = 3  # written for a token of a small set, whatever the list that they spare
+MOST_KEYS = 5  # written for a token of a small set, whatever the list that they spare
 FEW = 8  # classes under a key up to which all pairs are formed
 CROWD = 256  # classes under a key beyond which whole sets are sketched and blocks formed
 
@@ -382,7 +382,7 @@ def similar_groups(
         scratch.drop(profiles)
         keys = _keys(classes, boundary(classes))
         # most keys are met by one class alone: those are counted and go no further
-        counted = keys.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("c", "n")).alias("p"))
+        counted = keys.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("c", "n", "most")).alias("p"))
         shared = store(counted.where("size > 1").select("key", "p"))
         met = store(keys.join(shared, "key"))
         scratch.drop(shared)
@@ -395,9 +395,15 @@ def similar_groups(
         across = store(_apart(tagged, docs, classes, width, crowd, scratch))
         scratch.drop(tagged)
         more = _linked(across, docs, classes, width, scratch)
-        groups = components(links.unionByName(more))
-        names = classes.select("c", "least", "n", "s1", "s2")
-        named = names.join(groups, names.c == groups.node, "left").withColumn("g", F.coalesce("component", "c"))
+        # groups, not classes, are joined from here on: of the links between two groups one is left
+        group_of = store(
+            classes.select("c").join(first, F.col("c") == first.node, "left").select("c", F.coalesce("component", "c").alias("g"))
+        )
+        for end in ("a", "b"):
+            more = more.join(group_of.select(F.col("c").alias(end), F.col("g").alias(f"g{end}")), end)
+        merged = components(more.select("ga", "gb").distinct(), "ga", "gb")
+        names = classes.select("c", "least", "n", "s1", "s2").join(group_of, "c")
+        named = names.join(merged, F.col("g") == merged.node, "left").withColumn("g", F.coalesce("component", "g"))
         named = store(named.select("n", "s1", "s2", "g", "least"))
         smallest = named.groupBy("g").agg(F.min("least").alias("component_id"))
         out = store(named.drop("least").join(smallest, "g"))
@@ -413,9 +419,12 @@ def similar_groups(
 
 def _with_first(met: DataFrame) -> DataFrame:
     """(a, b): classes with the first class under their keys, where the two meet under half the keys or more that linked
-    classes would share at least. Groups of near copies so form in a linear number of pairs; what is left out here is judged later."""
+    classes would share at least, or where their places under one would allow a link. Groups of near copies so form in a
+    linear number of pairs; what is left out here is judged later."""
     a, b = F.col("p.n"), F.col("n")
     shared = (a + b) * PERCENT / (100.0 + PERCENT) - F.least(a, b) * PERCENT / 100.0  # of the prefix of the smaller set
     pairs = met.where(F.col("c") != F.col("p.c")).where(_sizes_fit("n", "p.n"))
-    often = pairs.groupBy(F.col("p.c").alias("a"), F.col("c").alias("b")).agg(F.count("*").alias("m"), F.min(shared).alias("shared"))
-    return often.where("2 * m >= shared").select("a", "b")
+    early = _enough(F.least("most", "p.most"), "n", "p.n")
+    often = pairs.groupBy(F.col("p.c").alias("a"), F.col("c").alias("b"))
+    often = often.agg(F.count("*").alias("m"), F.min(shared).alias("shared"), F.max(early).alias("early"))
+    return often.where("early or 2 * m >= shared").select("a", "b")
