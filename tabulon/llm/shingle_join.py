@@ -235,12 +235,15 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     return store(found.select("c", "text").dropDuplicates(["c"]).mapInArrow(run, "c long, shingles array<long>"))
 
 
-def _apart(tagged: DataFrame, docs: DataFrame, classes: DataFrame, width: int, crowd: int, scratch: Scratch) -> DataFrame:
+def _apart(
+    tagged: DataFrame, docs: DataFrame, classes: DataFrame, width: int, crowd: int, scratch: Scratch, best_only: bool
+) -> DataFrame:
     """(a, b): classes that share a key, are in different groups and may link.
 
     A few classes under a key are paired as they are. More meet in one task, a crowd in blocks of bounded size, and
     only the pairs that their sketches do not rule out leave it: 16 bits of each token of the prefix or, in a crowd, of the whole set. A pair of a
-    crowd leaves it under its first common token alone.
+    crowd leaves it under its first common token alone. With ``best_only`` each class leaves a block of more than a few with the one class before it that it
+    may share most with, which joins most of a crowd of near copies by a linear number of pairs before all that are left are formed.
     """
     keys = tagged.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count("*").alias("size"))
     keys = store(keys.where("lo != hi").select("key", "size"))
@@ -277,12 +280,13 @@ def _apart(tagged: DataFrame, docs: DataFrame, classes: DataFrame, width: int, c
             table = pa.Table.from_batches([batch])
             rest = table if rest is None else pa.concat_tables([rest, table])
             border = _borders(rest)[-2]
-            yield from _survivors(rest.slice(0, border), crowd)
+            yield from _survivors(rest.slice(0, border), crowd, best_only)
             rest = rest.slice(border)
         if rest is not None:
-            yield from _survivors(rest, crowd)
+            yield from _survivors(rest, crowd, best_only)
 
-    return paired.select("a", "b").unionByName(dealt.mapInArrow(compare, "a long, b long")).distinct()
+    dealt = dealt.mapInArrow(compare, "a long, b long")
+    return (dealt if best_only else paired.select("a", "b").unionByName(dealt)).distinct()
 
 
 def _sketch(tokens: Column) -> Column:
@@ -306,7 +310,7 @@ def _lists(table: pa.Table, name: str) -> tuple[np.ndarray, np.ndarray]:
     return column.flatten().to_numpy(), offsets - offsets[0]
 
 
-def _survivors(table: pa.Table, crowd: int) -> Iterator[pa.RecordBatch]:
+def _survivors(table: pa.Table, crowd: int, best_only: bool) -> Iterator[pa.RecordBatch]:
     if not table.num_rows:
         return
     borders = _borders(table)
@@ -342,8 +346,15 @@ def _survivors(table: pa.Table, crowd: int) -> Iterator[pa.RecordBatch]:
         good &= group[:, None] != group[None, :]
         if own[s:e].min() != own[s:e].max() or (own[s:e] != other[s:e]).any():  # two blocks: one from either
             good &= own[s:e][:, None] != own[s:e][None, :]
-        for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(good, 1))), strict=True):
-            if size[s] > crowd:
+        good = np.triu(good, 1)
+        if best_only:
+            rated = np.where(good, most, -1)
+            after = np.flatnonzero(good.any(axis=0))
+            ends = rated[:, after].argmax(axis=0), after
+        else:
+            ends = np.nonzero(good)
+        for i, j in zip(*(x.tolist() for x in ends), strict=True):
+            if size[s] > crowd and not best_only:
                 a, b = s + i, s + j
                 own_tokens = tokens[token_at[a] : token_at[a + 1]]
                 both = own_tokens[np.isin(own_tokens, tokens[token_at[b] : token_at[b + 1]])]
@@ -387,24 +398,25 @@ def similar_groups(
         met = store(keys.join(shared, "key"))
         scratch.drop(shared)
         links = _linked(_with_first(met), docs, classes, width, scratch)
-        first = components(links)
-        tagged = store(
-            met.join(first, met.c == first.node, "left").select("key", "c", "n", "most", F.coalesce("component", "c").alias("g"))
-        )
+        # from here on groups, not classes, are joined: of the links between two groups one is left
+        group_of = store(_regrouped(classes.select("c", F.col("c").alias("g")), components(links)))
+        tagged = store(met.join(group_of, "c").select("key", "c", "n", "most", "g"))
         scratch.drop(met)
-        across = store(_apart(tagged, docs, classes, width, crowd, scratch))
+        for best_only in (True, False):
+            across = store(_apart(tagged, docs, classes, width, crowd, scratch, best_only))
+            if best_only and across.isEmpty():
+                continue
+            more = _linked(across, docs, classes, width, scratch)
+            for end in ("a", "b"):
+                more = more.join(group_of.select(F.col("c").alias(end), F.col("g").alias(f"g{end}")), end)
+            merged = components(more.select("ga", "gb").distinct(), "ga", "gb")
+            group_of = store(_regrouped(group_of, merged))
+            if best_only:
+                before, tagged = tagged, store(_regrouped(tagged, merged))
+                scratch.drop(before)
         scratch.drop(tagged)
-        more = _linked(across, docs, classes, width, scratch)
-        # groups, not classes, are joined from here on: of the links between two groups one is left
-        group_of = store(
-            classes.select("c").join(first, F.col("c") == first.node, "left").select("c", F.coalesce("component", "c").alias("g"))
-        )
-        for end in ("a", "b"):
-            more = more.join(group_of.select(F.col("c").alias(end), F.col("g").alias(f"g{end}")), end)
-        merged = components(more.select("ga", "gb").distinct(), "ga", "gb")
         names = classes.select("c", "least", "n", "s1", "s2").join(group_of, "c")
-        named = names.join(merged, F.col("g") == merged.node, "left").withColumn("g", F.coalesce("component", "g"))
-        named = store(named.select("n", "s1", "s2", "g", "least"))
+        named = store(names.select("n", "s1", "s2", "g", "least"))
         smallest = named.groupBy("g").agg(F.min("least").alias("component_id"))
         out = store(named.drop("least").join(smallest, "g"))
         scratch.keep(members, out)
@@ -417,6 +429,12 @@ def similar_groups(
     )
 
 
+def _regrouped(rows: DataFrame, merged: DataFrame) -> DataFrame:
+    """``rows`` with the groups ``g`` renamed to the components that they have become part of."""
+    joined = rows.join(merged, F.col("g") == merged.node, "left").withColumn("g", F.coalesce("component", "g"))
+    return joined.select(rows.columns)
+
+
 def _with_first(met: DataFrame) -> DataFrame:
     """(a, b): classes with the first class under their keys, where the two meet under half the keys or more that linked
     classes would share at least, or where their places under one would allow a link. Groups of near copies so form in a
