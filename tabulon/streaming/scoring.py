@@ -18,6 +18,8 @@ from tabulon.plans.scoring import Predictor
 from tabulon.session import materialize, scratch_path
 from tabulon.sources.tables import literal_rows
 
+MOST_BATCHES = 32  # micro-batches for the files that wait when a stream begins
+
 
 def read_batches(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int = 1) -> DataFrame:
     """Files of ``batch=N`` directories as they arrive; ``batch`` is read from the path."""
@@ -25,6 +27,12 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType, files_per
     return stream.parquet(path)
 
 
+def files_at_once(waiting: DataFrame, least: int = 8, most_batches: int = MOST_BATCHES) -> int:
+    """Files of a micro-batch, so that those waiting are worked off in at most ``most_batches``. A micro-batch costs some
+    two seconds of planning and logging, however few rows it has; a larger one is spread over more tasks."""
+    return max(least, -(-len(waiting.inputFiles()) // most_batches))
+
+
 class _Enough(Exception):
     """Ends a stream before its next micro-batch is committed."""
 

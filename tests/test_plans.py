@@ -242,6 +242,20 @@ def test_stream_equals_batch_and_isolates_bad_rows(spark, raw, predictor, tmp_pa
     assert streams.read_predictions(spark, out).count() == 891
 
 
+def test_many_waiting_files_take_few_micro_batches(spark, raw, predictor, tmp_path):
+    source, out = str(tmp_path / "batches"), str(tmp_path / "out")
+    batches = raw.withColumn("batch", F.col("obj_ID") % 40)
+    tables.write_batches(batches, source)
+    waiting = spark.read.parquet(source)
+    assert streams.files_at_once(waiting) == 8 and streams.files_at_once(waiting, most_batches=3) == 14
+    assert streams.files_at_once(waiting, least=1) == 2
+    stream = streams.read_batches(spark, source, waiting.schema, streams.files_at_once(waiting, most_batches=3))
+    assert streams.stream_predict(stream, predictor, out, str(tmp_path / "bad")) == raw.count()
+    got = streams.read_predictions(spark, out)
+    assert got.select("batch_id").distinct().count() == 3
+    assert rows(got, "obj_ID", "batch") == rows(batches, "obj_ID", "batch")
+
+
 def test_stream_stops_after_enough_records(spark, raw, predictor, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     tables.write_batches(splits.batch_slices(raw, "MJD", "obj_ID", 60), source)
