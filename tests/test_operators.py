@@ -463,3 +463,13 @@ def test_undersampling_ten_thousand_classes_has_a_plan_of_constant_size(spark, m
     taken = {r.id for r in few.where("c = 3").collect()}
     order = df.where("c = 3").select("id", hashing.order_hash(5, "id").alias("h")).orderBy("h").limit(5).collect()
     assert taken == {r.id for r in order}
+
+
+def test_spearman_deals_many_values_over_more_tasks(spark, monkeypatch):
+    df = spark.range(400).select(F.col("id").alias("a"), ((F.col("id") * 7) % 401).alias("b"))
+    want, seen, ranks = rows(dependence.spearman(df, ["a", "b"])), [], dependence.average_ranks
+    monkeypatch.setattr(dependence, "VALUES_AT_ONCE", 100)
+    monkeypatch.setattr(dependence, "average_ranks", lambda *x: (seen.append(spark.conf.get("spark.sql.shuffle.partitions")), ranks(*x))[1])
+    got = rows(dependence.spearman(df, ["a", "b"]))
+    assert seen == ["8"] and spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    assert [x[:2] for x in got] == [x[:2] for x in want] and got[0][2] == pytest.approx(want[0][2])
