@@ -14,6 +14,7 @@ from tabulon.llm.components import components
 from tabulon.llm.line_windows import drop_repeated_windows
 from tabulon.llm.personal_data import sanitise, span_list
 from tabulon.llm.sharding import shard_contiguous, text_size
+from tabulon.llm import shingle_join
 from tabulon.llm.shingle_join import similar_groups
 from tabulon.llm.substrings import drop_repeated_sequences
 
@@ -307,3 +308,11 @@ def test_short_words_disclose_and_repeats_in_one_text_do_not(spark):
 def test_components_survive_ties(spark):
     got = components(spark.createDataFrame([(1, 1), (2, 3), (3, 2), (2, 3)], "a long, b long")).collect()
     assert sorted(map(tuple, got)) == [(2, 2), (3, 2)]
+
+
+def test_small_near_copies_write_few_keys(spark):
+    # a crowd of sets of 57 shingles, each with 13 tokens of which the others have 12
+    tokens = F.concat(F.transform(F.sequence(F.lit(1), F.lit(12)), lambda x: x.cast("long")), F.array(F.col("id") + 1000))
+    classes = spark.range(300).select(F.col("id").alias("c"), F.lit(57).cast("long").alias("n"), tokens.alias("tokens"))
+    border = shingle_join.boundary(classes)
+    assert shingle_join._keys(classes, border).count() <= 300 * 13
