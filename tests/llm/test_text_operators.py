@@ -311,8 +311,8 @@ def test_components_survive_ties(spark):
 
 
 def test_small_near_copies_write_few_keys(spark):
-    # a crowd of sets of 57 shingles, each with 13 tokens of which the others have 12
+    # a crowd of sets of 55 shingles, each with 13 tokens of which the others have 12
     tokens = F.concat(F.transform(F.sequence(F.lit(1), F.lit(12)), lambda x: x.cast("long")), F.array(F.col("id") + 1000))
-    classes = spark.range(300).select(F.col("id").alias("c"), F.lit(57).cast("long").alias("n"), tokens.alias("tokens"))
+    classes = spark.range(300).select(F.col("id").alias("c"), F.lit(55).cast("long").alias("n"), tokens.alias("tokens"))
     border = shingle_join.boundary(classes)
     assert shingle_join._keys(classes, border).count() <= 300 * 13
