@@ -7,6 +7,7 @@ tokens of its prefix, a large one the single tokens; classes that meet under suc
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,10 @@ LARGEST_BOUNDARY = 64
 MOST_KEYS = 3  # written for a token of a small set, whatever the list that they spare
 FEW = 8  # classes under a key up to which all pairs are formed
 CROWD = 256  # classes under a key beyond which whole sets are sketched and blocks formed
+PARTS = 2  # of the keys, which are shuffled one part after the other
+SLICE_BYTES = 1_000_000  # of texts whose shingles are formed at once
+COLUMNS_AT_ONCE = 8_192  # of a comparison of the sketches of a block
+PAIRS_AT_ONCE = 65_536
 
 
 def _shingle_sets(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -53,13 +58,13 @@ def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total[offsets[1:]] - total[offsets[:-1]]
 
 
-def _frequent(docs: DataFrame, width: int) -> np.ndarray:
+def _frequent(docs: DataFrame, width: int, scratch: Scratch) -> np.ndarray:
     """Shingles that several documents read by one task have, the most frequent ones, sorted. They only
     order the tokens: which ones are found changes the work and not the result."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending, size = [np.empty(0, np.uint64)], 0
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             pending.append(_shingle_sets(batch, width)[0])
             size += len(pending[-1])
             if size > COUNTED_AT_ONCE:
@@ -77,13 +82,20 @@ def _frequent(docs: DataFrame, width: int) -> np.ndarray:
             least = n + 1
             break
     rows = counts.where(F.col("n") >= least).select("shingle").toPandas()["shingle"]  # at most ``most``
+    scratch.drop(counts)
     return np.sort(rows.to_numpy(np.int64).view(np.uint64))
 
 
 def _repeated(shingles: list[np.ndarray]) -> pa.RecordBatch:
-    values, n = np.unique(np.concatenate(shingles), return_counts=True)
+    values = np.concatenate(shingles)
+    shingles.clear()
+    values.sort()
+    fresh = np.ones(len(values), dtype=bool)
+    fresh[1:] = values[1:] != values[:-1]
+    first = np.flatnonzero(fresh)
+    n = np.diff(first, append=len(values))
     some = n > 1
-    return pa.RecordBatch.from_arrays([pa.array(signed(values[some])), pa.array(n[some])], names=["shingle", "n"])
+    return pa.RecordBatch.from_arrays([pa.array(signed(values[first[some]])), pa.array(n[some])], names=["shingle", "n"])
 
 
 def _profiles(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) -> DataFrame:
@@ -95,7 +107,7 @@ def _profiles(docs: DataFrame, frequent: np.ndarray, width: int, percent: int) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = shared.value
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             value, offsets, _ = _shingle_sets(batch, width)
             n = np.diff(offsets)
             row = np.repeat(np.arange(len(n)), n)
@@ -176,6 +188,20 @@ def _keys(classes: DataFrame, border: int) -> DataFrame:
     )
 
 
+def _met(keys: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rows of ``keys`` whose key several classes have; most are met by one alone, and those are counted and go no
+    further. Nothing but the key is shuffled to be counted, and the shuffle files of one part are gone before the next begins."""
+    met = []
+    for part in range(PARTS):
+        own = keys.where(F.pmod("key", F.lit(PARTS)) == part)
+        shared = store(own.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key"))
+        met.append(store(own.join(shared, "key")))
+        scratch.drop(shared)
+    rows = store(reduce(DataFrame.unionByName, met))
+    scratch.drop(*met)
+    return rows
+
+
 def _enough(most: Column, a: str, b: str) -> Column:
     """Whether sets of ``a`` and ``b`` shingles link if they share ``most``."""
     return most * (100 + PERCENT) >= (F.col(a) + F.col(b)) * PERCENT
@@ -225,7 +251,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(c, shingles) of the classes ``wanted`` (c, t1, t2), read from one of their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             value, offsets, _ = _shingle_sets(batch, width)
             sets = list_column(pa.array(signed(value)), np.diff(offsets))
             yield pa.RecordBatch.from_arrays([batch.column("c"), sets], names=["c", "shingles"])
@@ -247,8 +273,8 @@ def _apart(
     """
     keys = tagged.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.count("*").alias("size"))
     keys = store(keys.where("lo != hi").select("key", "size"))
-    still = store(tagged.join(keys, "key"))
-    few, still = still.where(F.col("size") <= FEW), still.where(F.col("size") > FEW)
+    stored = store(tagged.join(keys, "key"))
+    few, still = stored.where(F.col("size") <= FEW), stored.where(F.col("size") > FEW)
 
     def side(name: str) -> DataFrame:
         return few.select("key", F.col("c").alias(name), F.struct("n", "g", "most").alias(f"_{name}"))
@@ -256,14 +282,15 @@ def _apart(
     paired = side("a").join(side("b"), "key").where("a < b and _a.g != _b.g")
     paired = paired.where(_enough(F.least("_a.most", "_b.most"), "_a.n", "_b.n"))
     crowded = store(still.where(F.col("size") > crowd).select("c").distinct().join(classes, "c").select("c", "t.t1", "t.t2"))
-    whole = _sets_of(docs, crowded, width).select("c", _sketch(F.col("shingles")).alias("k"))
+    sets = _sets_of(docs, crowded, width)
+    whole = sets.select("c", _sketch(F.col("shingles")).alias("k"))
     prefix = F.expr(_SINGLE)
     ends = ["late", "last", F.size(prefix).alias("p")]
     small = still.where(F.col("size") <= crowd).join(
         classes.select("c", *ends, _sketch(prefix).alias("k"), F.array().cast("array<long>").alias("tokens")), "c"
     )
     large = still.where(F.col("size") > crowd).join(
-        classes.select("c", *ends, prefix.alias("tokens")).join(whole, "c"), "c"
+        classes.join(if_small(crowded.select("c"), 16), "c", "left_semi").select("c", *ends, prefix.alias("tokens")).join(whole, "c"), "c"
     )
     columns = ["key", "c", "n", "most", "g", "size", "late", "last", "p", "k", "tokens"]
     blocks = F.ceil(F.col("size") / float(2 * crowd)).cast("int")
@@ -286,7 +313,9 @@ def _apart(
             yield from _survivors(rest, crowd, best_only)
 
     dealt = dealt.mapInArrow(compare, "a long, b long")
-    return (dealt if best_only else paired.select("a", "b").unionByName(dealt)).distinct()
+    pairs = store((dealt if best_only else paired.select("a", "b").unionByName(dealt)).distinct())
+    scratch.drop(keys, stored, crowded, sets)
+    return pairs
 
 
 def _sketch(tokens: Column) -> Column:
@@ -319,7 +348,7 @@ def _survivors(table: pa.Table, crowd: int, best_only: bool) -> Iterator[pa.Reco
     )
     sketch, at = _lists(table, "k")
     tokens, token_at = _lists(table, "tokens")
-    left, right = [], []
+    left, right, waiting = [], [], 0
     for s, e in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True):
         if e - s < 2:
             continue
@@ -330,9 +359,14 @@ def _survivors(table: pa.Table, crowd: int, best_only: bool) -> Iterator[pa.Reco
         same = counts - np.bincount(row, minlength=e - s)  # tokens that fall together
         shared = np.bincount(column) > 1
         place = np.cumsum(shared) - 1
-        has = np.zeros((e - s, int(shared.sum())), dtype=np.float32)
-        has[row[shared[column]], place[column[shared[column]]]] = 1
-        common = np.rint(has @ has.T).astype(np.int64)
+        row, column = row[shared[column]], place[column[shared[column]]]
+        common = np.zeros((e - s, e - s), dtype=np.float32)
+        for first in range(0, int(shared.sum()), COLUMNS_AT_ONCE):
+            here = (column >= first) & (column < first + COLUMNS_AT_ONCE)
+            has = np.zeros((e - s, min(COLUMNS_AT_ONCE, int(shared.sum()) - first)), dtype=np.float32)
+            has[row[here], column[here] - first] = 1
+            common += has @ has.T
+        common = np.rint(common).astype(np.int64)
         size_of, group = n[s:e], g[s:e]
         if size[s] > crowd:
             most = common + np.minimum(same[:, None], same[None, :])
@@ -353,16 +387,26 @@ def _survivors(table: pa.Table, crowd: int, best_only: bool) -> Iterator[pa.Reco
             ends = rated[:, after].argmax(axis=0), after
         else:
             ends = np.nonzero(good)
-        for i, j in zip(*(x.tolist() for x in ends), strict=True):
-            if size[s] > crowd and not best_only:
-                a, b = s + i, s + j
+        one, two = s + ends[0], s + ends[1]
+        if size[s] > crowd and not best_only:
+            stays = np.ones(len(one), dtype=bool)
+            for at_pair, (a, b) in enumerate(zip(one.tolist(), two.tolist(), strict=True)):
                 own_tokens = tokens[token_at[a] : token_at[a + 1]]
                 both = own_tokens[np.isin(own_tokens, tokens[token_at[b] : token_at[b + 1]])]
-                if len(both) and both[0] != key[s] and key[s] in both:
-                    continue
-            left.append(min(c[s + i], c[s + j]))
-            right.append(max(c[s + i], c[s + j]))
-    yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+                stays[at_pair] = not (len(both) and both[0] != key[s] and key[s] in both)
+            one, two = one[stays], two[stays]
+        left.append(np.minimum(c[one], c[two]))
+        right.append(np.maximum(c[one], c[two]))
+        waiting += len(one)
+        if waiting > PAIRS_AT_ONCE:
+            yield _pairs(left, right)
+            left, right, waiting = [], [], 0
+    if waiting:
+        yield _pairs(left, right)
+
+
+def _pairs(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (left, right)], names=["a", "b"])
 
 
 def similar_groups(
@@ -382,7 +426,7 @@ def similar_groups(
     """
     docs = docs.select((F.col(row_id) if row_id else F.lit(None)).cast("long").alias("id"), "doc_id", "text")
     with scratch_tables(docs.sparkSession) as scratch:
-        profiles = store(_profiles(docs, _frequent(docs, width), width, PERCENT))
+        profiles = store(_profiles(docs, _frequent(docs, width, scratch), width, PERCENT))
         grouped = (
             profiles.where("n > 0")
             .groupBy("n", "s1", "s2")
@@ -391,19 +435,14 @@ def similar_groups(
         classes = store(grouped.withColumn("c", F.monotonically_increasing_id()))
         members = store(profiles.select("id", "doc_id", "n", "s1", "s2"))
         scratch.drop(profiles)
-        keys = _keys(classes, boundary(classes))
-        # most keys are met by one class alone: those are counted and go no further
-        counted = keys.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("c", "n", "most")).alias("p"))
-        shared = store(counted.where("size > 1").select("key", "p"))
-        met = store(keys.join(shared, "key"))
-        scratch.drop(shared)
+        met = _met(_keys(classes, boundary(classes)), scratch)
         links = _linked(_with_first(met), docs, classes, width, scratch)
         # from here on groups, not classes, are joined: of the links between two groups one is left
         group_of = store(_regrouped(classes.select("c", F.col("c").alias("g")), components(links)))
         tagged = store(met.join(group_of, "c").select("key", "c", "n", "most", "g"))
         scratch.drop(met)
         for best_only in (True, False):
-            across = store(_apart(tagged, docs, classes, width, crowd, scratch, best_only))
+            across = _apart(tagged, docs, classes, width, crowd, scratch, best_only)
             if best_only and across.isEmpty():
                 continue
             more = _linked(across, docs, classes, width, scratch)
@@ -441,7 +480,8 @@ def _with_first(met: DataFrame) -> DataFrame:
     linear number of pairs; what is left out here is judged later."""
     a, b = F.col("p.n"), F.col("n")
     shared = (a + b) * PERCENT / (100.0 + PERCENT) - F.least(a, b) * PERCENT / 100.0  # of the prefix of the smaller set
-    pairs = met.where(F.col("c") != F.col("p.c")).where(_sizes_fit("n", "p.n"))
+    first = met.groupBy("key").agg(F.min(F.struct("c", "n", "most")).alias("p"))
+    pairs = met.join(first, "key").where(F.col("c") != F.col("p.c")).where(_sizes_fit("n", "p.n"))
     early = _enough(F.least("most", "p.most"), "n", "p.n")
     often = pairs.groupBy(F.col("p.c").alias("a"), F.col("c").alias("b"))
     often = often.agg(F.count("*").alias("m"), F.min(shared).alias("shared"), F.max(early).alias("early"))

@@ -6,7 +6,10 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -316,3 +319,31 @@ def test_small_near_copies_write_few_keys(spark):
     classes = spark.range(300).select(F.col("id").alias("c"), F.lit(55).cast("long").alias("n"), tokens.alias("tokens"))
     border = shingle_join.boundary(classes)
     assert shingle_join._keys(classes, border).count() <= 300 * 13
+
+
+def test_keys_are_counted_by_nothing_but_the_key(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(shingle_join, "store", lambda df, store=shingle_join.store: stored.append(df.columns) or store(df))
+    texts = [(k, " ".join(f"w{(k // 2) * 50 + j}" for j in range(40)) + f" x{k}") for k in range(12)]
+    got = {r.doc_id: r.component_id for r in similar_groups(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got == {k: k // 2 * 2 for k in range(12)}
+    assert stored.count(["key"]) == shingle_join.PARTS and not any("p" in columns for columns in stored)
+
+
+def test_a_block_of_large_sets_is_compared_in_bounded_memory():
+    rng, m = np.random.default_rng(3), 400
+    sketch = rng.integers(-(1 << 15), 1 << 15, (m, 300)).astype(np.int16)
+    sketch[1::2] = sketch[::2]  # pairs of equal sets
+    same = {"n": 300, "most": 300, "g": 0, "size": 2 * m, "last": 0, "p": 61, "own": 0, "other": 0, "key": 7}
+    table = {k: np.full(m, v, dtype=np.int64) for k, v in same.items()} | {"c": np.arange(m), "late": np.zeros(m, dtype=bool)}
+    table["g"] = np.arange(m)
+    lists = {"k": pa.array(list(sketch)), "tokens": pa.array([[7]] * m, pa.list_(pa.int64())), "block": pa.array(["0,0"] * m)}
+    table = pa.table({k: pa.array(v) for k, v in table.items()} | lists)
+    tracemalloc.start()
+    try:
+        found = [tuple(x.values()) for b in shingle_join._survivors(table, 256, False) for x in b.to_pylist()]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sorted(found) == [(k, k + 1) for k in range(0, m, 2)]
+    assert peak < 50_000_000
