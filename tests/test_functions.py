@@ -187,3 +187,19 @@ def test_null_keys_are_spread(spark):
     got = rows(joins.attach(df, lookup, ["k"], size_col="n", limit=0))
     want = {r.k: r.m for r in lookup.collect()}
     assert got == sorted(((i, None, None) if k is None else (i, k, want[k]) for i, k in df.collect()), key=lambda r: r[0])
+
+
+def test_quantiles_of_filled_columns(spark):
+    import random
+
+    from tabulon.functions.quantiles import exact_quantiles, filled_quantiles
+
+    draw = random.Random(5)
+    for n, gaps in ((9, 0), (9, 4), (10, 3), (1, 6), (2, 5), (40, 41)):
+        values = [float(draw.randrange(6)) if n > 9 else draw.random() for _ in range(n)]
+        rows = [(x, None) for x in [*values, *[None] * gaps]]
+        df = spark.createDataFrame(rows, "x double, e double")
+        medians, found = filled_quantiles(df, ["x", "e"], [0.25, 0.5, 0.75])
+        assert medians == {"x": exact_quantiles(df, ["x"], [0.5])["x"][0], "e": None}
+        filled = df.fillna({"x": medians["x"]})
+        assert found == {"x": exact_quantiles(filled, ["x"], [0.25, 0.5, 0.75])["x"], "e": None}

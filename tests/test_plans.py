@@ -296,3 +296,18 @@ def test_labels_survive_a_class_missing_from_a_fold(sides):
     part = sides[0].where("class <> 'STAR'")
     model = training.train(part, FEATURES, "class", "obj_ID", "random_forest", FOREST, labels=labels)
     assert len(model.predict(sides[1]).first().probability) == 3
+
+
+def test_trials_share_the_steps_of_a_fold(sides, monkeypatch):
+    space = {"random_forest": {"n_estimators": {"type": "int", "low": 2, "high": 4}, "max_depth": {"type": "int", "low": 2, "high": 3}}}
+    settings = SearchSettings(models=("random_forest",), trials=3, folds=2, scalers=("robust",), resamplings=("class_weight",), spaces=space)
+    alone = [
+        validation.cross_validate(sides[0], Features(scaler="robust"), "class", "field_ID", "obj_ID", t.model, t.params, 2, settings.seed)
+        for t in search.plan_trials(settings)
+    ]
+    made = []
+    monkeypatch.setattr(validation, "prepare_training", lambda *a, make=validation.prepare_training: made.append(a) or make(*a))
+    trials = search.run_search(sides[0], FEATURES, "class", "field_ID", "obj_ID", settings)
+    assert len(made) == 2  # folds, not folds of each trial
+    for trial, metrics in zip(trials, alone, strict=True):
+        assert trial.metrics == pytest.approx(validation.mean_over_folds(metrics).first().asDict())
