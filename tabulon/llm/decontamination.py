@@ -27,6 +27,7 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 RARENESS = 2.0
 COMMON_SEEDS = 3
 BLOCK_WORDS = 2_000_000
+SLICE_BYTES = 1_000_000  # of texts whose words are found at once
 _BITS = 20
 
 
@@ -144,7 +145,7 @@ def _rare(docs: DataFrame, block: Block, seed: int, rareness: float) -> Block:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = shared.value
         total = np.zeros(len(block.seeds), dtype=np.int64)
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE_BYTES):
             words = _words(batch.column("text"))
             places, which = _found(block, words.hashes, seed)
             row = np.searchsorted(words.first, places, side="right") - 1
@@ -199,7 +200,7 @@ def find_leaks(
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             block = shared.value
-            for batch in slices(batches, body):
+            for batch in slices(batches, body, SLICE_BYTES):
                 words = _words(batch.column(body))
                 found = batch.column("leaks").to_pylist()
                 places, _ = _found(block, words.hashes, seed)

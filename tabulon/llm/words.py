@@ -136,7 +136,10 @@ class Runs:
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut record batches into runs of rows with about ``most`` bytes of text, one row at least."""
+    """Cut record batches into runs of rows with about ``most`` bytes of text, one row at least.
+
+    Behind the last one Arrow gives back what it holds unused: the Python worker outlives its task.
+    """
     for batch in batches:
         _, offsets = text_bytes(batch.column(column))
         at = 0
@@ -144,6 +147,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
             to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, side="right")) - 1)
             yield batch.slice(at, to - at)
             at = to
+    pa.default_memory_pool().release_unused()
 
 
 def signed(x: np.ndarray) -> np.ndarray:

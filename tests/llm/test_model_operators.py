@@ -106,6 +106,20 @@ def test_word_cache_starts_anew(monkeypatch):
     assert one_by_one == [x.tolist() for x in packing.WordEncoder(tokenizer_path())(texts, 0)]
 
 
+def test_workers_keep_no_words_of_a_packing(spark):
+    docs = spark.range(0, 800, 1, 8).select(F.col("id").alias("doc_id"), F.concat(F.lit("letters word"), "id").alias("text"))
+    path = tokenizer_path()
+    assert packing.token_pieces(docs, path).count() == 800
+
+    def words(batches):
+        for batch in batches:
+            found = [len(x._code) for x in packing._ENCODERS.values()]
+            yield batch.slice(0, 1).set_column(0, "id", [sum(found)])
+
+    left = spark.range(0, 800, 1, 8).mapInArrow(words, "id long").collect()  # in the workers of the packing, as no others are begun
+    assert [r.id for r in left] == [0] * 8
+
+
 # --- decontamination ---
 
 
