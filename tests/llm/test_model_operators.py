@@ -4,19 +4,21 @@ from __future__ import annotations
 
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tabulon.llm import language, packing
+from tabulon.llm import language, packing, vectors
 from tabulon.llm.decontamination import find_leaks
 from tabulon.llm.language import Settings, fit_language_model, held_out
 from tabulon.llm.packing import bin_completion, lower_bound, pack_documents
 from tabulon.llm.queries import RULES, tokenizer_path
 from tabulon.llm.url_graph import filter_urls
 from tabulon.llm.vectors import Forest, near_vectors
+from tabulon.session import scratch_tables
 
 SCHEMA = "doc_id long, text string"
 
@@ -341,6 +343,54 @@ def test_leaf_that_cannot_be_cut_is_compared_in_blocks(spark):
     assert all((r.n_links, r.component_id) == (149, 0) for r in got)
 
 
+@pytest.mark.parametrize("whole", [1 << 24, 0])
+def test_vectors_are_stored_once(spark, whole):
+    """As classes, whatever the number of trees."""
+    draw = np.random.default_rng(6)
+    rows = [(i, draw.standard_normal(64).astype(np.float32).tolist(), i % 2) for i in range(4000)]
+    with scratch_tables(spark) as scratch:
+        near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"), Forest(whole=whole, leaf=300) if whole == 0 else Forest())
+        stored = sum(p.stat().st_size for path in scratch.paths for p in Path(path.removeprefix("file:")).rglob("*.parquet"))
+    assert stored < 2 * 4000 * 64 * 4
+
+
+@pytest.mark.parametrize("block", [1 << 22, 600])
+def test_labels_too_large_to_compare_whole(spark, block):
+    rows = vector_rows(seed=8)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    want = brute_vectors(rows)
+    got = {r.vec_id: r.n_links for r in near_vectors(frame, Forest(leaf=60, whole=1000, block=block)).collect()}
+    assert got.keys() == want.keys() and all(got[k] <= want[k][0] for k in want)
+    assert sum(got.values()) >= 0.95 * sum(v[0] for v in want.values())
+
+
+@pytest.mark.parametrize("noise", [0.15, 0.02])
+def test_pairs_equal_brute_force(monkeypatch, noise):
+    monkeypatch.setattr(vectors, "_TILE", (32, 48))
+    draw = np.random.default_rng(9)
+    centres, copies = draw.standard_normal((3, 16)), draw.integers(1, 9, 500)
+    x = (centres[draw.integers(3, size=500)] + noise * draw.standard_normal((500, 16))).astype(np.float32)
+    x[::3] = draw.standard_normal((167, 16))
+    u = x.astype(np.float64)
+    near = (u @ u.T) / np.linalg.norm(u, axis=1) / np.linalg.norm(u, axis=1)[:, None]
+    cosine = float(near[1, near[1] < 0.999].max())  # a pair lies at it, but for the last digit
+    near = near >= cosine - 1e-12
+    np.fill_diagonal(near, False)
+    for left, right in ((np.arange(500),) * 2, (np.arange(0, 500, 2), np.arange(1, 500, 2))):
+        kept = np.zeros((500, 500), dtype=bool)
+        kept[np.ix_(left, right)] = near[np.ix_(left, right)]
+        kept |= kept.T
+        pairs = vectors._Pairs(x, copies, cosine - 1e-12)
+        pairs.compare(left, left if len(left) == 500 else right)
+        assert pairs.others.tolist() == (kept @ copies).tolist()
+        p, q = np.nonzero(kept)
+        assert pairs.root.tolist() == vectors._united(500, p, q).tolist()
+        split = vectors._Pairs(x, copies, cosine - 1e-12)  # pair by pair, some left out
+        split.compare(left, left if len(left) == 500 else right, lambda a, b: (a + b) % 3 == 0)
+        rest = kept & ((np.arange(500) + np.arange(500)[:, None]) % 3 != 0)
+        assert split.others.tolist() == (rest @ copies).tolist()
+
+
 def test_no_vectors(spark):
     assert near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>, label int")).collect() == []
 
