@@ -151,3 +151,32 @@ def test_large_files_are_read_in_pieces(spark, tmp_path):
     (tmp_path / "big.gz").write_bytes(b"x" * 100)
     with pytest.raises(ValueError, match="compressed"):
         fingerprints.file_fingerprint(spark, str(tmp_path), whole_bytes=50)
+
+
+def test_a_large_file_is_read_by_one_task_without_a_row_of_it(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fingerprints, "ROW_BYTES", 2000, raising=False)
+    bodies = {f"{k} {{1}}": (b"%d,abc\n" % k) * 900 for k in range(3)} | {"small": b"x" * 2000, "packed.gz": b"y\n" * 3000}
+    for name, body in bodies.items():
+        (tmp_path / name).write_bytes(body)
+    read = []
+    monkeypatch.setattr(fingerprints, "materialize", lambda df: read.append((df.rdd.getNumPartitions(), df)) or materialize(df), raising=False)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        found = rows(fingerprints.file_fingerprint(spark, str(tmp_path)))
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "1000"
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert found == sorted((n, len(b), hashlib.md5(b).hexdigest()) for n, b in bodies.items())
+    assert [n for n, _ in read] == [3]  # a task each for the large ones, none for parts of them
+    assert "Exchange" not in read[0][1]._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("whole", [1 << 30, 3000])
+def test_files_with_long_pieces_are_left_to_rows(spark, tmp_path, monkeypatch, whole):
+    monkeypatch.setattr(fingerprints, "ROW_BYTES", 2000, raising=False)
+    monkeypatch.setattr(fingerprints, "PIECE_BYTES", 100, raising=False)
+    bodies = {"one %20 line": b"z" * 2500, "some": b"a\n" * 900 + b"z" * 1500 + b"\nb", "short": b"a\n" * 2000, "longer": b"\xef\xbb\xbf" + b"y" * 4000 + b"\n"}
+    for name, body in bodies.items():
+        (tmp_path / name).write_bytes(body)
+    found = rows(fingerprints.file_fingerprint(spark, str(tmp_path), whole_bytes=whole))
+    assert found == sorted((n, len(b), hashlib.md5(b).hexdigest()) for n, b in bodies.items())
